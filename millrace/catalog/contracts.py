@@ -162,7 +162,7 @@ def _(r):
 
 @query("drop_identical", "select * from lines_d")
 def _(r):
-    return keys.settle_keys(r.order_lines, ["order_line_id"]).drop(keys.CONFLICT)
+    return keys.drop_identical(r.order_lines)
 
 
 @query("unique_rule", """

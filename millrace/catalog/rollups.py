@@ -141,8 +141,8 @@ select distinct product_id from lines_raw where product_id not in (select produc
 order by product_id limit 10""")
 def _(r):
     report = fk_report(r.order_lines, "product_id", silver(r)["products"], "product_id", "orders to products")
-    keys = F.explode(F.split("first_bad_keys", ","))
-    return report.select(keys.cast("bigint").alias("product_id"))
+    keys = F.split("first_bad_keys", ",").cast("array<bigint>")
+    return report.select(F.explode(keys).alias("product_id"))
 
 
 # --- set operations ------------------------------------------------------------------------
@@ -264,8 +264,8 @@ with long as (
   on delivery_id, status, dispatched_at, temperature_breach_flag, distance_km into name "column" value value)
 select "column", count(*) as non_null,
        count(*) filter (where try_cast(value as double) is not null) as as_number,
-       count(*) filter (where value in ('true', 'false')) as as_boolean,
-       count(*) filter (where length(value) > 10 and try_cast(value as timestamp) is not null) as as_timestamp,
+       count(*) filter (where value in ('true', 'false', '0', '1')) as as_boolean,
+       count(*) filter (where regexp_matches(value, '^[0-9]{4}-[0-9]{1,2}') and try_cast(value as timestamp) is not null) as as_timestamp,
        case when "column" in ('delivery_id', 'distance_km') then 'number'
             when "column" = 'temperature_breach_flag' then 'boolean'
             when "column" = 'dispatched_at' then 'timestamp' end as suspect

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -39,7 +39,7 @@ def relationship_failures(df: DataFrame, column: str, parent: DataFrame, parent_
     return orphans(df, column, parent, parent_column, null_is_orphan=False)
 
 
-def _key_failures(test: TableTest, tables: dict[str, DataFrame]) -> DataFrame:
+def _key_failures(test: TableTest, tables: Mapping[str, DataFrame]) -> DataFrame:
     df = tables[test.table]
     if test.kind == "unique":
         return unique_failures(df, test.column)
@@ -60,7 +60,7 @@ def _row_tests(df: DataFrame, tests: Sequence[TableTest]) -> DataFrame:
     return counts.select(F.explode(F.array(*lines)).alias("x")).select("x.*")
 
 
-def run_tests(tests: Sequence[TableTest], tables: dict[str, DataFrame]) -> DataFrame:
+def run_tests(tests: Sequence[TableTest], tables: Mapping[str, DataFrame]) -> DataFrame:
     """(test, table, column, failures, status), one row per test."""
     by_row: dict[str, list[TableTest]] = {}
     frames = []

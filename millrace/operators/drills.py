@@ -6,7 +6,7 @@ gives the same defects on any cluster layout.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,7 +67,7 @@ def negative_margin(df: DataFrame, price: str, cost: str, where: Column, factor:
     return _change(df, price, where, (F.col(cost) * F.expr(factor)).cast(df.schema[price].dataType))
 
 
-def sabotage(tests: Sequence[TableTest], sound: dict[str, DataFrame], hurt: dict[str, DataFrame]) -> DataFrame:
+def sabotage(tests: Sequence[TableTest], sound: Mapping[str, DataFrame], hurt: Mapping[str, DataFrame]) -> DataFrame:
     """Test results on the damaged and on the restored tables, with a `phase` column."""
     phases = {"sabotaged": hurt, "restored": sound}
     parts = [run_tests(tests, tables).select(F.lit(phase).alias("phase"), "*") for phase, tables in phases.items()]

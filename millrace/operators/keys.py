@@ -1,8 +1,7 @@
 """Uniqueness: identical rows, repeated keys, and how the two differ.
 
-Nothing here puts a key's rows into one task. Repeats are found by counting,
-which combines on the map side, and only the rows of repeated keys are ever
-compared as a whole.
+Nothing here puts a key's rows into one task: rows and keys are counted with
+map-side combining, and a hot key's rows are joined in splits.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import skew_join
 from millrace.sources.raw import LINEAGE
 
 CONFLICT = "_key_conflict"
@@ -22,8 +22,8 @@ CONFLICT = "_key_conflict"
 def repeated_keys(df: DataFrame, keys: Sequence[str], among: Column | None = None) -> DataFrame:
     """Non-NULL key values that occur more than once (among the rows given)."""
     rows = df if among is None else df.filter(among)
-    present = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return present.filter("_n > 1").select(*keys)
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return rows.groupBy(*keys).agg(F.count_if(keyed).alias("_n")).filter("_n > 1").select(*keys)
 
 
 def drop_identical(df: DataFrame, ignore: Sequence[str] = LINEAGE) -> DataFrame:
@@ -40,61 +40,52 @@ def drop_identical(df: DataFrame, ignore: Sequence[str] = LINEAGE) -> DataFrame:
     return earliest.select(*[F.col(f"_first.{c}").alias(c) if c in extra else F.col(c) for c in df.columns])
 
 
-def settle_keys(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = LINEAGE) -> DataFrame:
-    """`drop_identical`, plus a boolean `_key_conflict` on rows whose key still repeats.
+def mark_conflicts(df: DataFrame, keys: Sequence[str], among: Column | None = None,
+                   name: str = CONFLICT) -> DataFrame:
+    """Add boolean `name`: the key repeats among the rows for which `among` holds.
 
-    A count by key names the repeated ones. All other rows pass through a
-    left-anti join untouched; only rows of repeated keys are deduplicated and
-    counted again. Rows with a NULL key are deduplicated and never conflict.
+    Always false outside `among` and for NULL keys.
     """
-    keys = list(keys)
-    nullable = any(df.schema[k].nullable for k in keys)
-    keyed = df.dropna(subset=keys) if nullable else df
-    repeated = repeated_keys(df, keys)
-    single = keyed.join(repeated, keys, "left_anti").withColumn(CONFLICT, F.lit(False))
-    several = drop_identical(df.join(repeated, keys, "left_semi"), ignore)
-    conflict = repeated_keys(several, keys).withColumn(CONFLICT, F.lit(True))
-    judged = several.join(conflict, keys, "left").withColumn(CONFLICT, F.col(CONFLICT).isNotNull())
-    settled = single.unionByName(judged)
-    if not nullable:
-        return settled
-    some_null = ~reduce(and_, [F.col(k).isNotNull() for k in keys])
-    keyless = drop_identical(df.filter(some_null), ignore).withColumn(CONFLICT, F.lit(False))
-    return settled.unionByName(keyless)
-
-
-def mark_conflicts(df: DataFrame, keys: Sequence[str], among: Column, name: str = CONFLICT) -> DataFrame:
-    """Add boolean `name`: the key repeats among the rows for which `among` holds."""
-    hits = repeated_keys(df, keys, among).withColumn(name, F.lit(True))
-    return df.join(hits, list(keys), "left").withColumn(name, F.col(name).isNotNull() & among)
+    hits = repeated_keys(df, keys, among).toDF(*[f"_r{i}" for i in range(len(keys))]).withColumn(name, F.lit(True))
+    pairs = [(k, f"_r{i}") for i, k in enumerate(keys)]
+    marked = skew_join(df, hits, pairs, "left").drop(*[right for _, right in pairs])
+    repeats = F.col(name).isNotNull()
+    return marked.withColumn(name, repeats if among is None else repeats & among)
 
 
 def reject_repeated(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of unique keys, all rows of repeated keys); NULL keys count as unique."""
-    repeated = repeated_keys(df, keys)
-    return df.join(repeated, list(keys), "left_anti"), df.join(repeated, list(keys), "left_semi")
+    repeated = repeated_keys(df, keys).toDF(*[f"_r{i}" for i in range(len(keys))])
+    pairs = [(k, f"_r{i}") for i, k in enumerate(keys)]
+    return skew_join(df, repeated, pairs, "left_anti"), skew_join(df, repeated, pairs, "left_semi")
+
+
+def _versions_per_key(df: DataFrame, key: str, ignore: Sequence[str]) -> DataFrame:
+    """(key, n, versions): rows and different rows per key. NULL is a key here.
+
+    Whole rows are counted first, so copies shrink before the shuffle and the
+    rows of one key are spread by all their columns.
+    """
+    business = [c for c in df.columns if c not in ignore]
+    rows = df.groupBy(*business).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(key).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("versions"))
 
 
 def key_integrity(df: DataFrame, key: str, table: str) -> DataFrame:
     """One row: rows, distinct keys, surplus rows, surplus identical rows, OK or DUP."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    keys = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(key).alias("distinct_keys")
+    totals = _versions_per_key(df, key, ()).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.count(key).alias("distinct_keys"),
+        F.coalesce(F.sum("versions"), F.lit(0)).alias("different"),
     )
-    repeated = df.join(repeated_keys(df, [key]), key, "left_semi")
-    # A row can only be identical to another of its key, so whole rows are
-    # compared for repeated keys alone. NULL keys are grouped on their own.
-    suspects = repeated.unionByName(df.filter(F.col(key).isNull()))
-    copies = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
-    identical = copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("identical_rows"))
     surplus = F.col("n_rows") - F.col("distinct_keys")
-    return keys.select(
+    return totals.select(
         F.lit(table).alias("table"),
         F.lit(key).alias("key"),
         "n_rows",
         "distinct_keys",
         surplus.alias("surplus_rows"),
-        identical.scalar().alias("identical_rows"),
+        (F.col("n_rows") - F.col("different")).alias("identical_rows"),
         F.when(surplus == 0, "OK").otherwise("DUP").alias("status"),
     )
 
@@ -104,11 +95,8 @@ def duplicate_kind(df: DataFrame, key: str, ignore: Sequence[str] = LINEAGE) ->
 
     Columns: kind, n_keys, n_rows.
     """
-    business = [c for c in df.columns if c not in ignore]
-    rows = df.join(repeated_keys(df, [key]), key, "left_semi")
-    versions = rows.groupBy(*business).agg(F.count(F.lit(1)).alias("n"))
-    per_key = versions.groupBy(key).agg(F.count(F.lit(1)).alias("versions"), F.sum("n").alias("n"))
+    repeated = _versions_per_key(df, key, ignore).filter(F.col(key).isNotNull() & (F.col("n") > 1))
     kind = F.when(F.col("versions") == 1, "IDENTICAL").otherwise("CONFLICT")
-    return per_key.groupBy(kind.alias("kind")).agg(
+    return repeated.groupBy(kind.alias("kind")).agg(
         F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_rows")
     )

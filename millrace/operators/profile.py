@@ -153,12 +153,16 @@ def type_suspects(df: DataFrame, columns: Sequence[str], threshold_pct: float =
     (column, non_null, as_number, as_boolean, as_timestamp, suspect); suspect is
     the first type that at least `threshold_pct` of the values fit.
     """
-    tests = {"as_number": "double", "as_boolean": "boolean", "as_timestamp": "timestamp"}
+    text = F.col("value")
+    # A bare number would parse as a year, so a time must also look like one.
+    dated = F.when(text.rlike("^[0-9]{4}-[0-9]{1,2}"), text)
+    tests = {"as_number": text.try_cast("double"), "as_boolean": text.try_cast("boolean"),
+             "as_timestamp": dated.try_cast("timestamp")}
     freq = frequencies(df, columns).filter(F.col("value").isNotNull())
     fits = freq.groupBy("column").agg(
         F.sum("n").alias("non_null"),
-        *[F.coalesce(F.sum(F.when(F.col("value").try_cast(kind).isNotNull(), F.col("n"))), F.lit(0)).alias(name)
-          for name, kind in tests.items()],
+        *[F.coalesce(F.sum(F.when(parsed.isNotNull(), F.col("n"))), F.lit(0)).alias(name)
+          for name, parsed in tests.items()],
     )
     suspect = reduce(
         lambda chain, name: chain.when(F.col(name) * 100.0 >= F.col("non_null") * threshold_pct, name[3:]),

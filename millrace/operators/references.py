@@ -7,10 +7,11 @@ hot key's partition. Parents may therefore be of any size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.ratios import percent
+from millrace.operators.joins import skew_join
 
 
 def _parent_keys(parent: DataFrame, parent_col: str) -> DataFrame:
@@ -31,8 +32,8 @@ def with_parent(child: DataFrame, child_col: str, parent: DataFrame, parent_col:
 
 def mark_parent(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str, name: str) -> DataFrame:
     """Add boolean `name`: the parent exists. Never multiplies child rows."""
-    keys = _parent_keys(parent, parent_col).distinct().withColumn(name, F.lit(True))
-    joined = child.join(keys, F.col(child_col) == F.col("_pk"), "left").drop("_pk")
+    keys = _parent_keys(parent, parent_col).filter("_pk is not null").distinct().withColumn(name, F.lit(True))
+    joined = skew_join(child, keys, [(child_col, "_pk")], "left").drop("_pk")
     return joined.withColumn(name, F.col(name).isNotNull())
 
 
@@ -91,6 +92,8 @@ def precedes_first(events: DataFrame, key: str, at: str, parents: DataFrame, par
 
     Adds boolean `too_early`: the event lies before that time.
     """
-    first = parents.groupBy(key).agg(F.min(parent_at).alias("first_at"))
-    early: Column = F.col(at) < F.col("first_at")
-    return events.join(first, key, "inner").withColumn("too_early", F.coalesce(early, F.lit(False)))
+    keyed = parents.filter(F.col(key).isNotNull())
+    first = keyed.groupBy(F.col(key).alias("_pk")).agg(F.min(parent_at).alias("first_at"))
+    early = F.col(at) < F.col("first_at")
+    joined = skew_join(events, first, [(key, "_pk")], "inner").drop("_pk")
+    return joined.withColumn("too_early", F.coalesce(early, F.lit(False)))

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,13 +57,10 @@ class Tagged:
         return Tagged(self.table, frame, self.rules, self.helpers)
 
 
-def _before(verdicts: list[tuple[int, Rule, str]]) -> Column:
-    """No FAIL rule among `verdicts` is broken."""
-    alive = F.lit(True)
-    for _, rule, name in verdicts:
-        if rule.action == FAIL:
-            alive = alive & ~F.col(name)
-    return alive
+def _before(verdicts: list[tuple[int, Rule, str]]) -> Column | None:
+    """No FAIL rule among `verdicts` is broken; None if there is none."""
+    intact = [~F.col(name) for _, rule, name in verdicts if rule.action == FAIL]
+    return reduce(and_, intact) if intact else None
 
 
 def tag(
@@ -78,18 +77,15 @@ def tag(
     are removed first and belong to neither survivors nor quarantine.
     """
     verdicts: list[tuple[int, Rule, str]] = []
-    rest = list(enumerate(rules))
-    if drop_identical and rest and isinstance(rest[0][1], UniqueRule):
-        i, rule = rest.pop(0)
-        df = key_ops.settle_keys(df, rule.keys, ignore).withColumnRenamed(key_ops.CONFLICT, f"_bad{i}")
-        verdicts.append((i, rule, f"_bad{i}"))
-    elif drop_identical:
+    pending = list(lookups)
+    if drop_identical:
         df = key_ops.drop_identical(df, ignore)
-    for step in lookups:
-        df = lookup(df, step.column, step.master, step.master_column, step.values)
-
-    for i, rule in rest:
+    for i, rule in enumerate(rules):
         name = f"_bad{i}"
+        # Masters join after leading unique rules, which read the table twice.
+        while pending and not isinstance(rule, UniqueRule):
+            step = pending.pop(0)
+            df = lookup(df, step.column, step.master, step.master_column, step.values)
         if isinstance(rule, UniqueRule):
             df = key_ops.mark_conflicts(df, rule.keys, _before(verdicts), name)
         elif isinstance(rule, ForeignKeyRule):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import cleanse as c
 from millrace.operators.checks import TableTest
 from millrace.operators.references import fk_report, orphans
-from millrace.sources.tables import write_table
+from millrace.sources.tables import Frames, write_table
 
 PRODUCT_COLUMNS = ("product_id", "product_name", "category", "temperature_zone")
 
@@ -69,8 +71,8 @@ def _members(products: DataFrame, active: bool) -> DataFrame:
 
 def withdrawn_products(silver_products: DataFrame, bronze_products: DataFrame) -> DataFrame:
     """Members the source still knows but silver rejected, as inactive."""
-    gone = orphans(bronze_products, "product_id", silver_products, "product_id", null_is_orphan=False)
-    return _members(gone, False).distinct()
+    known = _members(bronze_products, False).distinct()
+    return orphans(known, "product_id", silver_products, "product_id", null_is_orphan=False)
 
 
 def dim_product(silver_products: DataFrame, bronze_products: DataFrame) -> DataFrame:
@@ -78,17 +80,17 @@ def dim_product(silver_products: DataFrame, bronze_products: DataFrame) -> DataF
     return _members(silver_products, True).unionByName(withdrawn_products(silver_products, bronze_products))
 
 
-def build_gold(silver: dict[str, DataFrame], bronze_products: DataFrame) -> dict[str, DataFrame]:
+def build_gold(silver: Mapping[str, DataFrame], bronze_products: DataFrame) -> Frames:
     """The four marts as lazy frames."""
-    return {
-        "fact_orders": fact_orders(stg_orders(silver["orders"])),
-        "fact_deliveries": fact_deliveries(stg_deliveries(silver["deliveries"])),
-        "dim_depot": dim_depot(silver["depots"]),
-        "dim_product": dim_product(silver["products"], bronze_products),
-    }
+    return Frames({
+        "fact_orders": lambda: fact_orders(stg_orders(silver["orders"])),
+        "fact_deliveries": lambda: fact_deliveries(stg_deliveries(silver["deliveries"])),
+        "dim_depot": lambda: dim_depot(silver["depots"]),
+        "dim_product": lambda: dim_product(silver["products"], bronze_products),
+    })
 
 
-def publish_gold(gold: dict[str, DataFrame], prefix: str = "gold_", fmt: str = "parquet",
+def publish_gold(gold: Mapping[str, DataFrame], prefix: str = "gold_", fmt: str = "parquet",
                  location: str | None = None) -> dict[str, DataFrame]:
     """Write the marts as tables (runs jobs) and return scans of them."""
     return {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -89,13 +90,13 @@ def _dimension_table(dimension: str) -> str:
     return DIMENSIONS[dimension]
 
 
-def evaluate(gold: dict[str, DataFrame], name: str) -> DataFrame:
+def evaluate(gold: Mapping[str, DataFrame], name: str) -> DataFrame:
     """(measure, value) over the unfiltered star."""
     m = _measure(name)
     return gold[m.fact].agg(m.value()).select(F.lit(name).alias("measure"), "value")
 
 
-def all_measures(gold: dict[str, DataFrame]) -> DataFrame:
+def all_measures(gold: Mapping[str, DataFrame]) -> DataFrame:
     """(measure, value) for all eight; each table is aggregated once."""
     parts = []
     for fact in ("fact_orders", "dim_product", "fact_deliveries"):
@@ -107,7 +108,7 @@ def all_measures(gold: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _filtered_fact(gold: dict[str, DataFrame], fact: str, dimension: str, value: str) -> DataFrame:
+def _filtered_fact(gold: Mapping[str, DataFrame], fact: str, dimension: str, value: str) -> DataFrame:
     """Rows of `fact` under a filter; all rows if the filter cannot reach it."""
     table = DIMENSIONS[dimension]
     chosen = F.col(dimension) == F.lit(value)
@@ -120,7 +121,7 @@ def _filtered_fact(gold: dict[str, DataFrame], fact: str, dimension: str, value:
 
 
 def query_metric(
-    gold: dict[str, DataFrame],
+    gold: Mapping[str, DataFrame],
     measure: str,
     filter: dict[str, str] | None = None,
     model: str = "gold_star",
@@ -156,7 +157,7 @@ def _filtered(gold, m: Measure, dimension: str, value: str, mode: str) -> DataFr
     return answer.select(F.lit(m.name).alias("measure"), "value")
 
 
-def measure_by(gold: dict[str, DataFrame], measure: str, dimension: str) -> DataFrame:
+def measure_by(gold: Mapping[str, DataFrame], measure: str, dimension: str) -> DataFrame:
     """(member, value): the measure for each member of an allowed dimension.
 
     Facts without a parent fall under the NULL member. A dimension that the
@@ -209,7 +210,7 @@ def normal_form(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
-def answer_questions(questions: DataFrame, column: str, gold: dict[str, DataFrame]) -> DataFrame:
+def answer_questions(questions: DataFrame, column: str, gold: Mapping[str, DataFrame]) -> DataFrame:
     """Join asked questions to the measure and value that answer them (NULL if none does)."""
     spark = questions.sparkSession
     known = spark.createDataFrame(list(QUESTIONS.items()), "_question string, measure string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from millrace.operators.rules import register_frame
 from millrace.plans.silver import REGISTER
 
 
-def kpi_exec(gold: dict[str, DataFrame]) -> DataFrame:
+def kpi_exec(gold: Mapping[str, DataFrame]) -> DataFrame:
     """One row: revenue, orders, lines, customers, average line, products by state."""
     orders = gold["fact_orders"].agg(
         F.sum("line_value").cast("decimal(22,2)").alias("revenue"),
@@ -60,13 +62,13 @@ def _totals_by(facts: DataFrame, dimension: DataFrame, key: str, attribute: str,
     )
 
 
-def revenue_by_region(gold: dict[str, DataFrame]) -> DataFrame:
+def revenue_by_region(gold: Mapping[str, DataFrame]) -> DataFrame:
     """(region, revenue, share), largest first."""
     totals = _totals_by(gold["fact_orders"], gold["dim_depot"], "depot_id", "region", "line_value")
     return with_share(totals, "revenue").orderBy(F.desc("revenue"), "region")
 
 
-def revenue_by_category(gold: dict[str, DataFrame]) -> DataFrame:
+def revenue_by_category(gold: Mapping[str, DataFrame]) -> DataFrame:
     """(category, revenue, share) over active and withdrawn products."""
     totals = _totals_by(gold["fact_orders"], gold["dim_product"], "product_id", "category", "line_value")
     return with_share(totals, "revenue").orderBy(F.desc("revenue"), "category")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,12 +10,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cleanse as c
 from millrace.operators import gate
-from millrace.operators.references import lookup
+from millrace.operators.references import lookup, mark_parent
 from millrace.operators.rules import (
     CLEANSE, DOCUMENT, FAIL, WARN, ForeignKeyRule, Lookup, RegisterEntry, RowRule, UniqueRule,
 )
 from millrace.operators.tagging import Tagged, survivors, tag
-from millrace.sources.tables import settle, write_table
+from millrace.sources.tables import Frames, settle, write_table
 
 THRESHOLD_PCT = 5.0
 MASTER_PRICE = "_master_price"
@@ -55,23 +56,24 @@ def type_deliveries(raw: DataFrame) -> DataFrame:
     })
 
 
-def conform(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def conform(tables: Mapping[str, DataFrame]) -> Frames:
     """City and status spellings of already typed tables."""
-    return {
-        **tables,
-        "depots": tables["depots"].withColumn("city", c.conform_title("city")),
-        "deliveries": tables["deliveries"].withColumn("status", c.conform_upper("status")),
-    }
+    return Frames({
+        "products": lambda: tables["products"],
+        "depots": lambda: tables["depots"].withColumn("city", c.conform_title("city")),
+        "orders": lambda: tables["orders"],
+        "deliveries": lambda: tables["deliveries"].withColumn("status", c.conform_upper("status")),
+    })
 
 
-def type_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def type_all(raw: Mapping[str, DataFrame]) -> Frames:
     """The four raw text tables, typed."""
-    return {
-        "products": type_products(raw["products"]),
-        "depots": type_depots(raw["depots"]),
-        "orders": type_orders(raw["orders"]),
-        "deliveries": type_deliveries(raw["deliveries"]),
-    }
+    return Frames({
+        "products": lambda: type_products(raw["products"]),
+        "depots": lambda: type_depots(raw["depots"]),
+        "orders": lambda: type_orders(raw["orders"]),
+        "deliveries": lambda: type_deliveries(raw["deliveries"]),
+    })
 
 
 def product_rules() -> list:
@@ -127,24 +129,27 @@ def tag_deliveries(deliveries: DataFrame, silver_orders: DataFrame) -> Tagged:
     return tag(deliveries, "deliveries", delivery_rules(silver_orders))
 
 
-def tag_all(tables: dict[str, DataFrame]) -> dict[str, Tagged]:
-    """Lazy verdicts on typed, conformed tables, parents first."""
-    products = tag_products(tables["products"])
-    orders = tag_orders(tables["orders"], tables["depots"], survivors(products))
-    deliveries = tag_deliveries(tables["deliveries"], survivors(orders))
-    return {"products": products, "depots": tag_depots(tables["depots"]),
-            "orders": orders, "deliveries": deliveries}
+def tag_all(tables: Mapping[str, DataFrame]) -> Frames:
+    """Lazy verdicts (`Tagged`) on typed, conformed tables; children draw on their parents'."""
+    verdicts = Frames({
+        "products": lambda: tag_products(tables["products"]),
+        "depots": lambda: tag_depots(tables["depots"]),
+        "orders": lambda: tag_orders(tables["orders"], tables["depots"], survivors(verdicts["products"])),
+        "deliveries": lambda: tag_deliveries(tables["deliveries"], survivors(verdicts["orders"])),
+    })
+    return verdicts
 
 
-def silver(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def silver(tables: Mapping[str, DataFrame]) -> Frames:
     """Lazy survivors of the four tables."""
-    return {name: survivors(t) for name, t in tag_all(tables).items()}
+    verdicts = tag_all(tables)
+    return Frames({name: (lambda name=name: survivors(verdicts[name])) for name in verdicts})
 
 
 GATED = ("products", "orders", "deliveries")
 
 
-def results(tagged: dict[str, Tagged]) -> DataFrame:
+def results(tagged: Mapping[str, Tagged]) -> DataFrame:
     return gate.rule_results([tagged[n] for n in GATED])
 
 
@@ -157,7 +162,7 @@ class SilverRun:
 
 
 def publish_silver(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     prefix: str = "silver_",
     max_pct: float = THRESHOLD_PCT,
     fmt: str = "parquet",
@@ -207,10 +212,9 @@ def cascade_report(lines: DataFrame, raw_products: DataFrame, silver_products: D
     CASCADE lines disagree with a master row that a contract withdraws anyway;
     GENUINE lines disagree with a master row that stays.
     """
-    kept = silver_products.select(F.col("product_id").alias("_kept")).distinct()
     drifted = price_disagreements(lines, raw_products.dropDuplicates())
-    causes = drifted.join(kept, F.col("product_id") == F.col("_kept"), "left")
-    cause = F.when(F.col("_kept").isNull(), "CASCADE").otherwise("GENUINE")
+    causes = mark_parent(drifted, "product_id", silver_products, "product_id", "_kept")
+    cause = F.when(F.col("_kept"), "GENUINE").otherwise("CASCADE")
     return causes.groupBy(cause.alias("cause")).agg(F.count(F.lit(1)).alias("n_lines"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -15,19 +16,26 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join partition even where a later step then needs a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
-def local_session(cores: str | int = "*", memory: str = "12g", partitions: int = 8) -> SparkSession:
+def local_session(cores: str | int = "*", memory: str = "12g", partitions: int = 8,
+                  work: str | None = None) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("millrace")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
     )
+    if work:
+        builder = builder.config("spark.checkpoint.dir", work)
     for name, value in RUNTIME_CONF.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
@@ -48,12 +56,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     storage, so every executor sees it and it outlives a lost one. Only a local
     master without that setting gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="millrace-")

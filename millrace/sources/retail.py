@@ -10,10 +10,11 @@ gathered anywhere. FIXTURES.md lists the arithmetic.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.sources.tables import Frames
 
 NO_DEPOT = 900000
 GHOST_OFFSET = 1_000_000_000
@@ -22,9 +23,9 @@ GHOST_OFFSET = 1_000_000_000
 STRAY_STATUS = ("delivered", "Delivered", " DELIVERED", "DELIVERED ", "failed")
 
 
-def _copies(n_extra: Column) -> Column:
-    """0 for the row itself, 1 for its copy where `n_extra` holds."""
-    return F.explode(F.when(n_extra, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+def _copies(condition: str) -> str:
+    """0 for the row itself, 1 for its copy where the condition holds."""
+    return f"explode(if({condition}, array(0, 1), array(0))) as copy_no"
 
 
 class RetailTables:
@@ -32,126 +33,103 @@ class RetailTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._read = cache(lambda name: spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read(name)
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        item = self.source("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
-        )
-        head = self.source("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        part = self.source("part").select(
-            "p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("_list")
-        )
-        h = F.col("_h")
-        due = F.date_add(F.to_date("o_orderdate"), (h % 7 + 1).cast("int"))
-        drifted = (F.col("_list") * (h % 120 + 55) * F.expr("0.01")).cast("decimal(10,2)")
-        quantity = F.when(h % 281 == 5, -(h % 13).cast("int")).otherwise(F.col("l_quantity").cast("int"))
+        item = self.source("lineitem")
+        head = self.source("orders")
+        part = self.source("part")
         return (
-            item.join(head, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .withColumn("_h", F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17)
-            .withColumn("_copy", _copies(h % 215 == 13))
-            .select(
-                F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_line_id"),
-                F.col("l_orderkey").alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.when(h % 145 == 3, h % 3 + NO_DEPOT).otherwise(F.col("l_suppkey")).alias("depot_id"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("o_orderdate").alias("order_datetime"),
-                F.when(h % 85 != 7, due).alias("requested_delivery_date"),
-                F.when((F.col("_copy") == 1) & (h % 2580 == 13), quantity + 1)
-                .otherwise(quantity).alias("quantity"),
-                F.when(h % 58 == 11, drifted).otherwise(F.col("_list")).alias("unit_price"),
+            item.join(head, item.l_orderkey == head.o_orderkey)
+            .join(part, item.l_partkey == part.p_partkey)
+            .selectExpr(
+                "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_line_id",
+                "l_orderkey", "l_partkey", "l_suppkey", "o_custkey", "o_orderdate",
+                "cast(l_quantity as int) as units",
+                "cast(p_retailprice as decimal(10,2)) as list_price",
+                "l_orderkey * 31 + l_linenumber * 17 as h",
+            )
+            .selectExpr("*", _copies("h % 215 = 13"))
+            .selectExpr(
+                "order_line_id",
+                "l_orderkey as order_id",
+                "o_custkey as customer_id",
+                f"if(h % 145 = 3, h % 3 + {NO_DEPOT}, l_suppkey) as depot_id",
+                "l_partkey as product_id",
+                "o_orderdate as order_datetime",
+                "if(h % 85 = 7, null, date_add(cast(o_orderdate as date), cast(h % 7 + 1 as int)))"
+                " as requested_delivery_date",
+                "if(h % 281 = 5, cast(-(h % 13) as int), units)"
+                " + if(copy_no = 1 and h % 2580 = 13, 1, 0) as quantity",
+                "if(h % 58 = 11, cast(list_price * (h % 120 + 55) * 0.01 as decimal(10,2)), list_price)"
+                " as unit_price",
             )
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        key = F.col("p_partkey")
-        list_price = F.col("p_retailprice").cast("decimal(10,2)")
-        cost = (list_price * F.expr("0.70")).cast("decimal(10,2)")
-        sold_at_loss = (cost * F.expr("0.88")).cast("decimal(10,2)")
         return (
             self.source("part")
-            .withColumn("_copy", _copies(key % 400 == 7))
-            .select(
-                key.alias("product_id"),
-                F.col("p_name").alias("product_name"),
-                F.col("p_brand").alias("category"),
-                F.col("p_type").alias("temperature_zone"),
-                cost.alias("unit_cost"),
-                F.when(key % 17 == 3, sold_at_loss).otherwise(list_price).alias("unit_price"),
-                F.col("p_size").alias("shelf_life_days"),
+            .selectExpr("*", "cast(p_retailprice as decimal(10,2)) as list_price", _copies("p_partkey % 400 = 7"))
+            .selectExpr("*", "cast(list_price * 0.70 as decimal(10,2)) as unit_cost")
+            .selectExpr(
+                "p_partkey as product_id", "p_name as product_name", "p_brand as category",
+                "p_type as temperature_zone", "unit_cost",
+                "if(p_partkey % 17 = 3, cast(unit_cost * 0.88 as decimal(10,2)), list_price) as unit_price",
+                "p_size as shelf_life_days",
             )
         )
 
     @cached_property
     def depots(self) -> DataFrame:
-        key, nation = F.col("s_suppkey"), F.col("n_name")
-        city = (
-            F.when(key % 12 == 2, F.concat(F.lit(" "), F.lower(nation)))
-            .when(key % 12 == 7, F.upper(nation))
-            .otherwise(nation)
-        )
+        supplier, nation, region = (self.source(n) for n in ("supplier", "nation", "region"))
         return (
-            self.source("supplier")
-            .join(self.source("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.source("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                key.alias("depot_id"),
-                F.col("s_name").alias("depot_name"),
-                city.alias("city"),
-                F.col("r_name").alias("region"),
-                (key % 1800 + 400).alias("capacity_pallets"),
-                F.date_add(F.lit("2009-01-01").cast("date"), (key % 5200).cast("int")).alias("opened_date"),
+            supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+            .join(region, nation.n_regionkey == region.r_regionkey)
+            .selectExpr(
+                "s_suppkey as depot_id", "s_name as depot_name",
+                "case when s_suppkey % 12 = 2 then concat(' ', lower(n_name))"
+                " when s_suppkey % 12 = 7 then upper(n_name) else n_name end as city",
+                "r_name as region", "s_suppkey % 1800 + 400 as capacity_pallets",
+                "date_add(date'2009-01-01', cast(s_suppkey % 5200 as int)) as opened_date",
             )
         )
 
     @cached_property
     def deliveries(self) -> DataFrame:
         """One delivery for 92 of 100 orders that have a line, plus ghost copies."""
-        key = F.col("o_orderkey")
-        first_depot = (
-            self.source("lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("_depot"))
-        )
-        g = F.col("_g")
-        dispatched = F.col("o_orderdate") + F.make_dt_interval(
-            (g % 7 + 1).cast("int"), (g % 7 + 4).cast("int")
-        )
-        transit = F.when(g % 118 == 9, -180).otherwise(g % 365 + 35).cast("int")
-        stray = F.element_at(F.array(*[F.lit(s) for s in STRAY_STATUS]), (g % 5 + 1).cast("int"))
-        regular = (
-            F.when(g % 100 < 88, "DELIVERED").when(g % 100 < 93, "FAILED")
-            .when(g % 100 < 97, "RETURNED").otherwise("PARTIAL")
-        )
-        distance = ((g % 2065 + 35) * F.expr("0.1")).cast("decimal(10,2)")
-        ghost = F.when(F.col("_copy") == 1, key + GHOST_OFFSET).otherwise(key)
+        head = self.source("orders").filter("o_orderkey % 100 < 92")
+        first = self.source("lineitem").groupBy("l_orderkey").agg({"l_suppkey": "min"}).toDF("k", "depot")
+        spelling = ", ".join(f"'{v}'" for v in STRAY_STATUS)
         return (
-            self.source("orders").filter(key % 100 < 92)
-            .join(first_depot, key == F.col("l_orderkey"))
-            .withColumn("_g", key * 13 + 3)
-            .withColumn("_copy", _copies(g % 168 == 10))
-            .select(
-                ghost.alias("delivery_id"),
-                ghost.alias("order_id"),
-                F.col("_depot").alias("depot_id"),
-                (key % 140 + 1).alias("vehicle_id"),
-                dispatched.alias("dispatched_at"),
-                (dispatched + F.make_dt_interval(F.lit(0), F.lit(0), transit)).alias("delivered_at"),
-                F.when(g % 19 == 4, stray).otherwise(regular).alias("status"),
-                F.when(g % 58 != 6, g % 27 == 1).alias("temperature_breach_flag"),
-                F.when(g % 396 == 8, -distance).otherwise(distance).alias("distance_km"),
+            head.join(first, head.o_orderkey == first.k)
+            .selectExpr("k", "depot", "o_orderdate", "k * 13 + 3 as g")
+            .selectExpr(
+                "*", "o_orderdate + make_dt_interval(cast(g % 7 + 1 as int), cast(g % 7 + 4 as int)) as sent",
+                "cast((g % 2065 + 35) * 0.1 as decimal(10,2)) as km", _copies("g % 168 = 10"),
+            )
+            .selectExpr(
+                f"k + copy_no * {GHOST_OFFSET} as delivery_id",
+                f"k + copy_no * {GHOST_OFFSET} as order_id",
+                "depot as depot_id", "k % 140 + 1 as vehicle_id", "sent as dispatched_at",
+                "sent + make_dt_interval(0, 0, if(g % 118 = 9, -180, cast(g % 365 + 35 as int))) as delivered_at",
+                f"case when g % 19 = 4 then element_at(array({spelling}), cast(g % 5 + 1 as int))"
+                " when g % 100 < 88 then 'DELIVERED' when g % 100 < 93 then 'FAILED'"
+                " when g % 100 < 97 then 'RETURNED' else 'PARTIAL' end as status",
+                "if(g % 58 = 6, null, g % 27 = 1) as temperature_breach_flag",
+                "if(g % 396 = 8, -km, km) as distance_km",
             )
         )
 
     @cached_property
-    def all(self) -> dict[str, DataFrame]:
-        return {
-            "products": self.products,
-            "depots": self.depots,
-            "orders": self.order_lines,
-            "deliveries": self.deliveries,
-        }
+    def all(self) -> Frames:
+        return Frames({
+            "products": lambda: self.products,
+            "depots": lambda: self.depots,
+            "orders": lambda: self.order_lines,
+            "deliveries": lambda: self.deliveries,
+        })

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +56,24 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Frames(Mapping):
+    """Names to results that are built on first access, so a plan holds only what it uses."""
+
+    def __init__(self, builders: Mapping[str, Callable]):
+        self._builders, self._built = dict(builders), {}
+
+    def __getitem__(self, name: str):
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class SourceRegistry:
     """Upstream names to DataFrames, resolved when a model asks for them."""
 
