@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import gold, query, silver, tagged
 from millrace.functions import cleanse as c
-from millrace.operators.rules import RowRule
 from millrace.operators.tagging import rejected, survivors, tag
 from millrace.plans import gold as gold_plan
-from millrace.plans.silver import MASTER_PRICE, product_rules, tag_orders, type_deliveries
+from millrace.plans.silver import MASTER_PRICE, product_rules, type_deliveries
 from millrace.sources.raw import as_text
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import pct, query, silver, tagged, typed
-from millrace.functions.cleanse import is_true
+from millrace.catalog.base import pct, query, silver, tagged
 from millrace.operators import gate, keys, references, rules
 from millrace.operators.tagging import rejected, survivors, tag
 from millrace.plans import silver as plan
@@ -110,8 +109,8 @@ with firsts as (select order_id, min(order_datetime) as first_at from lines_raw
 select delivery_id, order_id, d.{at}, first_at, d.{at} < first_at as too_early
 from deliveries_raw d join firsts using (order_id)""")
     def _(r):
-        return references.precedes_first(r.deliveries, "order_id", at, r.order_lines.select("order_id", F.col("order_datetime")),
-                                         "order_datetime").select("delivery_id", "order_id", at, "first_at", "too_early")
+        return references.precedes_first(r.deliveries, "order_id", at, r.order_lines, "order_datetime").select(
+            "delivery_id", "order_id", at, "first_at", "too_early")
 
 
 _too_early("rule_dispatch_before_order", "dispatched_at")
@@ -328,7 +327,7 @@ from (select sum(violations) filter (where action = 'FAIL') as v, sum(rows_rejec
 @query("gate", f"{_gate_sql(5.0)} union all {_gate_sql(2.5)}")
 def _(r):
     results, total = plan.results(tagged(r)), gate.rows_in(list(r.all.values()))
-    return gate.gate_totals(results, total, 5.0).unionByName(gate.gate_totals(results, total, 2.5))
+    return gate.gate_totals(results, total, 5.0, 2.5)
 
 
 @query("gate_totals", f"""

@@ -8,8 +8,6 @@ from millrace.catalog.base import gold, pct, query, silver, tagged, typed
 from millrace.functions.ratios import safe_ratio
 from millrace.operators import aggregates, gate, profile, rules
 from millrace.operators.references import fk_report
-from millrace.operators.tagging import rejected
-from millrace.plans import gold as gold_plan
 from millrace.plans import reports
 from millrace.sources.raw import as_text
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import gold, pct, query, ratio, silver, tagged, typed, ungated_gold
+from millrace.catalog.base import gold, pct, query, ratio, silver, tagged, ungated_gold
 from millrace.operators import checks, drills, gate
 from millrace.plans import gold as gold_plan
 from millrace.plans import measures, reports

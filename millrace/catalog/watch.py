@@ -78,8 +78,8 @@ def _(r):
 
 
 @query("refresh_latency", """
-select conv_id, started_at, finished_at, date_diff('second', started_at, finished_at) // 60 as minutes,
-       case when date_diff('second', started_at, finished_at) // 60 > 30 then 'WARN' else 'PASS' end as status
+select conv_id, started_at, finished_at, date_sub('minute', started_at, finished_at) as minutes,
+       case when date_sub('minute', started_at, finished_at) > 30 then 'WARN' else 'PASS' end as status
 from (select user_id as conv_id, min(ts) as started_at, max(ts) as finished_at from events group by 1)""")
 def _(r):
     # A run per user: from the first to the last event.

@@ -19,8 +19,8 @@ def _value(x: Column) -> Column:
     return x.try_cast("double")
 
 
-def ungrounded(text: Column, provided: Column, percent_form: bool = False) -> Column:
-    """Figures of `text` whose value is not among `provided` (array of numbers).
+def ungrounded(figures: Column, provided: Column, percent_form: bool = False) -> Column:
+    """Those `figures` (array of digits) whose value is not among `provided` (array of numbers).
 
     With `percent_form` a ratio may also be written as a percentage, so 0.88
     grounds 88.
@@ -29,4 +29,4 @@ def ungrounded(text: Column, provided: Column, percent_form: bool = False) -> Co
     allowed = F.coalesce(allowed, F.array().cast("array<double>"))
     if percent_form:
         allowed = F.concat(allowed, F.transform(allowed, lambda x: F.round(x * 100, 6)))
-    return F.filter(figures_in(text), lambda x: ~F.array_contains(allowed, _value(x)))
+    return F.filter(figures, lambda x: ~F.array_contains(allowed, _value(x)))

@@ -57,8 +57,8 @@ def rule_results(tables: Sequence[Tagged]) -> DataFrame:
     return reduce(DataFrame.unionByName, [_table_results(t) for t in tables])
 
 
-def gate_totals(results: DataFrame, total: DataFrame, max_pct: float = 5.0) -> DataFrame:
-    """One row: FAIL violations, rejected rows, rows in, both rates, threshold, status.
+def gate_totals(results: DataFrame, total: DataFrame, *max_pct: float) -> DataFrame:
+    """FAIL violations, rejected rows, rows in, both rates and a verdict per threshold (5 % if none).
 
     `total` is a one-row, one-column frame with the number of rows read.
     """
@@ -67,15 +67,18 @@ def gate_totals(results: DataFrame, total: DataFrame, max_pct: float = 5.0) -> D
         F.coalesce(F.sum(fails), F.lit(0)).alias("fail_violations"),
         F.coalesce(F.sum("rows_rejected"), F.lit(0)).alias("rows_quarantined"),
         F.coalesce(F.bool_or(F.col("halts") & (F.col("violations") > 0)), F.lit(False)).alias("halted"),
-    ).withColumn("rows_in", F.coalesce(total.scalar(), F.lit(0)))
-    over = F.col("fail_violations") * 100.0 > F.col("rows_in") * F.lit(float(max_pct))
+    ).withColumns({
+        "rows_in": F.coalesce(total.scalar(), F.lit(0)),
+        "threshold_pct": F.explode(F.array(*[F.lit(float(p)) for p in max_pct or (5.0,)])),
+    })
+    over = F.col("fail_violations") * 100.0 > F.col("rows_in") * F.col("threshold_pct")
     return summed.select(
         "fail_violations",
         "rows_quarantined",
         "rows_in",
         percent(F.col("fail_violations"), F.col("rows_in")).alias("violation_pct"),
         percent(F.col("rows_quarantined"), F.col("rows_in")).alias("quarantine_pct"),
-        F.lit(float(max_pct)).alias("threshold_pct"),
+        "threshold_pct",
         F.when(F.col("halted") | over, "HALT").otherwise("PASS").alias("status"),
     )
 

@@ -43,10 +43,10 @@ def lookup(child: DataFrame, child_col: str, master: DataFrame, master_col: str,
 
     `master_col` must be unique in the master, as it is after its own unique rule.
     """
-    wanted = master.select(
+    wanted = master.filter(F.col(master_col).isNotNull()).select(
         F.col(master_col).alias("_mk"), *[F.col(c).alias(new) for c, new in values.items()]
     )
-    return child.join(wanted, F.col(child_col) == F.col("_mk"), "left").drop("_mk")
+    return skew_join(child, wanted, [(child_col, "_mk")], "left").drop("_mk")
 
 
 def fk_report(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,

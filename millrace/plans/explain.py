@@ -28,7 +28,8 @@ def _plain(number: Column) -> Column:
 
 def grounding_check(texts: DataFrame, text: str, provided: Column, percent_form: bool = False) -> DataFrame:
     """Add n_figures, ungrounded (the figures nobody provided) and PASS or FAIL per text."""
-    loose = ungrounded(F.col(text), provided, percent_form)
-    return texts.withColumns(
-        {"n_figures": F.size(figures_in(F.col(text))), "ungrounded": loose}
-    ).withColumn("status", F.when(F.size("ungrounded") > 0, "FAIL").otherwise("PASS"))
+    found = texts.withColumn("_figures", figures_in(F.col(text)))
+    checked = found.withColumns({
+        "n_figures": F.size("_figures"), "ungrounded": ungrounded(F.col("_figures"), provided, percent_form)
+    }).drop("_figures")
+    return checked.withColumn("status", F.when(F.size("ungrounded") > 0, "FAIL").otherwise("PASS"))

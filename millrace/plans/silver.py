@@ -14,7 +14,7 @@ from millrace.operators.references import lookup, mark_parent
 from millrace.operators.rules import (
     CLEANSE, DOCUMENT, FAIL, WARN, ForeignKeyRule, Lookup, RegisterEntry, RowRule, UniqueRule,
 )
-from millrace.operators.tagging import Tagged, survivors, tag
+from millrace.operators.tagging import FIRST, Tagged, survivors, tag
 from millrace.sources.tables import Frames, settle, write_table
 
 THRESHOLD_PCT = 5.0
@@ -117,7 +117,8 @@ def tag_products(products: DataFrame) -> Tagged:
 
 
 def tag_depots(depots: DataFrame) -> Tagged:
-    return Tagged("depots", depots.withColumn("_dq_first", F.lit(None).cast("int")), ())
+    """Depots have no rule, so every row survives."""
+    return Tagged("depots", depots.withColumn(FIRST, F.lit(None).cast("int")), ())
 
 
 def tag_orders(orders: DataFrame, depots: DataFrame, silver_products: DataFrame) -> Tagged:
