@@ -34,29 +34,32 @@ def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def schema_audit(df: DataFrame, table: str, approximate: bool = False) -> DataFrame:
     """One row per column: type, non-NULL and NULL counts, NULL %, distinct values, a sample.
 
-    The sample is the smallest value as text, so repeated runs agree.
-    `approximate` swaps the exact distinct counts for HyperLogLog sketches,
-    which shuffle a few kilobytes per column instead of its distinct values.
+    The sample is the smallest value as text, so repeated runs agree. Counts and
+    samples are one ungrouped aggregate, which shuffles a row per task. So is
+    all of it with `approximate`, where HyperLogLog sketches replace the exact
+    distinct counts, the only step that shuffles values.
     """
-    if approximate:
-        per_column = _text_long(df, df.columns).groupBy("column").agg(
-            F.count("value").alias("non_null"),
-            F.count(F.lit(1)).alias("n"),
-            F.approx_count_distinct("value").alias("n_unique"),
-            F.min("value").alias("sample"),
+    stats = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(df.columns):
+        stats += [F.count(F.col(c)).alias(f"c{i}"), F.min(F.col(c).cast("string")).alias(f"s{i}")]
+        if approximate:
+            stats.append(F.approx_count_distinct(F.col(c)).alias(f"u{i}"))
+    lines = [
+        F.struct(
+            F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
+            F.col(f"c{i}").alias("non_null"), F.col(f"s{i}").alias("sample"),
+            *([F.col(f"u{i}").alias("n_unique")] if approximate else []),
         )
-    else:
-        per_column = frequencies(df, df.columns).groupBy("column").agg(
-            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
-            F.sum("n").alias("n"),
-            F.count("value").alias("n_unique"),
-            F.min("value").alias("sample"),
-        )
-    names = F.create_map(*[x for f in df.schema for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
+        for i, f in enumerate(df.schema)
+    ]
+    per_column = df.agg(*stats).select("n", F.explode(F.array(*lines)).alias("x")).select("n", "x.*")
+    if not approximate:
+        distinct = frequencies(df, df.columns).groupBy("column").agg(F.count("value").alias("n_unique"))
+        per_column = per_column.join(distinct, "column", "left").na.fill(0, ["n_unique"])
     nulls = F.col("n") - F.col("non_null")
     return per_column.select(
-        F.lit(table).alias("table"), "column", F.element_at(names, F.col("column")).alias("dtype"),
-        "non_null", nulls.alias("nulls"), percent(nulls, F.col("n")).alias("null_pct"), "n_unique", "sample",
+        F.lit(table).alias("table"), "column", "dtype", "non_null", nulls.alias("nulls"),
+        percent(nulls, F.col("n")).alias("null_pct"), "n_unique", "sample",
     )
 
 
