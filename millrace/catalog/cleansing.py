@@ -81,7 +81,7 @@ def _(r):
 select p_partkey, cast(p_retailprice as decimal(10,2)) as price, cast(p_size as decimal(10,2)) as size_money from part""")
 def _(r):
     return r.source("part").select(
-        "p_partkey", c.to_money("p_retailprice").alias("price"), c.to_money("p_size").alias("size_money")
+        "p_partkey", c.as_money("p_retailprice").alias("price"), c.as_money("p_size").alias("size_money")
     )
 
 

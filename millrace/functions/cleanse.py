@@ -35,9 +35,14 @@ def to_timestamp(c: str | Column) -> Column:
     return F.try_to_timestamp(_col(c))
 
 
-def to_money(c: str | Column, precision: int = 10) -> Column:
-    """decimal(precision, 2), half up; anything that does not fit is NULL."""
-    return _col(c).try_cast(f"decimal({precision},2)")
+def to_money(c: str | Column) -> Column:
+    """Text to decimal(10,2), half up."""
+    return _col(c).try_cast("decimal(10,2)")
+
+
+def as_money(c: str | Column) -> Column:
+    """A typed amount as decimal(10,2), half up. One too large raises: lost as NULL, it would leave every sum."""
+    return _col(c).cast("decimal(10,2)")
 
 
 def lost_by_parsing(raw: str | Column, parsed: Column) -> Column:
@@ -59,8 +64,8 @@ def to_microseconds(c: str | Column) -> Column:
 
 
 def line_value(quantity: str | Column, unit_price: str | Column) -> Column:
-    """quantity * price, multiplied at full precision and rounded once."""
-    return (_col(quantity) * _col(unit_price)).try_cast("decimal(12,2)")
+    """quantity * price, multiplied at full precision and rounded once. One too large raises."""
+    return (_col(quantity) * _col(unit_price)).cast("decimal(12,2)")
 
 
 def minutes_between(start: str | Column, end: str | Column) -> Column:

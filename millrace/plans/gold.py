@@ -21,7 +21,7 @@ def stg_orders(silver_orders: DataFrame) -> DataFrame:
         c.to_microseconds("order_datetime").alias("ordered_at"),
         F.col("requested_delivery_date").cast("date").alias("requested_delivery_date"),
         F.col("quantity").cast("int").alias("quantity"),
-        c.to_money("unit_price").alias("unit_price"),
+        c.as_money("unit_price").alias("unit_price"),
         c.line_value("quantity", "unit_price").alias("line_value"),
     )
 
@@ -32,7 +32,7 @@ def stg_deliveries(silver_deliveries: DataFrame) -> DataFrame:
         c.to_microseconds("dispatched_at").alias("dispatched_at"),
         c.to_microseconds("delivered_at").alias("delivered_at"),
         "status", "temperature_breach_flag",
-        c.to_money("distance_km").alias("distance_km"),
+        c.as_money("distance_km").alias("distance_km"),
         c.minutes_between("dispatched_at", "delivered_at").alias("transit_minutes"),
     )
 
@@ -62,8 +62,8 @@ def dim_depot(silver_depots: DataFrame) -> DataFrame:
 def _members(products: DataFrame, active: bool) -> DataFrame:
     return products.select(
         *PRODUCT_COLUMNS,
-        c.to_money("unit_cost").alias("unit_cost"),
-        c.to_money("unit_price").alias("unit_price"),
+        c.as_money("unit_cost").alias("unit_cost"),
+        c.as_money("unit_price").alias("unit_price"),
         F.col("shelf_life_days").cast("int").alias("shelf_life_days"),
         F.lit(active).alias("is_active"),
     )

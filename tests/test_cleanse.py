@@ -38,7 +38,9 @@ def test_conforming(spark):
 
 def test_money_rounds_half_up_and_line_value_rounds_once(spark):
     df = spark.sql("select cast(1.005 as double) as x, 3 as q, cast(0.335 as decimal(10,3)) as p")
-    assert one(df.select(c.to_money("x"), c.line_value("q", "p"))) == (Decimal("1.01"), Decimal("1.01"))
+    assert one(df.select(c.as_money("x"), c.line_value("q", "p"))) == (Decimal("1.01"), Decimal("1.01"))
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        df.select(c.as_money(F.lit(1e12))).collect()
 
 
 def test_minutes_count_boundaries(spark):

@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import keys, references
+from millrace.operators import gate, keys, references
 from millrace.operators.quantiles import exact_quantiles, to_long
+from millrace.operators.tagging import rejected, survivors
+from millrace.plans import silver
 
 
 @pytest.fixture
@@ -71,3 +73,33 @@ def test_quantile_state_is_bounded_and_exact_under_ties(spark):
     got = {r["prob"]: r["quantile"] for r in exact_quantiles(to_long(df, ["x"]), [0.05, 0.5, 0.95], 200).collect()}
     want = df.agg(F.percentile("x", F.array(*[F.lit(p) for p in (0.05, 0.5, 0.95)]))).first()[0]
     assert [got[0.05], got[0.5], got[0.95]] == want
+
+
+def test_gate_on_hot_keys_equals_brute_force(spark, splitting):
+    """A third of the lines are copies of one row; another third share product, depot and line id but differ."""
+    lines = spark.range(45_000, numPartitions=6).selectExpr(
+        "case id % 3 when 0 then 'copy' when 1 then 'clash' else concat('l', id) end as order_line_id",
+        "if(id % 3 = 0, 0, id) as order_id", "if(id % 3 = 2, id % 50, 1) as depot_id",
+        "if(id % 3 = 2, id % 40, 1) as product_id",
+        "if(id % 3 = 0, null, date'2026-01-01') as requested_delivery_date",
+        "cast(if(id % 3 = 0, 1, id % 10) as int) as quantity", "cast(if(id % 30 = 2, 9, 5) as double) as unit_price")
+    depots = spark.range(0, 45).selectExpr("id as depot_id")
+    products = spark.range(0, 30).selectExpr("id as product_id", "5.0D as unit_price", "if(id = 9, 6.0D, 1.0D) as unit_cost")
+    judged = silver.tag_orders(lines, depots, survivors(silver.tag_products(products)))
+    got = {r["rule"]: (r["violations"], r["rows_rejected"]) for r in gate.rule_results([judged]).collect()}
+
+    local = {tuple(r) for r in lines.collect()}
+    ids = [r[0] for r in local]
+    clash = {i for i in ids if i == "clash" and ids.count(i) > 1} if "clash" in ids else set()
+    left = [r for r in local if r[0] not in clash]
+    known = {p for p in range(30) if p != 9}
+    want = {"R4": (len(clash), len(local) - len(left)), "R5": (sum(r[4] is None for r in left), 0)}
+    for rule, bad in (("R6", lambda r: r[5] <= 0), ("R7", lambda r: r[2] >= 45),
+                      ("R8", lambda r: r[3] in known and r[6] != 5.0)):
+        wrong = [r for r in left if bad(r)]
+        want[rule] = (len(wrong), len(wrong))
+        left = [r for r in left if not bad(r)]
+    want["R17"] = (sum(r[3] not in known for r in left), 0)
+    assert got == want
+    assert survivors(judged).count() == len(left)
+    assert rejected(judged).count() + len(left) == len(local)
