@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
-from functools import cache
+from contextlib import suppress
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +21,9 @@ RUNTIME_CONF = {
 }
 
 
+_FOLDERS: list[str] = []
+
+
 def local_session(cores: str | int = "*", memory: str = "12g", partitions: int = 8,
                   work: str | None = None) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -49,21 +52,40 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for intermediate tables, stream checkpoints and exports.
+def work_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: `spark.checkpoint.dir`.
 
-    It lies below `spark.checkpoint.dir`, which a cluster points at shared
-    storage, so every executor sees it and it outlives a lost one. Only a local
-    master without that setting gets a temporary folder.
+    Where a session leaves that unset, as small tests do, the work goes below
+    its warehouse, which every executor of a cluster sees as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = _local_root()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_millrace_work"
+    return root.rstrip("/")
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the shared work folder; `clear_work` deletes it again."""
+    path = f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+    if not _FOLDERS:
+        atexit.register(_clear_at_exit)
+    _FOLDERS.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete the folders handed out so far; frames that read them are gone with them."""
+    done = 0
+    while _FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="millrace-")
+def _clear_at_exit() -> None:
+    """Ends a program's work folders with its session, if that still runs."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    with suppress(Exception):  # the JVM may be gone already
+        clear_work(spark)
