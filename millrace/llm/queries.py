@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact
+from millrace.llm import chat, exact, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,3 +64,34 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars")
+
+
+@query(r"""
+with sized as (
+  select doc_id, source, md5(cast(doc_id as varchar)) as k,
+         cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
+totals as (select source, cast(sum(size) as bigint) as total from sized group by source),
+weighed as (select *, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w from totals),
+chained as (
+  select *, (select sum(total) from totals)
+            - coalesce(sum(3 * total) over (o rows between unbounded preceding and 1 preceding), 0) as open_tokens,
+         sum(w) over (o rows between current row and unbounded following) as open_weight,
+         row_number() over o as place
+  from weighed window o as (order by total / w, source nulls last)),
+level as (
+  select coalesce(arg_min(cast(open_tokens as double) / cast(open_weight as double), place), 0) as l from chained
+  where 3 * total >= w * (cast(open_tokens as double) / cast(open_weight as double))),
+targets as (select source, total, least(cast(3 * total as double), w * l) as target from weighed, level),
+placed as (
+  select doc_id, size, total, target,
+         case when total > 0 then floor(target / total) else 0 end as passes,
+         coalesce(sum(size) over (partition by sized.source order by k, doc_id
+                                  rows between unbounded preceding and 1 preceding), 0) as before
+  from sized join targets on sized.source is not distinct from targets.source)
+select doc_id, size, total as source_size, target,
+       cast(size * least(3, passes + case when before * 2 + size <= 2 * (target - passes * total) then 1 else 0 end)
+            as bigint) as taken
+from placed
+""")
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).drop("first_position")
