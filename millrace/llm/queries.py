@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, mixing
+from millrace.llm import chat, exact, mixing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,7 +52,9 @@ from sized group by conv_id
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = chat.END + chat.START + "assistant ok"
-    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], given.schema)
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = given.unionByName(probe).withColumn("parts", chat.text_part(F.col("text")))
     read = chat.format_chats(turns).select(
         "conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
@@ -95,3 +97,21 @@ from placed
 """)
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("first_position")
+
+
+@query()
+def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    rules = secrets.BASE_RULES + secrets.MORE_RULES
+    base = len(secrets.BASE_RULES)
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", F.get(kinds, s["number"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    found = secrets.scan(table(spark, folder, "documents"), rules)
+    counts = [F.size(F.filter("spans", lambda s, n=n: s["number"] == n)).cast("long").alias(f"n_{r.kind}")
+              for n, r in enumerate(secrets.BASE_RULES)]
+    own = F.filter("spans", lambda s: s["number"] < base)
+    return found.select("doc_id", *counts, F.sha2(listed(own), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
