@@ -110,8 +110,9 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
             ":", F.get(kinds, s["number"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     found = secrets.scan(table(spark, folder, "documents"), rules)
-    counts = [F.size(F.filter("spans", lambda s, n=n: s["number"] == n)).cast("long").alias(f"n_{r.kind}")
-              for n, r in enumerate(secrets.BASE_RULES)]
+    def count(n: int):
+        return F.size(F.filter("spans", lambda s: s["number"] == n)).cast("long").alias(f"n_{rules[n].kind}")
+
     own = F.filter("spans", lambda s: s["number"] < base)
-    return found.select("doc_id", *counts, F.sha2(listed(own), 256).alias("base_sha256"),
+    return found.select("doc_id", *map(count, range(base)), F.sha2(listed(own), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))
