@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, mixing, secrets
+from millrace.llm import chat, exact, licences, mixing, pieces, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -116,3 +117,30 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     own = F.filter("spans", lambda s: s["number"] < base)
     return found.select("doc_id", *map(count, range(base)), F.sha2(listed(own), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))
+
+
+@query()
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode_decode(table(spark, folder, "documents"), model)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    base = F.transform("places", lambda p: p["label"])
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.transform("spans", lambda s: s["label"]))).alias("labels"),
+        F.when(F.size("places") > 0, 1.0)
+        .otherwise(F.least(F.lit(1.0), F.coalesce(F.array_max(F.transform("spans", lambda s: s["covered"])), F.lit(0.0))))
+        .alias("score"))
