@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, licences, mixing, pieces, secrets
+from millrace.llm import chat, exact, licences, mixing, pieces, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold(id_col: str = "doc_id"):
+    """The fold of a document, 0 to 4, by its id as text."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
+
+
+def quality_model(spark: SparkSession, folder: str) -> quality.QualityModel:
+    learned = table(spark, folder, "labels").filter(fold() != 0)
+    return quality.fit(table(spark, folder, "documents"), learned)
+
+
+QUALITY_FROM = 0.3
+
+
 @query("""
 with d as (select doc_id, coalesce(text, '') as text from documents)
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
@@ -144,3 +157,10 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.size("places") > 0, 1.0)
         .otherwise(F.least(F.lit(1.0), F.coalesce(F.array_max(F.transform("spans", lambda s: s["covered"])), F.lit(0.0))))
         .alias("score"))
+
+
+@query()
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.classify(table(spark, folder, "documents"), quality_model(spark, folder), {"doc_id": "doc_id"})
+    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_FROM).cast("int").alias("predicted"))
