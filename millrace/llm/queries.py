@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, licences, mixing, pieces, quality, secrets
+from millrace.llm import chat, embeddings, exact, licences, mixing, pieces, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -164,3 +164,20 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality.classify(table(spark, folder, "documents"), quality_model(spark, folder), {"doc_id": "doc_id"})
     return scored.select("doc_id", (fold() == 0).alias("held_out"), "score",
                          (F.col("score") >= QUALITY_FROM).cast("int").alias("predicted"))
+
+
+@query("""
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+          and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from reach r join links l on r.b = l.a),
+least_of as (select a, min(b) as component_id from reach group by a)
+select vec_id, (select count(*) from links where links.a = vec_id) as n_links, component_id,
+       vec_id = component_id as kept
+from embeddings join least_of on vec_id = a
+""")
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
