@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE = 256  # texts handled, and results held, at once
+SLICE_BYTES = 1 << 20  # of texts handled, and results held, at once; a longer text is a slice of its own
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch whose texts add up to about `size` bytes."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
 def map_texts(docs: DataFrame, text_col: str, keep: dict[str, str], made: dict[str, tuple[pa.DataType, str]],
-              start: Callable[[], Callable[[list[str]], list[list]]], slice_rows: int = SLICE) -> DataFrame:
+              start: Callable[[], Callable[[list[str]], list[list]]], slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The columns `keep` ({column: new name}) beside what Python makes of the texts (NULL counts as empty).
 
     `start` runs once per task and returns a function from texts to one list per
@@ -29,8 +42,7 @@ def map_texts(docs: DataFrame, text_col: str, keep: dict[str, str], made: dict[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, slice_rows):
-                part = batch.slice(at, slice_rows)
+            for part in slices(batch, batch.num_columns - 1, slice_bytes):
                 out = work(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *[pa.array(v, t) for v, t in zip(out, types)]], names=columns)

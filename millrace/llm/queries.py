@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings, exact, licences, mixing, pieces, quality, secrets
+from millrace.llm import chat, embeddings, exact, licences, lm, mixing, pieces, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -181,3 +181,13 @@ from embeddings join least_of on vec_id = a
 """)
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query()
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold() == 1, F.lit(False))
+    model = lm.train(docs.filter(~held_out))
+    scored = lm.score(docs, model, {"doc_id": "doc_id"})
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
