@@ -19,23 +19,17 @@ repeats need no rule.
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
-from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import map_texts, slices
+from millrace.llm.mapped import look_up, range_of, write_array
 from millrace.llm.words import END, mix, token_hashes
 from millrace.session import work_folder
 from millrace.sources.tables import settle
@@ -46,33 +40,6 @@ SCORED_BYTES = 6 << 20  # text looked up at once
 _U = np.uint64
 
 
-def write_array(folder: str, name: str, array: np.ndarray) -> None:
-    """Put an array into the shared folder under its final name, in one step."""
-    system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), _plain(folder))
-    system.create_dir(root, recursive=True)
-    draft = f"{root}/{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(draft) as out:
-        out.write(np.ascontiguousarray(array).data)
-    system.move(draft, f"{root}/{name}")
-
-
-def _plain(folder: str) -> str:
-    return urlparse(folder).path
-
-
-def map_array(folder: str, name: str, kind: np.dtype) -> np.ndarray:
-    """A read-only map of an array; from a remote store, of a local copy that no name refers to."""
-    if urlparse(folder).scheme in ("", "file"):
-        path = f"{_plain(folder)}/{name}"
-        return np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
-    system, root = fs.FileSystem.from_uri(folder)
-    with tempfile.TemporaryFile() as copy:
-        with system.open_input_stream(f"{root}/{name}") as source:
-            shutil.copyfileobj(source, copy)
-        copy.flush()
-        return np.memmap(copy, kind, "r") if copy.tell() else np.empty(0, kind)
-
-
 TOKEN = np.dtype([("count", "<u8"), ("before", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
 
 
@@ -99,10 +66,6 @@ def _column_of(right: np.ndarray, side: int) -> np.ndarray:
     return (mix(right + _U(2)) % _U(side)).astype(np.int64)
 
 
-def _range_of(token: np.ndarray, ranges: int) -> np.ndarray:
-    return ((token >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
-
-
 def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(mix(left) * _U(3) + right)
 
@@ -186,7 +149,7 @@ def _merge_cell(folder: str, ranges: int):
         ending = np.zeros(len(ends), TOKEN)
         ending["before"] = seen
         tokens, facts = _sum_tokens(np.concatenate((tokens, ends)), np.concatenate((after, ending)))
-        place = _range_of(tokens, ranges)
+        place = range_of(tokens, ranges)
         edges = np.flatnonzero(np.diff(place, prepend=-1, append=ranges))
         rows = [(int(place[a]), tokens[a:b].tobytes(), *[facts[n][a:b].tobytes() for n in TOKEN.names])
                 for a, b in zip(edges[:-1], edges[1:])]
@@ -262,53 +225,15 @@ def train(texts: DataFrame, text_col: str = "text") -> KneserNey:
                      _discounts(of_pairs.c1, of_pairs.c2, of_pairs.c3, of_pairs.c4), token_discounts, left_over)
 
 
-class _Maps:
-    """A worker's maps of one model's files; a file that was never written is empty."""
-
-    def __init__(self, folder: str):
-        self.folder, self.open = folder, {}
-
-    def get(self, name: str, kind) -> np.ndarray:
-        if name not in self.open:
-            try:
-                self.open[name] = map_array(self.folder, name, np.dtype(kind))
-            except FileNotFoundError:
-                self.open[name] = np.empty(0, kind)
-        return self.open[name]
-
-
-@lru_cache(maxsize=2)
-def _maps(folder: str) -> _Maps:
-    return _Maps(folder)
-
-
-def _look_up(keys: np.ndarray, file: np.ndarray, values) -> np.ndarray:
-    """Values of sorted keys in one file, zero where it lacks them."""
-    maps, (keys_name, keys_kind), (values_name, values_kind) = values
-    out = np.zeros(len(keys), values_kind)
-    order = np.argsort(file, kind="stable")
-    edges = np.flatnonzero(np.diff(file[order], prepend=-1, append=-1))
-    for a, b in zip(edges[:-1], edges[1:]):
-        rows = order[a:b]
-        n = int(file[rows[0]])
-        stored = maps.get(f"{keys_name}-{n}", keys_kind)
-        if len(stored):
-            at = np.minimum(np.searchsorted(stored, keys[rows]), len(stored) - 1)
-            hit = stored[at] == keys[rows]
-            out[rows[hit]] = maps.get(f"{values_name}-{n}", values_kind)[at[hit]]
-    return out
-
-
 def _discounted(counts: np.ndarray, discounts: tuple[float, ...]) -> np.ndarray:
     return np.maximum(counts - np.array((0.0, *discounts))[np.minimum(counts, 3).astype(np.int64)], 0.0)
 
 
 def score_texts(model: KneserNey, texts: list[str]) -> list[list]:
     """Per text: tokens, known tokens, base score and score (log10)."""
-    maps = _maps(model.folder)
     tokens, sizes = token_hashes(texts)
     known, at = np.unique(tokens, return_inverse=True)
-    facts = _look_up(known, _range_of(known, model.ranges), (maps, ("tokens", "<u8"), ("facts", TOKEN)))
+    facts = look_up(model.folder, known, range_of(known, model.ranges), ("tokens", "<u8"), ("facts", TOKEN))
     count = facts["count"].astype(np.float64)
     base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.vocabulary + 1)))
     unigram = np.full(len(known), model.left_over / (model.vocabulary + 1))
@@ -322,7 +247,7 @@ def score_texts(model: KneserNey, texts: list[str]) -> list[list]:
     order = np.argsort(hashes)
     cells = _row_of(known[a], model.side) * model.side + _column_of(known[b], model.side)
     found = np.zeros(len(code), "<u4")
-    found[order] = _look_up(hashes[order], cells[order], (maps, ("pairs", "<u8"), ("counts", "<u4")))
+    found[order] = look_up(model.folder, hashes[order], cells[order], ("pairs", "<u8"), ("counts", "<u4"))
     seen = count[a] > 0
     total = np.where(seen, count[a], 1.0)
     share = np.where(seen, passed_on[a] / total, 1.0)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings, exact, licences, lm, mixing, pieces, quality, secrets
+from millrace.llm import chat, embeddings, exact, jaccard, licences, lm, mixing, pieces, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -191,3 +191,27 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     scored = lm.score(docs, model, {"doc_id": "doc_id"})
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
                          F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query(r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+shingled as (
+  select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+                        else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s
+  from worded),
+sets as (select distinct doc_id, s from shingled),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+both_have as (select a.doc_id as a, b.doc_id as b, count(*) as common
+              from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (select a, b from both_have join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+          where 100 * common >= 85 * (x.n + y.n - common)),
+reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reach r join links l on r.b = l.a),
+least_of as (select a, min(b) as component_id from reach group by a)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id,
+       (select count(*) from links where links.a = doc_id) as n_links
+from documents left join sizes using (doc_id) join least_of on doc_id = a
+""")
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, folder, "documents"))
