@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 SLICE_BYTES = 1 << 20  # of texts handled, and results held, at once; a longer text is a slice of its own
 
@@ -33,10 +34,10 @@ def map_texts(docs: DataFrame, text_col: str, keep: dict[str, str], made: dict[s
     """
     rows = docs.select(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(keep)],
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    kinds = dict(rows.dtypes)
     names = list(keep.values())
-    fields = [f"`{name}` {kinds[f'_k{n}']}" for n, name in enumerate(names)]
-    fields += [f"`{name}` {kind}" for name, (_, kind) in made.items()]
+    schema = StructType(
+        [StructField(name, rows.schema[f"_k{n}"].dataType) for n, name in enumerate(names)]
+        + [StructField(name, DataType.fromDDL(kind)) for name, (_, kind) in made.items()])
     types, columns = [t for t, _ in made.values()], [*names, *made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,4 +48,11 @@ def map_texts(docs: DataFrame, text_col: str, keep: dict[str, str], made: dict[s
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *[pa.array(v, t) for v, t in zip(out, types)]], names=columns)
 
-    return rows.mapInArrow(run, ", ".join(fields))
+    return rows.mapInArrow(run, schema)
+
+
+def map_rows(docs: DataFrame, text_col: str, made: dict[str, tuple[pa.DataType, str]],
+             start: Callable[[], Callable[[list[str]], list[list]]]) -> DataFrame:
+    """Like `map_texts`, with the whole row as the struct `_doc`, whatever its columns are called."""
+    packed = docs.select(F.struct("*").alias("_doc"), F.col(text_col).alias("_own_text"))
+    return map_texts(packed, "_own_text", {"_doc": "_doc"}, made, start)

@@ -3,8 +3,8 @@
 Every tree splits its rows at the median of their projection on a random direction,
 again and again; rows within a margin of the median go to both sides, so that few
 close pairs are parted, and other trees find those. A node is a leaf when it is
-small, or so dense that a split would send most rows to both sides; a dense leaf may be
-of any size. Within a leaf all pairs are compared, exactly and in double precision, in
+small, or so dense that half its rows project closer together than a close pair may; a dense
+leaf may be of any size. Within a leaf all pairs are compared, exactly and in double precision, in
 blocks of bounded size that are spread over the cluster.
 
 A pair that shares several leaves counts in the first of them only. Equal vectors
@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from millrace.llm.components import connected
 from millrace.sources.tables import settle
 
-TREES, LEVELS, LEAF_ROWS, BLOCK_ROWS = 6, 24, 512, 1024
-MARGIN = 0.5  # of the spread that a pair at the threshold has along a random direction
+TREES, LEVELS, LEAF_ROWS, BLOCK_ROWS = 8, 24, 512, 1024
+# In units of the spread that a pair at the threshold has along a random direction. The margin sends about a tenth
+# of the rows to both sides of a split, so a tree's rows grow slowly with its depth.
+MARGIN, DENSE = 0.3, 1.0
 SEED = 20_011
 
 
@@ -65,10 +67,11 @@ def _project(classes: DataFrame) -> DataFrame:
     return classes.select("cls", "vec").mapInArrow(run, "cls long, tree long, node long, p array<float>")
 
 
-def _leaves(placed: DataFrame, margin: float) -> DataFrame:
+def _leaves(placed: DataFrame, spread: float) -> DataFrame:
     """(cls, tree, node): the leaves of every tree, grown level by level over all rows."""
     done = []
-    width = F.lit(margin) / F.sqrt("size")
+    unit = F.lit(spread) / F.sqrt("size")
+    width = MARGIN * unit
     rows = placed.withColumn("size", F.col("node").cast("double"))
     for level in range(LEVELS):
         here = F.get("p", F.lit(level))
@@ -77,7 +80,7 @@ def _leaves(placed: DataFrame, margin: float) -> DataFrame:
             F.percentile_approx(here, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias("_q"))
         stats = settle(stats, "tree-nodes")
         judged = rows.join(stats, (F.col("tree") == F.col("_t")) & (F.col("node") == F.col("_n")))
-        splits = (F.col("_rows") > LEAF_ROWS) & (F.col("_q")[2] - F.col("_q")[0] >= 2 * width)
+        splits = (F.col("_rows") > LEAF_ROWS) & (F.col("_q")[2] - F.col("_q")[0] >= DENSE * unit)
         sides = F.filter(F.array(F.when(here <= F.col("_q")[1] + width, F.lit(0)),
                                  F.when(here >= F.col("_q")[1] - width, F.lit(1))), lambda s: s.isNotNull())
         grown = settle(judged.select("cls", "tree", "node", "p", "size", splits.alias("_open"), sides.alias("_sides")),
@@ -158,8 +161,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
         F.count(F.lit(1)).alias("copies"), F.min("_id").alias("first_id"),
     ).withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
     placed = settle(_project(classes), "projections")
-    spread = (2 * (1 - threshold)) ** 0.5
-    units = _blocks(_leaves(placed, MARGIN * spread), classes)
+    units = _blocks(_leaves(placed, (2 * (1 - threshold)) ** 0.5), classes)
     found = settle(units.groupBy("leaf", "i", "j").applyInPandas(_compare(threshold), "cls long, n long, root long"),
                    "leaf-links")
     groups = connected(found.select(F.col("cls").alias("a"), F.col("root").alias("b")))

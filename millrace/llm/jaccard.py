@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import map_texts, slices
+from millrace.llm.arrow import map_rows, map_texts, slices
 from millrace.llm.components import connected
 from millrace.llm.mapped import look_up, range_of, write_array
 from millrace.llm.shingles import shingle_sets, signature
@@ -387,6 +387,7 @@ def drop_similar(docs: DataFrame, shingle_words: int = 4, percent: int = 85, id_
             return [[signature(s) if len(s) else None for s in shingle_sets(texts, shingle_words)]]
         return work
 
-    named = map_texts(docs, text_col, {c: c for c in docs.columns}, {"_own_cls": (pa.binary(), "binary")}, start)
-    same = (F.col("_own_cls") == F.col("_gone_cls")) & (F.coalesce(F.col(id_col), F.lit(NO_ID)) == F.col("_gone_id"))
-    return named.join(gone, same, "left_anti").drop("_own_cls")
+    named = map_rows(docs, text_col, {"_own_cls": (pa.binary(), "binary")}, start)
+    own_id = F.coalesce(F.col("_doc").getField(id_col), F.lit(NO_ID))
+    same = (F.col("_own_cls") == F.col("_gone_cls")) & (own_id == F.col("_gone_id"))
+    return named.join(gone, same, "left_anti").select("_doc.*")

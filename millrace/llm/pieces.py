@@ -137,8 +137,9 @@ def encoder(proto: bytes) -> MergeEncoder:
     return MergeEncoder(proto)
 
 
-def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: (id, n_tokens, ids, decoded); `ids` is packed, 32 bits little-endian each.
+def encode_decode(docs: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",),
+                  text_col: str = "text") -> DataFrame:
+    """One row per row of `docs`: the columns `keep`, n_tokens, ids, decoded; `ids` is packed, 32 bits little-endian each.
 
     The model is read on the driver and sent along; vocabularies are below a few megabytes.
     """
@@ -154,4 +155,4 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
         return work
 
     made = {"n_tokens": (pa.int64(), "long"), "ids": (pa.binary(), "binary"), "decoded": (pa.string(), "string")}
-    return map_texts(docs, text_col, {id_col: id_col}, made, start)
+    return map_texts(docs, text_col, {c: c for c in keep}, made, start)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import map_texts
+from millrace.llm.arrow import map_rows, map_texts
 
 FIT_ROWS, DIMENSIONS, NEIGHBOURS, SHARPNESS = 4000, 48, 15, 4
 WORDS, SHAPES = 2048, 1024
@@ -139,18 +139,16 @@ def vote(model: QualityModel, texts: list[str]) -> np.ndarray:
     return scores
 
 
-def classify(docs: DataFrame, model: QualityModel, keep: dict[str, str], text_col: str = "text",
-             score: str = "score") -> DataFrame:
+def classify(docs: DataFrame, model: QualityModel, keep: dict[str, str], text_col: str = "text") -> DataFrame:
     """The columns `keep` ({column: new name}) and the score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return map_texts(docs, text_col, keep, *_voting(docs, model))
 
-    def start():
-        return lambda texts: [vote(shared.value, texts)]
 
-    return map_texts(docs, text_col, keep, {score: (pa.float64(), "double")}, start)
+def _voting(docs: DataFrame, model: QualityModel):
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return {"score": (pa.float64(), "double")}, lambda: lambda texts: [vote(shared.value, texts)]
 
 
-def keep_good(docs: DataFrame, model: QualityModel, at_least: float) -> DataFrame:
+def keep_good(docs: DataFrame, model: QualityModel, at_least: float, text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose score reaches `at_least`, with their columns as they are."""
-    scored = classify(docs, model, {c: c for c in docs.columns}, score="_quality_score")
-    return scored.filter(F.col("_quality_score") >= at_least).drop("_quality_score")
+    return map_rows(docs, text_col, *_voting(docs, model)).filter(F.col("score") >= at_least).select("_doc.*")
