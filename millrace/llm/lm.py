@@ -34,9 +34,9 @@ from millrace.llm.words import END, mix, token_hashes
 from millrace.session import work_folder
 from millrace.sources.tables import settle
 
-TASK_TOKENS = 3_000_000  # tokens whose pairs a task combines before it passes them on
+TASK_TOKENS = 2_000_000  # tokens whose pairs a task combines before it passes them on
 CELL_BYTES = 16 << 20  # text per cell of the grid
-SCORED_BYTES = 6 << 20  # text looked up at once
+SCORED_BYTES = 4 << 20  # text looked up at once
 _U = np.uint64
 
 
