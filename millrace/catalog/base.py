@@ -105,7 +105,7 @@ lines_raw as (
   from lines_copied),
 products_base as (
   select *, cast(p_retailprice as decimal(10,2)) as list_price,
-         unnest(case when p_partkey % 400 = 7 then [0, 1] else [0] end) as copy_no
+         unnest(case when p_partkey % 400 in (7, 107) then [0, 1] else [0] end) as copy_no
   from part),
 products_cost as (
   select *, cast(list_price * 0.70 as decimal(10,2)) as cost from products_base),
@@ -113,8 +113,11 @@ products_raw as (
   select p_partkey as product_id, p_name as product_name, p_brand as category,
          p_type as temperature_zone, cost as unit_cost,
          case when p_partkey % 17 = 3 then cast(cost * 0.88 as decimal(10,2)) else list_price end as unit_price,
-         p_size as shelf_life_days
+         p_size + case when copy_no = 1 and p_partkey % 400 = 107 then 1 else 0 end as shelf_life_days
   from products_cost),
+products_one as (
+  select distinct on (product_id) * from products_raw
+  order by product_id, product_name, category, temperature_zone, unit_cost, unit_price, shelf_life_days),
 depots_raw as (
   select s_suppkey as depot_id, s_name as depot_name,
          case when s_suppkey % 12 = 2 then ' ' || lower(n_name)
@@ -125,8 +128,7 @@ depots_raw as (
 deliveries_base as (
   select o_orderkey as k, o_orderdate, depot, o_orderkey * 13 + 3 as g
   from orders
-  join (select l_orderkey, min(l_suppkey) as depot from lineitem group by l_orderkey) on o_orderkey = l_orderkey
-  where o_orderkey % 100 < 92),
+  join (select l_orderkey, min(l_suppkey) as depot from lineitem group by l_orderkey) on o_orderkey = l_orderkey),
 deliveries_copied as (
   select *, unnest(case when g % 168 = 10 then [0, 1] else [0] end) as copy_no,
          o_orderdate + to_days(cast(g % 7 + 1 as integer)) + to_hours(cast(g % 7 + 4 as integer)) as sent,
@@ -137,7 +139,8 @@ deliveries_raw as (
          depot as depot_id, k % 140 + 1 as vehicle_id, sent as dispatched_at,
          case when g % 118 = 9 then sent - interval 3 hours
               else sent + to_minutes(cast(g % 365 + 35 as integer)) end as delivered_at,
-         case when g % 19 = 4 then ['delivered', 'Delivered', ' DELIVERED', 'DELIVERED ', 'failed'][g % 5 + 1]
+         case when k % 100 >= 92 then 'SCHEDULED'
+              when g % 19 = 4 then ['delivered', 'Delivered', ' DELIVERED', 'DELIVERED ', 'failed'][g % 5 + 1]
               when g % 100 < 88 then 'DELIVERED' when g % 100 < 93 then 'FAILED'
               when g % 100 < 97 then 'RETURNED' else 'PARTIAL' end as status,
          case when g % 58 <> 6 then g % 27 = 1 end as temperature_breach_flag,
@@ -220,7 +223,7 @@ fact_deliveries{suffix} as (
 dim_product{suffix} as (
   select *, true as is_active from {products}
   union all
-  select distinct *, false from products_raw where product_id not in (select product_id from {products})),
+  select *, false from products_one where product_id not in (select product_id from {products})),
 measures{suffix}(measure, value) as (
   select 'Total Revenue', cast(coalesce(sum(line_value), 0) as double) from fact_orders{suffix} union all
   select 'Total Orders', cast(count(distinct order_id) as double) from fact_orders{suffix} union all

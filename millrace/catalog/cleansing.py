@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import gold, query, silver, tagged
 from millrace.functions import cleanse as c
+from millrace.operators.references import one_per_key
 from millrace.operators.tagging import rejected, survivors, tag
 from millrace.plans import gold as gold_plan
 from millrace.plans.silver import MASTER_PRICE, product_rules, type_deliveries
@@ -138,9 +139,9 @@ def _(r):
 
 @query("round_money", """
 select order_line_id, l.unit_price, p.unit_price as master_price, l.unit_price <> p.unit_price as differs
-from lines_raw l join (select distinct * from products_raw) p on l.product_id = p.product_id""")
+from lines_raw l join products_one p on l.product_id = p.product_id""")
 def _(r):
-    master = r.products.distinct().select("product_id", F.col("unit_price").alias("master_price"))
+    master = one_per_key(r.products, "product_id").select("product_id", F.col("unit_price").alias("master_price"))
     return r.order_lines.join(master, "product_id").select(
         "order_line_id", "unit_price", "master_price", c.money_differs("unit_price", "master_price").alias("differs")
     )

@@ -48,13 +48,13 @@ def _(r):
 
 
 def _master(r):
-    products = r.products.distinct()
+    products = references.one_per_key(r.products, "product_id")
     return rules.Lookup("product_id", products, "product_id", {"unit_price": plan.MASTER_PRICE})
 
 
 @query("rule_price_drift", """
 select order_line_id, l.unit_price, p.unit_price as expected
-from lines_raw l join (select distinct * from products_raw) p on l.product_id = p.product_id
+from lines_raw l join products_one p on l.product_id = p.product_id
 where l.unit_price <> p.unit_price""")
 def _(r):
     bad = _rejected_by(r.order_lines, "orders", "R8", plan.order_rules(r.depots), [_master(r)])
@@ -364,7 +364,7 @@ def _(r):
 
 @query("cascade_report", """
 select case when s.product_id is null then 'CASCADE' else 'GENUINE' end as cause, count(*) as n_lines
-from lines_raw l join (select distinct * from products_raw) p on l.product_id = p.product_id
+from lines_raw l join products_one p on l.product_id = p.product_id
 left join products_s s on l.product_id = s.product_id
 where l.unit_price <> p.unit_price group by 1""")
 def _(r):

@@ -211,8 +211,8 @@ _NUMERIC = ("quantity", "unit_price", "depot_id")
 def _numeric_sql(table: str, columns) -> str:
     return " union all ".join(f"""
 select '{c}' as "column", min(x) as min, quantile_cont(x, 0.05) as p05, quantile_cont(x, 0.5) as median,
-       quantile_cont(x, 0.95) as p95, max(x) as max, cast(avg(x) as decimal(18,2)) as mean,
-       cast(skewness(x) as decimal(18,2)) as skew, count(*) filter (where x < 0) as n_negative,
+       quantile_cont(x, 0.95) as p95, max(x) as max, cast(avg(x) as decimal(38,2)) as mean,
+       cast(skewness(x) as decimal(38,2)) as skew, count(*) filter (where x < 0) as n_negative,
        count(*) filter (where x = 0) as n_zero
 from (select cast({c} as double) as x from {table})""" for c in columns)
 
@@ -241,10 +241,7 @@ def _categorical_sql(column: str) -> str:
 select '{column}' as "column", d as n_distinct, cast(position as integer) as position, value, n from (
   select d, value, n, row_number() over (order by n desc, value nulls last) as position
   from (select {column} as value, count(*) as n from deliveries_text group by 1),
-       (select count(distinct {column}) as d from deliveries_text))
-where d <= 60 and position <= 20
-union all
-select '{column}', count(distinct {column}), 0, null, null from deliveries_text having count(distinct {column}) > 60"""
+       (select count(distinct {column}) as d from deliveries_text))"""
 
 
 @query("categorical_profile", f"""
@@ -264,9 +261,9 @@ select "column", count(*) as non_null,
        count(*) filter (where try_cast(value as double) is not null) as as_number,
        count(*) filter (where value in ('true', 'false', '0', '1')) as as_boolean,
        count(*) filter (where regexp_matches(value, '^[0-9]{4}-[0-9]{1,2}') and try_cast(value as timestamp) is not null) as as_timestamp,
-       case when "column" in ('delivery_id', 'distance_km') then 'number'
-            when "column" = 'temperature_breach_flag' then 'boolean'
-            when "column" = 'dispatched_at' then 'timestamp' end as suspect
+       case when as_number * 100.0 >= non_null * 95.0 then 'number'
+            when as_boolean * 100.0 >= non_null * 95.0 then 'boolean'
+            when as_timestamp * 100.0 >= non_null * 95.0 then 'timestamp' end as suspect
 from long group by 1""")
 def _(r):
     columns = ["delivery_id", "status", "dispatched_at", "temperature_breach_flag", "distance_km"]

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import gold, pct, query, ratio, silver, tagged, ungated_gold
+from millrace.catalog.base import gold, pct, query, ratio, silver, tagged, typed, ungated_gold
 from millrace.operators import checks, drills, gate
 from millrace.plans import gold as gold_plan
 from millrace.plans import measures, reports
 from millrace.plans import silver as silver_plan
 from millrace.session import work_folder
-from millrace.sources.tables import settle
 
 # --- models --------------------------------------------------------------------------------
 
@@ -107,9 +106,9 @@ def _tests_sql(kinds=("unique", "not_null", "relationships", "rows"), suffix: st
 select *, case when failures = 0 then 'PASS' else 'FAIL' end as status from ({' union all '.join(parts)})"""
 
 
-def _published(g):
-    """Tests and drills scan published tables, so the star is written once."""
-    return {name: settle(df, f"gold-{name}") for name, df in g.items()}
+def _published(r):
+    """The star over silver tables that were judged once and written: many questions scan it."""
+    return gold_plan.build_gold(silver_plan.settled_silver(typed(r)), r.products)
 
 
 def _kind(key: str, *kinds: str):
@@ -137,13 +136,13 @@ def _(r):
 
 @query("run_tests", _tests_sql())
 def _(r):
-    return checks.run_tests(gold_plan.star_tests(), _published(gold(r)))
+    return checks.run_tests(gold_plan.star_tests(), _published(r))
 
 
 @query("test_summary", f"""
 select status, count(*) as tests, cast(sum(failures) as bigint) as failures from ({_tests_sql()}) group by 1""")
 def _(r):
-    return checks.summary(checks.run_tests(gold_plan.star_tests(), _published(gold(r))))
+    return checks.summary(checks.run_tests(gold_plan.star_tests(), _published(r)))
 
 
 @query("sabotage_drill", f"""
@@ -155,7 +154,7 @@ dim_product_hurt as (select * from dim_product)
 select 'sabotaged' as phase, * from ({_tests_sql(suffix='_hurt')}) union all
 select 'restored', * from ({_tests_sql()})""")
 def _(r):
-    g = _published(gold(r))
+    g = _published(r)
     hurt = drills.orphan_keys(g["fact_orders"], "depot_id", F.col("order_id") % 7 == 3, [-1], F.lit(0))
     tests = gold_plan.star_tests()
     return drills.sabotage(tests, g, {**g, "fact_orders": hurt})
@@ -187,7 +186,7 @@ for _key, _name in _MEASURE_KEYS.items():
 
 @query("all_measures", "select measure, value from measures")
 def _(r):
-    return measures.all_measures(gold(r))
+    return measures.all_measures(_published(r))
 
 
 @query("measure_by_dim", """
@@ -200,7 +199,7 @@ from fact_deliveries group by 2 union all
 select 'Active Products', city, v from (select distinct city from depots_s),
   (select value as v from measures where measure = 'Active Products')""")
 def _(r):
-    g = gold(r)
+    g = _published(r)
     asked = (("Total Revenue", "region"), ("Total Orders", "category"), ("Cold Chain Breaches", "status"),
              ("Active Products", "city"))
     parts = [measures.measure_by(g, m, d).withColumn("measure", F.lit(m)) for m, d in asked]
@@ -245,7 +244,7 @@ select '{m}' as measure, ({sql}) as value, 'gold_star' as grounded_from,
        '{(f or {}).get("dimension", "")}' as dimension, '{(f or {}).get("value", "")}' as member, '{mode}' as mode"""
     for m, f, mode, sql in _asked()))
 def _(r):
-    g = gold(r)
+    g = _published(r)
     out = None
     for m, f, mode, _sql in _asked():
         named = f or {}

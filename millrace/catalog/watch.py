@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import gold, query, tagged, typed, ungated_gold
+from millrace.catalog.base import gold, query, silver, tagged, typed, ungated_gold
 from millrace.functions.figures import FIGURE
 from millrace.operators import drills, references
 from millrace.plans import explain, measures, monitor
@@ -57,24 +57,26 @@ with loose as (
   from lines_raw anti join depots_raw using (depot_id) group by 1, 2),
 firsts as (select run_date, count(*) as new_bad_keys from (
   select depot_id, min(run_date) as run_date from loose group by 1) group by 1),
-daily as (select run_date, cast(sum(n) as bigint) as orphans from loose group by 1)
+counted as (select run_date, cast(sum(n) as bigint) as n from loose group by 1),
+daily as (select run_date, coalesce(n, 0) as orphans
+          from (select distinct cast(order_datetime as date) as run_date from lines_raw) left join counted using (run_date))
 select 'R7' as rule, run_date, orphans, coalesce(new_bad_keys, 0) as new_bad_keys,
        coalesce(lag(orphans) over (order by run_date), 0) as previous,
        orphans - coalesce(lag(orphans) over (order by run_date), 0) as increase
 from daily left join firsts using (run_date)""")
 def _(r):
     loose = references.orphans(r.order_lines, "depot_id", r.depots, "depot_id")
-    return monitor.orphan_increase(loose, "depot_id", F.to_date(_DAY), "R7")
+    return monitor.orphan_increase(r.order_lines, loose, "depot_id", F.to_date(_DAY), "R7")
 
 
 @query("breach_rate_alert", """
 select month(dispatched_at) as member, count(*) as deliveries, count(*) filter (where temperature_breach_flag) as breaches,
        cast(count(*) filter (where temperature_breach_flag) as double) * 100.0::double / count(*) as breach_pct,
-       cast(count(*) filter (where temperature_breach_flag) as double) * 100.0::double / count(*) > 4.0 as alert
-from fact_deliveries group by 1""")
+       limit_pct, cast(count(*) filter (where temperature_breach_flag) as double) * 100.0::double / count(*) > limit_pct as alert
+from fact_deliveries, (values (4.0::double), (6.0::double)) l(limit_pct) group by 1, limit_pct""")
 def _(r):
     by_month = F.month("dispatched_at").cast("bigint")
-    return monitor.breach_alert(gold(r)["fact_deliveries"], by_month, 4.0)
+    return monitor.breach_alert(gold(r)["fact_deliveries"], by_month, 4.0, 6.0)
 
 
 @query("refresh_latency", """
@@ -89,15 +91,12 @@ def _(r):
 
 
 @query("dimension_change", """
-with a as (select distinct product_id from lines_raw where year(order_datetime) = 1996 and month(order_datetime) = 1),
-b as (select distinct product_id from lines_raw where year(order_datetime) = 1996 and month(order_datetime) = 2)
+with a as (select distinct product_id from products_raw),
+b as (select distinct product_id from products_s)
 select product_id as member, 'NEW' as change from b where product_id not in (select product_id from a) union all
 select product_id, 'REMOVED' from a where product_id not in (select product_id from b)""")
 def _(r):
-    # Two loads of the product list: what was sold in two successive months.
-    at = F.col(_DAY)
-    loads = [r.order_lines.filter((F.year(at) == 1996) & (F.month(at) == m)) for m in (1, 2)]
-    return references.membership_changes(*loads, "product_id")
+    return references.membership_changes(r.products, silver(r)["products"], "product_id")
 
 
 # --- explanations --------------------------------------------------------------------------
@@ -136,10 +135,10 @@ def _(r):
 
 
 @query("inject_orphan_fk", """
-select order_line_id, case when order_id % 145 = 3 then [-14, -17, -99][customer_id % 3 + 1] else depot_id end as depot_id
+select order_line_id, case when order_id % 145 = 3 then [-301, -302, -303][customer_id % 3 + 1] else depot_id end as depot_id
 from lines_raw""")
 def _(r):
-    hurt = drills.orphan_keys(r.order_lines, "depot_id", F.col("order_id") % 145 == 3, [-14, -17, -99], F.col("customer_id"))
+    hurt = drills.orphan_keys(r.order_lines, "depot_id", F.col("order_id") % 145 == 3, [-301, -302, -303], F.col("customer_id"))
     return hurt.select("order_line_id", F.col("depot_id").cast("bigint").alias("depot_id"))
 
 
@@ -150,10 +149,10 @@ def _(r):
 
 
 @query("inject_non_positive", """
-select order_line_id, case when order_id % 281 = 5 then [0, -1, -5, -12][customer_id % 4 + 1] else quantity end as quantity
+select order_line_id, case when order_id % 281 = 5 then [-3, 0, -8, -20][customer_id % 4 + 1] else quantity end as quantity
 from lines_raw""")
 def _(r):
-    hurt = drills.non_positive(r.order_lines, "quantity", F.col("order_id") % 281 == 5, [0, -1, -5, -12], F.col("customer_id"))
+    hurt = drills.non_positive(r.order_lines, "quantity", F.col("order_id") % 281 == 5, [-3, 0, -8, -20], F.col("customer_id"))
     return hurt.select("order_line_id", "quantity")
 
 
@@ -207,14 +206,14 @@ def _(r):
     return hurt.select("delivery_id", "distance_km")
 
 
-@query("inject_dup_master", "select * from products_raw union all select * from products_raw where product_id % 31 = 7")
+@query("inject_dup_master", "select * from products_raw union all select * from products_raw where product_id % 29 = 4")
 def _(r):
-    return drills.repeat_rows(r.products, F.col("product_id") % 31 == 7)
+    return drills.repeat_rows(r.products, F.col("product_id") % 29 == 4)
 
 
 @query("inject_negative_margin", """
-select product_id, unit_cost, case when product_id % 41 = 3 then cast(unit_cost * 0.88 as decimal(10,2)) else unit_price end as unit_price
+select product_id, unit_cost, case when product_id % 37 = 6 then cast(unit_cost * 0.88 as decimal(10,2)) else unit_price end as unit_price
 from products_raw""")
 def _(r):
-    hurt = drills.negative_margin(r.products, "unit_price", "unit_cost", F.col("product_id") % 41 == 3)
+    hurt = drills.negative_margin(r.products, "unit_price", "unit_cost", F.col("product_id") % 37 == 6)
     return hurt.select("product_id", "unit_cost", "unit_price")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import settle
+
 
 def group_having(df: DataFrame, keys: Sequence[str], more_than: int = 1) -> DataFrame:
     """Groups with more than so many rows: keys and n."""
@@ -26,11 +28,15 @@ def order_header(lines: DataFrame, key: str, order_by: Sequence[str], values: Se
 
 
 def with_share(totals: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """Add each group's part of the overall total as a double (0 if the total is 0)."""
-    whole = totals.agg(F.sum(value).alias("t")).scalar().cast("double")
-    return totals.withColumn(
-        name, F.when(whole.isNull() | (whole == 0), F.lit(0.0)).otherwise(F.col(value).cast("double") / whole)
-    )
+    """Add each group's part of the overall total as a double (0 if the total is 0).
+
+    The groups are written once; the total and the parts read them back.
+    """
+    totals = settle(totals, "totals")
+    whole = totals.agg(F.sum(value).cast("double").alias("_whole"))
+    share = F.when(F.col("_whole").isNull() | (F.col("_whole") == 0), F.lit(0.0)).otherwise(
+        F.col(value).cast("double") / F.col("_whole"))
+    return totals.join(F.broadcast(whole)).withColumn(name, share).drop("_whole")  # one row
 
 
 def top_k(df: DataFrame, by: str, tie: Sequence[str], k: int) -> DataFrame:

@@ -11,12 +11,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.ratios import percent, sample_skew
+from millrace.operators.positions import number_rows
 from millrace.operators.quantiles import exact_quantiles, to_long
+from millrace.sources.tables import settle
 
 BINS = 45
 
@@ -96,8 +98,8 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     long = to_long(df, columns or numeric_columns(df))
     base = long.groupBy("column").agg(
         F.min("value").alias("min"), F.max("value").alias("max"),
-        F.avg("value").cast("decimal(18,2)").alias("mean"),
-        sample_skew(F.col("value")).cast("decimal(18,2)").alias("skew"),
+        F.avg("value").cast("decimal(38,2)").alias("mean"),
+        sample_skew(F.col("value")).cast("decimal(38,2)").alias("skew"),
         F.count_if(F.col("value") < 0).alias("n_negative"),
         F.count_if(F.col("value") == 0).alias("n_zero"),
     )
@@ -127,27 +129,18 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFr
     )
 
 
-def categorical_profile(df: DataFrame, columns: Sequence[str], max_distinct: int = 60, top: int = 20) -> DataFrame:
-    """Most frequent values per text column: (column, n_distinct, position, value, n).
+def categorical_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every value of the text columns, most frequent first: (column, n_distinct, position, value, n).
 
-    A column with more than `max_distinct` values is one row with NULL value
-    and count. Ranking happens after that cut, so a group to rank is never larger.
+    All columns are ordered in one distributed sort and a column's positions count from
+    where it starts there; a caller who wants the first k filters on `position`.
     """
-    freq = frequencies(df, columns)
-    sizes = freq.groupBy("column").agg(F.count("value").alias("n_distinct"))
+    freq = frequencies(df, columns).withColumns({"_less": -F.col("n"), "_absent": F.col("value").isNull()})
+    placed = settle(number_rows(freq, "column", "_less", "_absent", "value", name="_at"), "value-positions")
     # One row per column of the schema.
-    joined = freq.join(F.broadcast(sizes), "column")
-    order = Window.partitionBy("column").orderBy(F.desc("n"), F.col("value").asc_nulls_last())
-    shown = (
-        joined.filter(F.col("n_distinct") <= max_distinct)
-        .withColumn("position", F.row_number().over(order)).filter(F.col("position") <= top)
-        .select("column", "n_distinct", "position", "value", "n")
-    )
-    skipped = sizes.filter(F.col("n_distinct") > max_distinct).select(
-        "column", "n_distinct", F.lit(0).alias("position"),
-        F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("n"),
-    )
-    return shown.unionByName(skipped)
+    heads = placed.groupBy("column").agg(F.count("value").alias("n_distinct"), F.min("_at").alias("_first"))
+    return placed.join(F.broadcast(heads), "column").select(
+        "column", "n_distinct", (F.col("_at") - F.col("_first") + 1).cast("int").alias("position"), "value", "n")
 
 
 def type_suspects(df: DataFrame, columns: Sequence[str], threshold_pct: float = 95.0) -> DataFrame:

@@ -2,17 +2,20 @@
 
 Spark's exact `percentile` keeps every distinct value of a column in one
 buffer. Here a mergeable sketch first brackets each wanted rank, and only the
-values inside the bracket, a fixed fraction of the rows, are counted and
-ranked. The sketch's rank error is guaranteed, so the bracket holds the rank.
+values inside the bracket, a fixed fraction of the rows, are counted and ranked,
+by ranges: no task holds a whole bracket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.positions import running_total
+from millrace.sources.tables import settle
+
 ACCURACY = 20_000
 # Bracket half-width in units of the sketch's error bound.
 MARGIN = 4
@@ -25,9 +28,26 @@ def to_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
-    """(column, prob, quantile), linear interpolation between the two nearest ranks."""
+    """(column, prob, quantile), linear interpolation between the two nearest ranks.
+
+    Runs jobs. A rank that its bracket misses is looked for again in a wider one, in the end among all values.
+    """
     present = long.filter(F.col("value").isNotNull())
-    slack = MARGIN / accuracy
+    slack, found = MARGIN / accuracy, None
+    while True:
+        here = settle(_ranked(present, probs, slack, accuracy), "quantiles")
+        hit = F.col("lo").isNotNull() & F.col("hi").isNotNull()
+        found = here.filter(hit) if found is None else found.unionByName(
+            here.filter(hit).join(found.select("column", "prob"), ["column", "prob"], "left_anti"))
+        if slack >= 1 or here.filter(~hit).isEmpty():
+            break
+        slack *= 8
+    fraction = F.col("rank") - F.floor("rank")
+    return found.select("column", "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * fraction).alias("quantile"))
+
+
+def _ranked(present: DataFrame, probs: Sequence[float], slack: float, accuracy: int) -> DataFrame:
+    """(column, prob, rank, lo, hi): the values at the whole ranks around each wanted one, NULL outside the bracket."""
     edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
     stats = present.groupBy("column").agg(
         F.count("value").alias("n"),
@@ -44,30 +64,24 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], accuracy: int = ACC
         )
         for i, p in enumerate(probs)
     ]
-    wanted = stats.select("column", F.explode(F.array(*brackets)).alias("b")).select("column", "b.*")
+    wanted = settle(stats.select("column", F.explode(F.array(*brackets)).alias("b")).select("column", "b.*"), "brackets")
 
     # `wanted` has one row per column and probability, whatever the input size.
     near = present.join(F.broadcast(wanted), "column").filter(F.col("value") <= F.col("high"))
     counted = near.groupBy(
         "column", "prob", "rank", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("v")
     ).agg(F.count(F.lit(1)).alias("n"))
-    # NULL `v` stands for everything below the bracket and sorts first. A window
-    # holds at most the bracket's distinct values: 2 * MARGIN / accuracy of the rows.
-    ranked = Window.partitionBy("column", "prob").orderBy("v")
-    upto = F.sum("n").over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    spans = counted.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("n"))
+    # NULL `v` stands for everything below the bracket and sorts first. Ranks come from
+    # ranges of the whole order, less where their (column, prob) starts.
+    spans = running_total(counted, "n", "column", "prob", "v")
+    starts = F.col("upto") - F.col("n")
+    spans = settle(spans.withColumn("from", starts), "rank-spans")
+    first = spans.groupBy("column", "prob").agg(F.min("from").alias("_first"))  # a row per column and probability
+    spans = spans.join(F.broadcast(first), ["column", "prob"])
 
     def value_at(rank):
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("upto")), F.col("v")))
+        at = rank + F.col("_first")
+        return F.max(F.when((F.col("from") <= at) & (at < F.col("upto")), F.col("v")))
 
-    lower = value_at(F.floor("rank"))
-    upper = value_at(F.ceil("rank"))
-    picked = spans.groupBy("column", "prob", "rank").agg(lower.alias("lo"), upper.alias("hi"))
-    missed = F.raise_error(F.lit("a quantile fell outside its bracket"))
-    fraction = F.col("rank") - F.floor("rank")
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * fraction
-    return picked.select(
-        "column", "prob",
-        F.when(F.col("lo").isNull() | F.col("hi").isNull(), missed.cast("double"))
-        .otherwise(value).alias("quantile"),
-    )
+    return spans.groupBy("column", "prob", "rank").agg(
+        value_at(F.floor("rank")).alias("lo"), value_at(F.ceil("rank")).alias("hi"))

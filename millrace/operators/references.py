@@ -12,27 +12,36 @@ from pyspark.sql import functions as F
 
 from millrace.functions.ratios import percent
 from millrace.operators.joins import skew_join
+from millrace.sources.tables import settle
 
 
 def _parent_keys(parent: DataFrame, parent_col: str) -> DataFrame:
-    return parent.select(F.col(parent_col).alias("_pk"))
+    """Distinct, so that a parent of many rows is one row before any join."""
+    return parent.select(F.col(parent_col).alias("_pk")).filter("_pk is not null").distinct()
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key: of conflicting versions the smallest by the other columns in their order."""
+    others = [c for c in df.columns if c != key]
+    first = df.groupBy(key).agg(F.min(F.struct(*others)).alias("_first"))
+    return first.select(*[F.col(c) if c == key else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
             null_is_orphan: bool = True) -> DataFrame:
     """Child rows without a parent. A NULL key is one, unless `null_is_orphan` is off."""
     rows = child if null_is_orphan else child.filter(F.col(child_col).isNotNull())
-    return rows.join(_parent_keys(parent, parent_col), F.col(child_col) == F.col("_pk"), "left_anti")
+    return skew_join(rows, _parent_keys(parent, parent_col), [(child_col, "_pk")], "left_anti")
 
 
 def with_parent(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows that have a parent."""
-    return child.join(_parent_keys(parent, parent_col), F.col(child_col) == F.col("_pk"), "left_semi")
+    return skew_join(child, _parent_keys(parent, parent_col), [(child_col, "_pk")], "left_semi")
 
 
 def mark_parent(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str, name: str) -> DataFrame:
     """Add boolean `name`: the parent exists. Never multiplies child rows."""
-    keys = _parent_keys(parent, parent_col).filter("_pk is not null").distinct().withColumn(name, F.lit(True))
+    keys = _parent_keys(parent, parent_col).withColumn(name, F.lit(True))
     joined = skew_join(child, keys, [(child_col, "_pk")], "left").drop("_pk")
     return joined.withColumn(name, F.col(name).isNotNull())
 
@@ -54,25 +63,28 @@ def fk_report(child: DataFrame, child_col: str, parent: DataFrame, parent_col: s
     """One row: orphans, their share of non-NULL keys, distinct bad keys and the first of them.
 
     Orphans are counted per key before anything else, so a bad key that fills
-    a third of the table is one row from then on.
+    a third of the table is one row from then on. The keys are joined to their
+    parents once and written; totals and examples read that.
     """
     per_key = (
         child.filter(F.col(child_col).isNotNull())
         .groupBy(F.col(child_col).alias("_ck")).agg(F.count(F.lit(1)).alias("_n"))
     )
-    bad = per_key.join(_parent_keys(parent, parent_col), F.col("_ck") == F.col("_pk"), "left_anti")
+    parents = _parent_keys(parent, parent_col).withColumn("_has", F.lit(True))
+    keys = settle(per_key.join(parents, F.col("_ck") == F.col("_pk"), "left").select("_ck", "_n", "_has"), "fk-keys")
+    bad = F.col("_has").isNull()
     first = (
-        bad.select("_ck").orderBy("_ck").limit(show)
+        keys.filter(bad).select("_ck").orderBy("_ck").limit(show)
         .agg(F.sort_array(F.collect_list("_ck")).alias("_v"))
         .select(F.array_join(F.transform("_v", lambda x: x.cast("string")), ","))
     )
-    totals = bad.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans"),
-                     F.count(F.lit(1)).alias("distinct_bad_keys"))
-    checked = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)))
+    totals = keys.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"),
+                      F.coalesce(F.sum(F.when(bad, F.col("_n"))), F.lit(0)).alias("orphans"),
+                      F.count_if(bad).alias("distinct_bad_keys"))
     return totals.select(
         F.lit(label).alias("check"),
         "orphans",
-        percent(F.col("orphans"), checked.scalar()).alias("orphan_pct"),
+        percent(F.col("orphans"), F.col("checked")).alias("orphan_pct"),
         "distinct_bad_keys",
         first.scalar().alias("first_bad_keys"),
         F.when(F.col("orphans") == 0, "PASS").otherwise("FAIL").alias("status"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cleanse as c
 from millrace.operators.checks import TableTest
-from millrace.operators.references import fk_report, orphans
+from millrace.operators.references import fk_report, one_per_key, orphans
 from millrace.sources.tables import Frames, write_table
 
 PRODUCT_COLUMNS = ("product_id", "product_name", "category", "temperature_zone")
@@ -70,8 +70,8 @@ def _members(products: DataFrame, active: bool) -> DataFrame:
 
 
 def withdrawn_products(silver_products: DataFrame, bronze_products: DataFrame) -> DataFrame:
-    """Members the source still knows but silver rejected, as inactive."""
-    known = _members(bronze_products, False).distinct()
+    """Members the source still knows but silver rejected, as inactive; one version of each key."""
+    known = one_per_key(_members(bronze_products, False), "product_id")
     return orphans(known, "product_id", silver_products, "product_id", null_is_orphan=False)
 
 

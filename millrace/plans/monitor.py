@@ -20,7 +20,8 @@ def run_log(raw: DataFrame, tagged: Tagged, day: Column) -> DataFrame:
         tagged.frame.filter(F.col(FIRST).isNotNull())
         .groupBy(day.alias("run_date")).agg(F.count(F.lit(1)).alias("violations"))
     )
-    return read.join(bad, "run_date", "left").select(
+    found = bad.withColumnRenamed("run_date", "_day")
+    return read.join(found, F.col("run_date").eqNullSafe(F.col("_day")), "left").select(
         F.lit(tagged.table).alias("table"), "run_date", "rows_in",
         F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"),
     )
@@ -50,18 +51,21 @@ def drift_soft(rates: DataFrame, days: int = 7, points: float = 2.0) -> DataFram
     return with_mean.filter(F.col("rate_pct") > F.col("mean_pct") + points)
 
 
-def orphan_increase(orphan_rows: DataFrame, key: str, day: Column, rule: str) -> DataFrame:
-    """Per run: orphans, those of the run before, the difference, and keys never seen before.
+def orphan_increase(rows: DataFrame, orphan_rows: DataFrame, key: str, day: Column, rule: str) -> DataFrame:
+    """Per run of `rows`: orphans, those of the run before, the difference, and keys never seen before.
 
-    (rule, run_date, orphans, new_bad_keys, previous, increase)
+    (rule, run_date, orphans, new_bad_keys, previous, increase); a run without orphans counts 0.
     """
+    runs = rows.select(day.alias("run_date")).distinct()
     per_key = orphan_rows.groupBy(day.alias("run_date"), key).agg(F.count(F.lit(1)).alias("n"))
     first_seen = per_key.groupBy(key).agg(F.min("run_date").alias("run_date")).groupBy("run_date").agg(
         F.count(F.lit(1)).alias("new_bad_keys")
     )
     counts = per_key.groupBy("run_date").agg(F.sum("n").alias("orphans"))
-    # One row per day from here on; days without orphans have no row.
-    daily = counts.join(first_seen, "run_date", "left").withColumn("rule", F.lit(rule))
+    # One row per run from here on.
+    found = counts.join(first_seen, "run_date", "left").withColumnRenamed("run_date", "_day")
+    daily = runs.join(found, F.col("run_date").eqNullSafe(F.col("_day")), "left").select(
+        F.lit(rule).alias("rule"), "run_date", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans"), "new_bad_keys")
     order = Window.partitionBy("rule").orderBy("run_date")
     previous = F.coalesce(F.lag("orphans").over(order), F.lit(0))
     return daily.select(
@@ -70,13 +74,15 @@ def orphan_increase(orphan_rows: DataFrame, key: str, day: Column, rule: str) ->
     )
 
 
-def breach_alert(deliveries: DataFrame, by: Column, limit_pct: float = 6.0) -> DataFrame:
-    """(member, deliveries, breaches, breach_pct, alert)."""
+def breach_alert(deliveries: DataFrame, by: Column, *limits_pct: float) -> DataFrame:
+    """(member, deliveries, breaches, breach_pct, limit_pct, alert) for every limit, 6 % if none is given."""
     counts = deliveries.groupBy(by.alias("member")).agg(
         F.count(F.lit(1)).alias("deliveries"), F.count_if(F.col("temperature_breach_flag")).alias("breaches")
     )
     rate = safe_ratio(F.col("breaches") * 100.0, F.col("deliveries"))
-    return counts.withColumn("breach_pct", rate).withColumn("alert", F.col("breach_pct") > limit_pct)
+    limits = F.array(*[F.lit(float(x)) for x in limits_pct or (6.0,)])
+    return counts.withColumns({"breach_pct": rate, "limit_pct": F.explode(limits)}).withColumn(
+        "alert", F.col("breach_pct") > F.col("limit_pct"))
 
 
 def refresh_latency(runs: DataFrame, limit_minutes: int = 30) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cleanse as c
 from millrace.operators import gate
-from millrace.operators.references import lookup, mark_parent
+from millrace.operators.references import lookup, mark_parent, one_per_key
 from millrace.operators.rules import (
     CLEANSE, DOCUMENT, FAIL, WARN, ForeignKeyRule, Lookup, RegisterEntry, RowRule, UniqueRule,
 )
@@ -179,12 +179,7 @@ def publish_silver(
     def place(name: str) -> str | None:
         return f"{location.rstrip('/')}/{name}" if location else None
 
-    depots = tables["depots"]
-    products = _settled(tag_products(tables["products"]))
-    orders = _settled(tag_orders(tables["orders"], depots, survivors(products)))
-    deliveries = _settled(tag_deliveries(tables["deliveries"], survivors(orders)))
-    tagged = {"products": products, "depots": tag_depots(depots), "orders": orders, "deliveries": deliveries}
-
+    tagged = _judged(tables)
     log = settle(results(tagged), "rule-results")
     held = gate.quarantine([tagged[n] for n in GATED])
     held = write_table(held, "quarantine_" + prefix.rstrip("_"), fmt=fmt, path=place("quarantine"), merge_schema=True)
@@ -197,6 +192,20 @@ def publish_silver(
     return SilverRun(log, totals, held, published)
 
 
+def settled_silver(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Survivors of the four tables, each judged once and written, parents first (runs jobs)."""
+    tagged = _judged(tables)
+    return {name: survivors(t) for name, t in tagged.items()}
+
+
+def _judged(tables: Mapping[str, DataFrame]) -> dict[str, Tagged]:
+    depots = tables["depots"]
+    products = _settled(tag_products(tables["products"]))
+    orders = _settled(tag_orders(tables["orders"], depots, survivors(products)))
+    deliveries = _settled(tag_deliveries(tables["deliveries"], survivors(orders)))
+    return {"products": products, "depots": tag_depots(depots), "orders": orders, "deliveries": deliveries}
+
+
 def _settled(tagged: Tagged) -> Tagged:
     return tagged.replace(settle(tagged.frame, f"tagged-{tagged.table}"))
 
@@ -213,7 +222,7 @@ def cascade_report(lines: DataFrame, raw_products: DataFrame, silver_products: D
     CASCADE lines disagree with a master row that a contract withdraws anyway;
     GENUINE lines disagree with a master row that stays.
     """
-    drifted = price_disagreements(lines, raw_products.dropDuplicates())
+    drifted = price_disagreements(lines, one_per_key(raw_products, "product_id"))
     causes = mark_parent(drifted, "product_id", silver_products, "product_id", "_kept")
     cause = F.when(F.col("_kept"), "GENUINE").otherwise("CASCADE")
     return causes.groupBy(cause.alias("cause")).agg(F.count(F.lit(1)).alias("n_lines"))

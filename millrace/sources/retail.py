@@ -74,13 +74,13 @@ class RetailTables:
     def products(self) -> DataFrame:
         return (
             self.source("part")
-            .selectExpr("*", "cast(p_retailprice as decimal(10,2)) as list_price", _copies("p_partkey % 400 = 7"))
+            .selectExpr("*", "cast(p_retailprice as decimal(10,2)) as list_price", _copies("p_partkey % 400 in (7, 107)"))
             .selectExpr("*", "cast(list_price * 0.70 as decimal(10,2)) as unit_cost")
             .selectExpr(
                 "p_partkey as product_id", "p_name as product_name", "p_brand as category",
                 "p_type as temperature_zone", "unit_cost",
                 "if(p_partkey % 17 = 3, cast(unit_cost * 0.88 as decimal(10,2)), list_price) as unit_price",
-                "p_size as shelf_life_days",
+                "p_size + if(copy_no = 1 and p_partkey % 400 = 107, 1, 0) as shelf_life_days",
             )
         )
 
@@ -101,8 +101,8 @@ class RetailTables:
 
     @cached_property
     def deliveries(self) -> DataFrame:
-        """One delivery for 92 of 100 orders that have a line, plus ghost copies."""
-        head = self.source("orders").filter("o_orderkey % 100 < 92")
+        """One delivery for every order that has a line, plus ghost copies; some are only scheduled."""
+        head = self.source("orders")
         first = self.source("lineitem").groupBy("l_orderkey").agg({"l_suppkey": "min"}).toDF("k", "depot")
         spelling = ", ".join(f"'{v}'" for v in STRAY_STATUS)
         return (
@@ -117,7 +117,7 @@ class RetailTables:
                 f"k + copy_no * {GHOST_OFFSET} as order_id",
                 "depot as depot_id", "k % 140 + 1 as vehicle_id", "sent as dispatched_at",
                 "sent + make_dt_interval(0, 0, if(g % 118 = 9, -180, cast(g % 365 + 35 as int))) as delivered_at",
-                f"case when g % 19 = 4 then element_at(array({spelling}), cast(g % 5 + 1 as int))"
+                f"case when k % 100 >= 92 then 'SCHEDULED' when g % 19 = 4 then element_at(array({spelling}), cast(g % 5 + 1 as int))"
                 " when g % 100 < 88 then 'DELIVERED' when g % 100 < 93 then 'FAILED'"
                 " when g % 100 < 97 then 'RETURNED' else 'PARTIAL' end as status",
                 "if(g % 58 = 6, null, g % 27 = 1) as temperature_breach_flag",

@@ -43,11 +43,30 @@ def test_missingness(spark):
     assert rows(profile.missingness_by(df, "n", "s"), "s", "nulls") == [("a", 0), ("b", 1)]
 
 
-def test_categorical_profile_skips_wide_columns(spark):
+def test_categorical_profile_keeps_every_value(spark):
     df = spark.range(100).selectExpr("cast(id as string) as wide", "if(id < 70, 'x', if(id < 99, 'y', null)) as slim")
     got = profile.categorical_profile(df, ["wide", "slim"])
-    assert rows(got) == sorted([("slim", 2, 1, "x", 70), ("slim", 2, 2, "y", 29), ("slim", 2, 3, None, 1),
-                                ("wide", 100, 0, None, None)], key=repr)
+    wide = [("wide", 100, k + 1, v, 1) for k, v in enumerate(sorted(str(n) for n in range(100)))]
+    assert rows(got) == sorted([("slim", 2, 1, "x", 70), ("slim", 2, 2, "y", 29), ("slim", 2, 3, None, 1), *wide], key=repr)
+
+
+def test_numeric_profile_of_large_ids(spark):
+    df = spark.range(5).selectExpr("4000000000000000000 + id as id")
+    assert profile.numeric_profile(df).first()["mean"] is not None
+
+
+def test_quantiles_outside_their_bracket_are_found_again(spark, monkeypatch):
+    from millrace.operators import quantiles
+    real = quantiles._ranked
+
+    def blind(present, probs, slack, accuracy):
+        out = real(present, probs, slack, accuracy)
+        return out if slack >= 0.01 else out.withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double")})
+
+    monkeypatch.setattr(quantiles, "_ranked", blind)
+    df = quantiles.to_long(spark.range(1001).selectExpr("id as x"), ["x"])
+    got = {r["prob"]: r["quantile"] for r in quantiles.exact_quantiles(df, [0.05, 0.5]).collect()}
+    assert got == {0.05: 50.0, 0.5: 500.0}
 
 
 def test_type_suspects(spark):
