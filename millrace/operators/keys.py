@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joins import skew_join
 from millrace.sources.raw import LINEAGE
+from millrace.sources.tables import settle
 
 CONFLICT = "_key_conflict"
 
@@ -53,6 +54,23 @@ def mark_conflicts(df: DataFrame, keys: Sequence[str], among: Column | None = No
     return marked.withColumn(name, repeats if among is None else repeats & among)
 
 
+def drop_identical_and_mark(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = LINEAGE,
+                            name: str = CONFLICT) -> DataFrame:
+    """`drop_identical` and then `mark_conflicts`, without moving the rows of keys that occur once.
+
+    Identical rows share their key, so only the rows of repeated keys, or of a NULL
+    key, can be copies or conflicts. Those keys are counted first, on the key columns
+    alone, and written: Spark knows the list's true size, broadcasts it when it is small and
+    splits hot partitions when not. Runs a job.
+    """
+    hits = settle(repeated_keys(df, keys), "repeated-keys").toDF(*[f"_r{i}" for i in range(len(keys))])
+    pairs = [(k, f"_r{i}") for i, k in enumerate(keys)]
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    suspects = skew_join(df.filter(keyed), hits, pairs, "left_semi").unionByName(df.filter(~keyed))
+    alone = skew_join(df.filter(keyed), hits, pairs, "left_anti").withColumn(name, F.lit(False))
+    return alone.unionByName(mark_conflicts(drop_identical(suspects, ignore), keys, None, name))
+
+
 def reject_repeated(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of unique keys, all rows of repeated keys); NULL keys count as unique."""
     repeated = repeated_keys(df, keys).toDF(*[f"_r{i}" for i in range(len(keys))])
@@ -63,12 +81,15 @@ def reject_repeated(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
 def _versions_per_key(df: DataFrame, key: str, ignore: Sequence[str]) -> DataFrame:
     """(key, n, versions): rows and different rows per key. NULL is a key here.
 
-    Whole rows are counted first, so copies shrink before the shuffle and the
-    rows of one key are spread by all their columns.
+    Keys are counted alone; only the rows of repeated keys are then compared,
+    spread by all their columns. Runs a job.
     """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hits = settle(counts.filter("n > 1").select(F.col(key).alias("_r0")), "repeated-keys")
     business = [c for c in df.columns if c not in ignore]
-    rows = df.groupBy(*business).agg(F.count(F.lit(1)).alias("n"))
-    return rows.groupBy(key).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("versions"))
+    rows = skew_join(df, hits, [(key, "_r0")], "left_semi").groupBy(*business).agg(F.count(F.lit(1)).alias("n"))
+    several = rows.groupBy(key).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("versions"))
+    return counts.filter("n = 1").withColumn("versions", F.lit(1).cast("long")).unionByName(several)
 
 
 def key_integrity(df: DataFrame, key: str, table: str) -> DataFrame:

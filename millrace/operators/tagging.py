@@ -78,10 +78,16 @@ def tag(
     """
     verdicts: list[tuple[int, Rule, str]] = []
     pending = list(lookups)
-    if drop_identical:
+    marked = drop_identical and bool(rules) and isinstance(rules[0], UniqueRule)
+    if marked:
+        df = key_ops.drop_identical_and_mark(df, rules[0].keys, ignore, "_bad0")
+    elif drop_identical:
         df = key_ops.drop_identical(df, ignore)
     for i, rule in enumerate(rules):
         name = f"_bad{i}"
+        if marked and i == 0:
+            verdicts.append((i, rule, name))
+            continue
         # Masters join after leading unique rules, which read the table twice.
         while pending and not isinstance(rule, UniqueRule):
             step = pending.pop(0)

@@ -5,7 +5,8 @@ lines, products, depots and deliveries with defects placed by key arithmetic,
 so every count is repeatable. Each derived row depends on its own source rows
 only: no numbering within an order, no window, and the injected copies come
 from an `explode` of the row itself. A hot order or part is therefore never
-gathered anywhere. FIXTURES.md lists the arithmetic.
+gathered anywhere. The two large tables are written once per folder and session, as a landing
+zone would hold them. FIXTURES.md lists the arithmetic.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.sources.tables import Frames
+from millrace.sources.tables import Frames, settle
 
 NO_DEPOT = 900000
 GHOST_OFFSET = 1_000_000_000
@@ -43,7 +44,7 @@ class RetailTables:
         item = self.source("lineitem")
         head = self.source("orders")
         part = self.source("part")
-        return (
+        return settle(
             item.join(head, item.l_orderkey == head.o_orderkey)
             .join(part, item.l_partkey == part.p_partkey)
             .selectExpr(
@@ -67,7 +68,7 @@ class RetailTables:
                 " + if(copy_no = 1 and h % 2580 = 13, 1, 0) as quantity",
                 "if(h % 58 = 11, cast(list_price * (h % 120 + 55) * 0.01 as decimal(10,2)), list_price)"
                 " as unit_price",
-            )
+            ), "order-lines"
         )
 
     @cached_property
@@ -105,7 +106,7 @@ class RetailTables:
         head = self.source("orders")
         first = self.source("lineitem").groupBy("l_orderkey").agg({"l_suppkey": "min"}).toDF("k", "depot")
         spelling = ", ".join(f"'{v}'" for v in STRAY_STATUS)
-        return (
+        return settle(
             head.join(first, head.o_orderkey == first.k)
             .selectExpr("k", "depot", "o_orderdate", "k * 13 + 3 as g")
             .selectExpr(
@@ -122,7 +123,7 @@ class RetailTables:
                 " when g % 100 < 97 then 'RETURNED' else 'PARTIAL' end as status",
                 "if(g % 58 = 6, null, g % 27 = 1) as temperature_breach_flag",
                 "if(g % 396 = 8, -km, km) as distance_km",
-            )
+            ), "deliveries"
         )
 
     @cached_property
