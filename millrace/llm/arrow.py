@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,13 @@ from pyspark.sql.types import DataType, StructField, StructType
 SLICE_BYTES = 1 << 20  # of texts handled, and results held, at once; a longer text is a slice of its own
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: workers are reused for very different work."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library than GNU's
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch whose texts add up to about `size` bytes."""
     ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
@@ -47,6 +56,7 @@ def map_texts(docs: DataFrame, text_col: str, keep: dict[str, str], made: dict[s
                 out = work(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *[pa.array(v, t) for v, t in zip(out, types)]], names=columns)
+        give_back()
 
     return rows.mapInArrow(run, schema)
 

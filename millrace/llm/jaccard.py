@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import map_rows, map_texts, slices
+from millrace.llm.arrow import give_back, map_rows, map_texts, slices
 from millrace.llm.components import connected
 from millrace.llm.mapped import look_up, range_of, write_array
 from millrace.llm.shingles import shingle_sets, signature
 from millrace.session import work_folder
 from millrace.sources.tables import settle
 
-TASK_SHINGLES = 3_000_000  # shingles that a task combines before it passes them on
+TASK_SHINGLES = 1_500_000  # shingles that a task combines before it passes them on
 RANGE_BYTES = 16 << 20  # text per range of shingle hashes
 BLOCK_SETS = 512
 STEP = 128  # shingles of a path between two looks at what remains
@@ -133,6 +133,8 @@ def _count_shingles(rows: DataFrame, size: int, folder: str, ranges: int, copies
                     held, total = [], 0
         if held:
             yield flush(held)
+        del held
+        give_back()
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         place = int(frame["place"].iloc[0])
@@ -147,6 +149,7 @@ def _count_shingles(rows: DataFrame, size: int, folder: str, ranges: int, copies
         totals = np.add.reduceat(counts[order], start)
         write_array(folder, f"shingles-{place}", shingles[start][totals > 1])
         write_array(folder, f"holders-{place}", totals[totals > 1].astype("<u4"))
+        give_back()
         return pd.DataFrame({"place": [place]})
 
     packed = rows.mapInArrow(run, "place long, first binary, width long, gaps binary, counts binary")
@@ -184,6 +187,7 @@ def _candidates(rows: DataFrame, size: int, percent: int, folder: str, ranges: i
                         [pa.array(c, t) for c, t in zip(zip(*out), [pa.binary(), pa.int64(), pa.binary(),
                                                                    pa.list_(pa.int64())])],
                         names=["cls", "n", "shingles", "early"])
+        give_back()
 
     return rows.mapInArrow(run, "cls binary, n long, shingles binary, early array<long>")
 

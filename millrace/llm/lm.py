@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import map_texts, slices
+from millrace.llm.arrow import give_back, map_texts, slices
 from millrace.llm.mapped import look_up, range_of, write_array
 from millrace.llm.words import END, mix, token_hashes
 from millrace.session import work_folder
@@ -121,6 +121,8 @@ def _count_pairs(texts: DataFrame, side: int) -> DataFrame:
                     held, size = [], 0
         if held:
             yield flush(held)
+        del held
+        give_back()
 
     return texts.mapInArrow(run, "cell long, lefts binary, runs binary, rights binary, counts binary")
 
