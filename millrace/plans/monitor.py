@@ -1,7 +1,6 @@
-"""Drift and health over a run log.
+"""Drift and health over a run log (`plans/runs.py`).
 
-A run is one day's load of one table. Runs are counted before any window, so a
-window orders one row per day and table, never the loaded rows.
+A window orders one row per run and table, never the loaded rows.
 """
 
 from __future__ import annotations
@@ -10,21 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.ratios import safe_ratio
-from millrace.operators.tagging import FIRST, Tagged
-
-
-def run_log(raw: DataFrame, tagged: Tagged, day: Column) -> DataFrame:
-    """(table, run_date, rows_in, violations): rows read and rejected per day."""
-    read = raw.groupBy(day.alias("run_date")).agg(F.count(F.lit(1)).alias("rows_in"))
-    bad = (
-        tagged.frame.filter(F.col(FIRST).isNotNull())
-        .groupBy(day.alias("run_date")).agg(F.count(F.lit(1)).alias("violations"))
-    )
-    found = bad.withColumnRenamed("run_date", "_day")
-    return read.join(found, F.col("run_date").eqNullSafe(F.col("_day")), "left").select(
-        F.lit(tagged.table).alias("table"), "run_date", "rows_in",
-        F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"),
-    )
 
 
 def quarantine_rate(log: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -15,6 +16,7 @@ from millrace.operators.rules import (
     CLEANSE, DOCUMENT, FAIL, WARN, ForeignKeyRule, Lookup, RegisterEntry, RowRule, UniqueRule,
 )
 from millrace.operators.tagging import FIRST, Tagged, survivors, tag
+from millrace.plans.runs import Run, append_run
 from millrace.sources.tables import Frames, settle, write_table
 
 THRESHOLD_PCT = 5.0
@@ -168,14 +170,18 @@ def publish_silver(
     max_pct: float = THRESHOLD_PCT,
     fmt: str = "parquet",
     location: str | None = None,
+    run: Run | None = None,
 ) -> SilverRun:
     """Judge, quarantine, enforce, and only then publish (runs jobs).
 
     Each table is tagged once and written to the shared work folder, parents
     first: counts, quarantine and silver all read that one result, and later
     tables join parents whose size Spark knows from their files. Quarantine is
-    written before the gate is enforced, so a halted load can be triaged.
+    written before the gate is enforced, so a halted load can be triaged. With
+    `run`, the load is appended to that run log, halted or not.
     """
+    started = dt.datetime.now(dt.timezone.utc)
+
     def place(name: str) -> str | None:
         return f"{location.rstrip('/')}/{name}" if location else None
 
@@ -184,11 +190,18 @@ def publish_silver(
     held = gate.quarantine([tagged[n] for n in GATED])
     held = write_table(held, "quarantine_" + prefix.rstrip("_"), fmt=fmt, path=place("quarantine"), merge_schema=True)
     total = gate.rows_in(list(tables.values()))
-    totals = gate.enforce(log, total, max_pct)
+    try:
+        totals = gate.enforce(log, total, max_pct)
+    except gate.ContractViolation:
+        if run is not None:
+            append_run(run, tables, tagged, log, started, "HALT")
+        raise
     published = {
         name: write_table(survivors(t), prefix + name, fmt=fmt, path=place(name), merge_schema=True)
         for name, t in tagged.items()
     }
+    if run is not None:
+        append_run(run, tables, tagged, log, started, "PASS")
     return SilverRun(log, totals, held, published)
 
 

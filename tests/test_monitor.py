@@ -2,13 +2,17 @@
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.operators import references
 from millrace.operators.rules import RowRule
 from millrace.operators.tagging import tag
-from millrace.plans import gold, monitor, silver
+from millrace.operators.gate import ContractViolation
+from millrace.plans import gold, monitor, runs, silver
+from millrace.session import work_folder
+from millrace.sources.retail import RetailTables
 
 
 def test_orphans_are_compared_with_the_run_before(spark):
@@ -25,7 +29,8 @@ def test_orphans_are_compared_with_the_run_before(spark):
 def test_rows_without_a_day_keep_their_violations(spark):
     df = spark.createDataFrame([(None, -1), (dt.date(2026, 1, 1), 1)], "day date, n int")
     judged = tag(df, "t", [RowRule("X", "n", "above zero", bad=F.col("n") <= 0)])
-    assert rows(monitor.run_log(df, judged, F.col("day")), "run_date", "rows_in", "violations") == sorted(
+    log = runs.backfill(df, judged, F.col("day"), work_folder(spark, "log"))
+    assert rows(runs.loads(log), "run_date", "rows_in", "violations") == sorted(
         [(None, 1, 1), (dt.date(2026, 1, 1), 1, 0)], key=repr)
 
 
@@ -57,3 +62,22 @@ def test_fk_report_with_a_hot_parent(spark):
     parent = spark.range(50).selectExpr("cast(1 as int) as k")
     got = references.fk_report(child, "k", parent, "k", "x").first()
     assert (got["orphans"], got["distinct_bad_keys"], got["first_bad_keys"], float(got["orphan_pct"])) == (1, 1, "7", 33.33)
+
+
+def test_every_load_is_logged_also_a_halted_one(spark):
+    raw = silver.conform(RetailTables(spark, "/root/testdata/sf0.001").all)
+    path = work_folder(spark, "log")
+    first = runs.Run("one", dt.date(2026, 1, 1), path)
+    run = silver.publish_silver(raw, "log_", location=work_folder(spark, "silver"), run=first)
+    with pytest.raises(ContractViolation):
+        silver.publish_silver(raw, "log_", 1.0, location=work_folder(spark, "silver"),
+                              run=runs.Run("two", dt.date(2026, 1, 2), path))
+    log = spark.read.parquet(path)
+    assert rows(log.groupBy("run_id", "status").count()) == [("one", "PASS", 12), ("two", "HALT", 12)]
+    for table in silver.GATED:
+        mine = log.filter((F.col("run_id") == "one") & (F.col("table") == table))
+        read, removed, rejected = mine.agg(F.max("rows_in"), F.max("identical_removed"), F.sum("rows_rejected")).first()
+        assert read - removed - rejected == run.tables[table].count() and read == raw[table].count()
+    rates = monitor.quarantine_rate(runs.loads(log))
+    assert rates.count() == 6 and monitor.drift_hard(rates, 1.0).count() > 0
+    assert rows(monitor.refresh_latency(runs.durations(log)), "run_id", "status") == [("one", "PASS"), ("two", "PASS")]
