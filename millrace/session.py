@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
 from contextlib import suppress
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +26,7 @@ RUNTIME_CONF = {
 
 
 _FOLDERS: list[str] = []
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: str | int = "*", memory: str = "12g", partitions: int = 8,
@@ -52,6 +57,25 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever they run.
+
+    Functions that run in workers are found there by name. Spark serves the
+    archive from the driver's own temporary folder to every executor.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    folder = Path(tempfile.mkdtemp()).resolve()
+    archive = folder / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    _SHIPPED.add(context.applicationId)
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: `spark.checkpoint.dir`.
 
