@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from millrace.session import ship_package
+
 SLICE_BYTES = 1 << 20  # of texts handled, and results held, at once; a longer text is a slice of its own
 
 
@@ -41,6 +43,7 @@ def map_texts(docs: DataFrame, text_col: str, keep: dict[str, str], made: dict[s
     `start` runs once per task and returns a function from texts to one list per
     column of `made` ({name: (Arrow type, Spark type)}).
     """
+    ship_package(docs.sparkSession)
     rows = docs.select(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(keep)],
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     names = list(keep.values())

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected
+from millrace.session import ship_package
 from millrace.sources.tables import settle
 
 TREES, LEVELS, LEAF_ROWS, BLOCK_ROWS = 8, 24, 512, 1024
@@ -151,6 +152,7 @@ def _compare(threshold: float):
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
                  vec_col: str = "embedding") -> DataFrame:
     """One row per row of `vectors`: (id, n_links, component_id, kept)."""
+    ship_package(vectors.sparkSession)
     vec = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     sound = F.forall("_vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("_vec", lambda x: x != 0)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from millrace.llm.arrow import give_back, map_texts, slices
 from millrace.llm.mapped import look_up, range_of, write_array
 from millrace.llm.words import END, mix, token_hashes
-from millrace.session import work_folder
+from millrace.session import ship_package, work_folder
 from millrace.sources.tables import settle
 
 TASK_TOKENS = 2_000_000  # tokens whose pairs a task combines before it passes them on
@@ -205,6 +205,7 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
 def train(texts: DataFrame, text_col: str = "text") -> KneserNey:
     """Count all rows of `texts`."""
     spark = texts.sparkSession
+    ship_package(spark)
     folder = work_folder(spark, "language-model")
     rows = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text") + 1), F.lit(0))).first()[0]
