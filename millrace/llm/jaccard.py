@@ -122,8 +122,8 @@ def _count_shingles(rows: DataFrame, size: int, folder: str, ranges: int, copies
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
         for batch in batches:
-            for part in slices(batch, 1, 1 << 20):
-                sets = shingle_sets(part.column(1).to_pylist(), size)
+            for part, texts in slices(batch, batch.column(1), 1 << 20):
+                sets = shingle_sets(texts.to_pylist(), size)
                 full = [(i, s) for i, s in zip(part.column(0).to_pylist(), sets) if len(s)]
                 mine = copies.own([i for i, _ in full], [signature(s) for _, s in full]) if full else []
                 held += [s for (_, s), m in zip(full, mine) if m]
@@ -163,8 +163,8 @@ def _candidates(rows: DataFrame, size: int, percent: int, folder: str, ranges: i
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1, 1 << 20):
-                sets = shingle_sets(part.column(1).to_pylist(), size)
+            for part, texts in slices(batch, batch.column(1), 1 << 20):
+                sets = shingle_sets(texts.to_pylist(), size)
                 full = [(i, s, signature(s)) for i, s in zip(part.column(0).to_pylist(), sets) if len(s)]
                 if not full:
                     continue

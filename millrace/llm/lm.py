@@ -112,8 +112,8 @@ def _count_pairs(texts: DataFrame, side: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch, 0, SCORED_BYTES):
-                tokens, _ = token_hashes(part.column(0).to_pylist())
+            for _, part in slices(batch, batch.column(0), SCORED_BYTES):
+                tokens, _ = token_hashes(part.to_pylist())
                 held.append(tokens)
                 size += len(tokens)
                 if size >= TASK_TOKENS:
