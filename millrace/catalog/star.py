@@ -10,6 +10,7 @@ from millrace.plans import gold as gold_plan
 from millrace.plans import measures, reports
 from millrace.plans import silver as silver_plan
 from millrace.session import work_folder
+from millrace.sources.raw import as_text, export_csv, read_raw
 
 # --- models --------------------------------------------------------------------------------
 
@@ -189,6 +190,31 @@ def _(r):
     return measures.all_measures(_published(r))
 
 
+def _from_text(r):
+    """The four tables as CSV files of text, read back as such and typed."""
+    text = {name: read_raw(r.spark, export_csv(as_text(df), work_folder(r.spark, f"csv-{name}")), df.columns)
+            for name, df in r.all.items()}
+    return silver_plan.type_all(text), text
+
+
+@query("csv_rule_results", """
+select rule, "table", action, violations, cast(rows_rejected as bigint) as rows_rejected,
+       case when violations = 0 then 'PASS' else action end as status
+from rule_counts""")
+def _(r):
+    typed_text, _ = _from_text(r)
+    return silver_plan.results(silver_plan.tag_all(typed_text)).drop("description", "halts")
+
+
+@query("csv_to_measures", """
+select measure, case when measure = 'Avg Line Value' then round(value, 6) else value end as value from measures""")
+def _(r):
+    typed_text, text = _from_text(r)
+    star = gold_plan.build_gold(silver_plan.settled_silver(typed_text), silver_plan.type_products(text["products"]))
+    rounded = F.when(F.col("measure") == "Avg Line Value", F.round("value", 6)).otherwise(F.col("value"))
+    return measures.all_measures(star).withColumn("value", rounded)
+
+
 @query("measure_by_dim", """
 select 'Total Revenue' as measure, region as member, cast(sum(line_value) as double) as value
 from fact_orders left join depots_s using (depot_id) group by 2 union all

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import gold, query, silver, tagged, typed, ungated_gold
 from millrace.functions.figures import FIGURE
-from millrace.operators import drills, references
+from millrace.operators import drills, gate, references
 from millrace.plans import explain, measures, monitor, runs
+from millrace.plans import silver as silver_plan
 from millrace.session import work_folder
 from millrace.sources.retail import GHOST_OFFSET, STRAY_STATUS
 
@@ -218,3 +219,61 @@ from products_raw""")
 def _(r):
     hurt = drills.negative_margin(r.products, "unit_price", "unit_cost", F.col("product_id") % 37 == 6)
     return hurt.select("product_id", "unit_cost", "unit_price")
+
+
+# Every rule sees its own defect: classes of keys, each hurt in one way, on tables that passed the gate.
+_HURT = """
+with p as (select product_id % 23 as d from products_s),
+o as (select order_id % 97 as d, requested_delivery_date is null as undated, product_id in (select product_id from products_s) as known
+      from lines_s),
+v as (select delivery_id % 97 as d from deliveries_s),
+found(rule, "table", action, clean_violations, hurt_violations) as (
+  select 'R1', 'products', 'FAIL', 0, (select count(*) from p where d = 5) union all
+  select 'R2', 'products', 'FAIL', 0, (select count(*) from p where d = 6) union all
+  select 'R4', 'orders', 'FAIL', 0, (select count(*) from o where d = 1) union all
+  select 'R5', 'orders', 'WARN', (select count(*) from o where undated), (select count(*) from o where d <> 1 and (d = 5 or undated)) union all
+  select 'R6', 'orders', 'FAIL', 0, (select count(*) from o where d = 2) union all
+  select 'R7', 'orders', 'FAIL', 0, (select count(*) from o where d = 3) union all
+  select 'R8', 'orders', 'FAIL', 0, (select count(*) from o where d = 4 and known) union all
+  select 'R17', 'orders', 'WARN', (select count(*) from o where not known),
+         (select count(*) from o where d not in (1, 2, 3) and (d = 6 or not known)) union all
+  select 'R10', 'deliveries', 'FAIL', 0, (select count(*) from v where d = 1) union all
+  select 'R12', 'deliveries', 'FAIL', 0, (select count(*) from v where d = 2) union all
+  select 'R13', 'deliveries', 'FAIL', 0, (select count(*) from v where d = 3) union all
+  select 'R14', 'deliveries', 'FAIL', 0, (select count(*) from v where d = 4))
+select rule, "table", cast(clean_violations as bigint) as clean_violations, cast(hurt_violations as bigint) as hurt_violations,
+       case when clean_violations = 0 then 'PASS' else action end as clean_status,
+       case when hurt_violations = 0 then 'PASS' else action end as hurt_status
+from found"""
+
+
+@query("defect_drill", _HURT)
+def _(r):
+    kept = {name: df.drop("_dq_r5", "_dq_r17") for name, df in silver_plan.settled_silver(typed(r)).items()}
+    d = F.col("order_id") % 97
+    products = drills.repeat_rows(kept["products"], F.col("product_id") % 23 == 5,
+                                  {"shelf_life_days": F.col("shelf_life_days") + 1})
+    products = drills.negative_margin(products, "unit_price", "unit_cost", F.col("product_id") % 23 == 6)
+    orders = drills.repeat_rows(kept["orders"], d == 1, {"quantity": F.col("quantity") + 1})
+    orders = drills.non_positive(orders, "quantity", d == 2, [-3, 0, -8], F.col("customer_id"))
+    orders = drills.orphan_keys(orders, "depot_id", d == 3, [-301, -302], F.col("customer_id"))
+    orders = drills.scale_price(orders, "unit_price", d == 4, F.expr("1.50"))
+    orders = drills.blank(orders, "requested_delivery_date", d == 5)
+    orders = drills.orphan_keys(orders, "product_id", d == 6, [-301], F.lit(0))
+    g = F.col("delivery_id") % 97
+    deliveries = drills.orphan_keys(kept["deliveries"], "order_id", g == 1, [-301], F.lit(0))
+    deliveries = drills.blank(deliveries, "temperature_breach_flag", g == 2)
+    deliveries = drills.invert_times(deliveries, "dispatched_at", "delivered_at", g == 3)
+    deliveries = drills.flip_sign(deliveries, "distance_km", g == 4)
+
+    def judged(p, o, v):
+        """Every table against sound parents, so one defect cannot cause another."""
+        return gate.rule_results([
+            silver_plan.tag_products(p), silver_plan.tag_orders(o, kept["depots"], kept["products"]),
+            silver_plan.tag_deliveries(v, kept["orders"])])
+
+    clean = judged(kept["products"], kept["orders"], kept["deliveries"]).select(
+        "rule", F.col("violations").alias("clean_violations"), F.col("status").alias("clean_status"))
+    hurt = judged(products, orders, deliveries).select(
+        "rule", "table", F.col("violations").alias("hurt_violations"), F.col("status").alias("hurt_status"))
+    return hurt.join(clean, "rule")
