@@ -79,10 +79,15 @@ def _(r):
     return audit.row_audit(_landed(r))
 
 
-@query("ingest_count_gate",
-       f"""select "table", n_rows as source_rows, n_rows as landed_rows, 'PASS' as status from ({_COUNTS})""")
-def _(r):
-    return audit.count_gate(r.all, _landed(r))
+@query("ingest_count_gate", f"""
+select "table", n_rows as source_rows, landed_rows, case when n_rows = landed_rows then 'PASS' else 'HALT' end as status
+from (select "table", n_rows, case "table" when 'orders' then (select count(*) from lines_raw where quantity > 0)
+             else n_rows end as landed_rows from ({_COUNTS}))""")
+def _(r):
+    # A landing that lost the order lines without a quantity above zero.
+    landed = dict(_landed(r))
+    landed["orders"] = landed["orders"].filter(F.col("quantity").cast("int") > 0)
+    return audit.count_gate(r.all, landed)
 
 
 @query("table_shapes", f"""
