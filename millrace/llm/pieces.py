@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from millrace.llm.arrow import map_texts
 
 SPACE = "▁"
-CACHED_SEGMENTS = 150_000  # of each generation
+CACHED_SEGMENTS = 250_000  # of each generation
 CACHED_CHARS = 64  # longer segments are encoded each time
 STRETCH = 50_000  # segments of a text looked up at once
 
