@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrow import give_back, map_rows, map_texts, slices
 from millrace.llm.components import connected
-from millrace.llm.mapped import look_up, range_of, write_array
+from millrace.llm.mapped import look_up, range_of, thin, wide, write_array
 from millrace.llm.shingles import shingle_sets, signature
 from millrace.session import work_folder
 from millrace.sources.tables import settle
@@ -54,18 +54,6 @@ def _early(n: int, percent: int) -> int:
     return n + percent * n // -100 + 1
 
 
-def _thin(gaps: np.ndarray) -> tuple[int, bytes]:
-    """Unsigned numbers in as many bytes as the largest needs."""
-    width = max(1, (int(gaps.max(initial=0)).bit_length() + 7) // 8)
-    return width, gaps.astype("<u8").view("u1").reshape(-1, 8)[:, :width].tobytes()
-
-
-def _wide(width: int, data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), "u1")
-    out[:, :width] = np.frombuffer(data, "u1").reshape(-1, width)
-    return out.view("<u8").ravel()
-
-
 class _Copies:
     """Which documents stand for their class: those without copies, and of copies the one named in the files."""
 
@@ -115,7 +103,7 @@ def _count_shingles(rows: DataFrame, size: int, folder: str, ranges: int, copies
         shingles, counts = np.unique(np.concatenate(held), return_counts=True)
         place = range_of(shingles, ranges)
         edges = np.flatnonzero(np.diff(place, prepend=-1, append=ranges))
-        packed = [(int(place[a]), shingles[a:a + 1].tobytes(), *_thin(np.diff(shingles[a:b])),
+        packed = [(int(place[a]), shingles[a:a + 1].tobytes(), *thin(np.diff(shingles[a:b])),
                    counts[a:b].astype("<u4").tobytes()) for a, b in zip(edges[:-1], edges[1:])]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*packed), types)], names=names)
 
@@ -140,7 +128,7 @@ def _count_shingles(rows: DataFrame, size: int, folder: str, ranges: int, copies
         place = int(frame["place"].iloc[0])
         parts = []
         for first, width, gaps in zip(frame["first"], frame["width"], frame["gaps"]):
-            parts.append(np.cumsum(np.concatenate((np.frombuffer(first, "<u8"), _wide(width, gaps))), dtype=np.uint64))
+            parts.append(np.cumsum(np.concatenate((np.frombuffer(first, "<u8"), wide(width, gaps))), dtype=np.uint64))
         shingles = np.concatenate(parts)
         counts = np.concatenate([np.frombuffer(c, "<u4") for c in frame["counts"]])
         order = np.argsort(shingles)

@@ -1,17 +1,21 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark, read through memory maps.
+"""An interpolated modified Kneser-Ney model of a given order, counted in Spark, read through memory maps.
 
-Counting. Each task turns its texts into token hashes and emits its distinct pairs of
-neighbours with counts, packed by cell of a grid: row by the left token, column by the
-right. A token of any frequency is spread over a line of cells, and the grid grows
-with the text, so a cell holds a bounded number of pairs. Each cell merges its pairs and writes
-them as sorted hashes with counts; it passes on, per token, what its pairs say about it: tokens
-seen before and after, and how many different ones. These meet by ranges of the token's
-hash and give the table of tokens, sorted by hash as well.
+Counting. Each task turns its texts into token hashes and emits its distinct runs of `order` tokens
+with counts, packed by cell of a grid: row by the context, column by the
+last token. A context of any frequency is spread over a line of cells, and the grid grows
+with the text, so a cell holds a bounded number of runs. Each cell merges its runs and writes
+them as sorted hashes with counts; it passes on what its runs say about their contexts, by
+ranges of the context's hash, and about the runs without their first token: before how many of those
+a different token stands. These numbers are the counts of the next lower order, which is merged in the same
+way, down to pairs. What pairs say about tokens meets by ranges of the token's
+hash and gives the table of tokens, sorted by hash as well.
+
+A context of several tokens that is not stored, but is itself a run of the lower order, was seen once.
 
 Scoring. Workers map the files, which lie in the shared folder, so memory holds only the
 pages in use. The tokens of a slice of texts are looked up in sorted order.
 
-A text's tokens are its words and one end; the end also stands before the first word.
+A text's tokens are its words and one end; ends also stand before the first word, as many as a context has.
 NULL counts as empty, which is the end alone. Counts, N and V come from all texts given for training;
 with none, every probability is 1 over the open vocabulary of one. Rows are scored one by one, so ties and
 repeats need no rule.
@@ -29,18 +33,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import give_back, map_texts, slices
-from millrace.llm.mapped import look_up, range_of, write_array
+from millrace.llm.mapped import look_up, range_of, thin, wide, write_array
 from millrace.llm.words import END, mix, token_hashes
 from millrace.session import ship_package, work_folder
 from millrace.sources.tables import settle
 
-TASK_TOKENS = 2_000_000  # tokens whose pairs a task combines before it passes them on
-CELL_BYTES = 16 << 20  # text per cell of the grid
+TASK_TOKENS = 2_000_000  # tokens whose runs a task combines before it passes them on
+CELL_BYTES = 16 << 20  # text per cell of the grid, for each token of a context
 SCORED_BYTES = 4 << 20  # text looked up at once
 _U = np.uint64
 
 
-TOKEN = np.dtype([("count", "<u8"), ("before", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
+TOKEN = np.dtype([("count", "<u8"), ("before", "<u8"), ("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
+CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
+TO_TOKENS, TO_CONTEXTS, TO_RUNS = range(3)  # where a row of facts goes
+_FACTS = "kind int, place long, tokens binary, ids binary, numbers binary, widths array<int>, " \
+         "c1 long, c2 long, c3 long, c4 long, runs long"
 
 
 @dataclass(frozen=True)
@@ -48,12 +56,13 @@ class KneserNey:
     """Where the arrays lie, and the figures of the whole training text."""
 
     folder: str
-    side: int  # of the grid of pairs
-    ranges: int  # of tokens
+    order: int
+    side: int  # of the grid of runs
+    ranges: int  # of tokens and contexts
     tokens: int  # N
     vocabulary: int  # V
     pairs: int
-    pair_discounts: tuple[float, ...]  # for counts 1, 2 and more
+    run_discounts: tuple[tuple[float, ...], ...]  # of pairs, of three tokens and so on, for counts 1, 2 and more
     token_discounts: tuple[float, ...]
     left_over: float  # share that unigrams pass on to unseen tokens
 
@@ -66,56 +75,103 @@ def _column_of(right: np.ndarray, side: int) -> np.ndarray:
     return (mix(right + _U(2)) % _U(side)).astype(np.int64)
 
 
-def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return mix(mix(left) * _U(3) + right)
-
-
-def _distinct_pairs(left: np.ndarray, right: np.ndarray, counts: np.ndarray | None):
-    """Sorted distinct (left, right) and their summed counts."""
-    lefts, l = np.unique(left, return_inverse=True)
-    rights, r = np.unique(right, return_inverse=True)
-    code = l * len(rights) + r
+def run_hash(columns: list[np.ndarray]) -> np.ndarray:
+    """Of runs of tokens, given as a column per place; of one token, itself."""
+    out = columns[0]
+    for c in columns[1:]:
+        out = mix(mix(out) * _U(3) + c)
+    return out
+
+
+def _cell_of(columns: list[np.ndarray], side: int) -> np.ndarray:
+    return _row_of(run_hash(columns[:-1]), side) * side + _column_of(columns[-1], side)
+
+
+def _distinct_runs(columns: list[np.ndarray], counts: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct runs of tokens and their summed counts."""
+    code = None
+    for c in columns:
+        every, at = np.unique(c, return_inverse=True)
+        if code is None:
+            code = at
+        else:
+            code = code * len(every) + at
+            if c is not columns[-1]:  # numbers stay below the square of the length
+                code = np.unique(code, return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.diff(code, prepend=-1))
     if counts is None:
-        code, summed = np.unique(code, return_counts=True)
+        summed = np.diff(first, append=len(code))
     else:
-        order = np.argsort(code)
-        code = code[order]
-        first = np.flatnonzero(np.diff(code, prepend=-1))
-        code, summed = code[first], np.add.reduceat(counts[order], first) if len(first) else counts
-    return lefts[code // max(1, len(rights))], rights[code % max(1, len(rights))], summed
+        summed = np.add.reduceat(counts[order], first) if len(first) else counts
+    return [c[order[first]] for c in columns], summed
+
+
+def _thinned(numbers: list[np.ndarray]) -> tuple[bytes, list[int]]:
+    """Several columns of unsigned numbers of one length, and the bytes that a number of each takes."""
+    parts = [thin(n) for n in numbers]
+    return b"".join(data for _, data in parts), [width for width, _ in parts]
+
+
+def _widened(data: bytes, widths: list[int]) -> list[np.ndarray]:
+    n, at, out = len(data) // int(sum(widths)), 0, []
+    for w in widths:
+        out.append(wide(int(w), data[at:at + n * int(w)]))
+        at += n * int(w)
+    return out
 
 
-def _packed(cell: np.ndarray, left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
-    """Pairs per cell: the left tokens once each with the length of their run, right tokens, counts."""
+def _packed(cell: np.ndarray, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[tuple]:
+    """Runs per cell: (cell, its tokens once each, numbers of the tokens and counts in few bytes, widths)."""
     order = np.argsort(cell, kind="stable")
-    cell, left, right, counts = cell[order], left[order], right[order], counts[order]
+    cell, counts = cell[order], counts[order]
+    columns = [c[order] for c in columns]
     edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
     for a, b in zip(edges[:-1], edges[1:]):
-        starts = np.flatnonzero(np.diff(left[a:b], prepend=left[a] + _U(1)))
-        runs = np.diff(starts, append=b - a)
-        yield (int(cell[a]), left[a:b][starts].tobytes(), runs.astype("<u4").tobytes(), right[a:b].tobytes(),
-               counts[a:b].astype("<u4").tobytes())
-
-
-def _count_pairs(texts: DataFrame, side: int) -> DataFrame:
-    names = ["cell", "lefts", "runs", "rights", "counts"]
-    types = [pa.int64(), *[pa.binary()] * 4]
-
-    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-        tokens = np.concatenate(held)
-        left = np.concatenate(([END], tokens[:-1]))
-        left, right, counts = _distinct_pairs(left, tokens, None)
-        cells = _row_of(left, side) * side + _column_of(right, side)
-        rows = list(_packed(cells, left, right, counts))
+        tokens, at = np.unique(np.concatenate([c[a:b] for c in columns]), return_inverse=True)
+        data, widths = _thinned([*at.reshape(len(columns), b - a), counts[a:b]])
+        yield int(cell[a]), tokens.tobytes(), data, widths
+
+
+def _unpacked(frame: pd.DataFrame, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    parts = []
+    for tokens, data, widths in zip(frame["tokens"], frame["numbers"], frame["widths"]):
+        *at, counts = _widened(data, widths)
+        tokens = np.frombuffer(tokens, "<u8")
+        parts.append([*[tokens[a.astype(np.int64)] for a in at], counts])
+    *columns, counts = [np.concatenate(c) for c in zip(*parts)]
+    return columns, counts
+
+
+def _back(tokens: np.ndarray, sizes: np.ndarray, end, order: int) -> list[np.ndarray]:
+    """Per token of texts that follow each other: the tokens order - 1 to 0 places before it, `end` before a text."""
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    columns = []
+    for k in range(order - 1, 0, -1):
+        c = np.full(len(tokens), end, tokens.dtype)
+        c[k:] = tokens[:-k]
+        c[place < k] = end
+        columns.append(c)
+    return [*columns, tokens]
+
+
+def _count_runs(texts: DataFrame, side: int, order: int) -> DataFrame:
+    names = ["place", "tokens", "numbers", "widths"]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
+
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        tokens, sizes = (np.concatenate(x) for x in zip(*held))
+        columns, counts = _distinct_runs(_back(tokens, sizes, END, order), None)
+        rows = list(_packed(_cell_of(columns, side), columns, counts))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for _, part in slices(batch, batch.column(0), SCORED_BYTES):
-                tokens, _ = token_hashes(part.to_pylist())
-                held.append(tokens)
-                size += len(tokens)
+                held.append(token_hashes(part.to_pylist()))
+                size += len(held[-1][0])
                 if size >= TASK_TOKENS:
                     yield flush(held)
                     held, size = [], 0
@@ -124,65 +180,102 @@ def _count_pairs(texts: DataFrame, side: int) -> DataFrame:
         del held
         give_back()
 
-    return texts.mapInArrow(run, "cell long, lefts binary, runs binary, rights binary, counts binary")
+    return texts.mapInArrow(run, "place long, tokens binary, numbers binary, widths array<int>")
 
 
-def _joined(column: pd.Series, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(column), kind)
-
-
-def _merge_cell(folder: str, ranges: int):
+def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        """Write one cell's pairs; return per token range what they say about tokens, packed."""
-        cell = int(frame["cell"].iloc[0])
-        left = np.repeat(_joined(frame["lefts"], "<u8"), _joined(frame["runs"], "<u4"))
-        left, right, counts = _distinct_pairs(left, _joined(frame["rights"], "<u8"),
-                                              _joined(frame["counts"], "<u4").astype(np.uint64))
-        hashes = pair_hash(left, right)
-        order = np.argsort(hashes)
-        write_array(folder, f"pairs-{cell}", hashes[order])
-        write_array(folder, f"counts-{cell}", counts[order].astype("<u4"))
-        tokens, at = np.unique(left, return_inverse=True)
-        after = np.zeros(len(tokens), TOKEN)
-        after["count"] = np.bincount(at, counts.astype(np.float64), len(tokens))
+        """Write one cell's runs of k tokens; return what they say about contexts, shorter runs and tokens, packed."""
+        cell = int(frame["place"].iloc[0])
+        columns, counts = _distinct_runs(*_unpacked(frame, k))
+        hashes = run_hash(columns)
+        by = np.argsort(hashes)
+        write_array(folder, f"runs{k}-{cell}", hashes[by])
+        write_array(folder, f"counts{k}-{cell}", counts[by].astype("<u4"))
+        contexts, at = np.unique(run_hash(columns[:-1]), return_inverse=True)
+        after = np.zeros(len(contexts), TOKEN)
+        after["total"] = np.bincount(at, counts.astype(np.float64), len(contexts))
         for n, these in (("n1", counts == 1), ("n2", counts == 2), ("n3", counts >= 3)):
-            after[n] = np.bincount(at[these], minlength=len(tokens))
-        ends, seen = np.unique(right, return_counts=True)
+            after[n] = np.bincount(at[these], minlength=len(contexts))
+        ends, at = np.unique(columns[-1], return_inverse=True)
         ending = np.zeros(len(ends), TOKEN)
-        ending["before"] = seen
-        tokens, facts = _sum_tokens(np.concatenate((tokens, ends)), np.concatenate((after, ending)))
-        place = range_of(tokens, ranges)
-        edges = np.flatnonzero(np.diff(place, prepend=-1, append=ranges))
-        rows = [(int(place[a]), tokens[a:b].tobytes(), *[facts[n][a:b].tobytes() for n in TOKEN.names])
-                for a, b in zip(edges[:-1], edges[1:])]
-        found = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-        out = pd.DataFrame(rows, columns=["place", "tokens", *TOKEN.names])
-        for k, n in enumerate(found):
-            out[f"c{k + 1}"] = [n] + [0] * (len(rows) - 1)
-        out["pairs"] = [len(counts)] + [0] * (len(rows) - 1)
+        if k == order:
+            ending["count"] = np.bincount(at, counts.astype(np.float64), len(ends))
+        if k == 2:
+            ending["before"] = np.bincount(at, minlength=len(ends))
+            rows = _facts(TO_TOKENS, *_sum_facts(np.concatenate((contexts, ends)), np.concatenate((after, ending))), ranges)
+        else:
+            rows = _facts(TO_CONTEXTS, contexts, after, ranges)
+            if k == order:
+                rows += _facts(TO_TOKENS, ends, ending, ranges)
+            shorter, before = _distinct_runs(columns[1:], None)
+            rows += [(TO_RUNS, place, tokens, None, data, widths)
+                     for place, tokens, data, widths in _packed(_cell_of(shorter, side), shorter, before)]
+        out = pd.DataFrame(rows, columns=["kind", "place", "tokens", "ids", "numbers", "widths"])
+        for n in (1, 2, 3, 4):
+            out[f"c{n}"] = [int((counts == n).sum())] + [0] * (len(rows) - 1)
+        out["runs"] = [len(counts)] + [0] * (len(rows) - 1)
+        give_back()
         return out
 
     return run
 
 
-def _sum_tokens(tokens: np.ndarray, facts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(tokens, kind="stable")
-    tokens, facts = tokens[order], facts[order]
-    first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.empty(0, int)
-    out = np.zeros(len(first), TOKEN)
-    for n in TOKEN.names:
+def _facts(kind: int, keys: np.ndarray, facts: np.ndarray, ranges: int) -> list[tuple]:
+    """Rows per range of sorted keys: the first key, the gaps between keys, the facts."""
+    place = range_of(keys, ranges)
+    edges = np.flatnonzero(np.diff(place, prepend=-1, append=ranges))
+    names = TOKEN.names if kind == TO_TOKENS else CONTEXT.names
+    rows = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        gaps, width = _thinned([np.diff(keys[a:b])])
+        data, widths = _thinned([facts[n][a:b] for n in names])
+        rows.append((kind, int(place[a]), keys[a:a + 1].tobytes(), gaps, data, [*width, *widths]))
+    return rows
+
+
+def _sum_facts(keys: np.ndarray, facts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, facts = keys[order], facts[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, int)
+    out = np.zeros(len(first), facts.dtype)
+    for n in facts.dtype.names:
         out[n] = np.add.reduceat(facts[n], first) if len(first) else 0
-    return tokens[first], out
+    return keys[first], out
+
+
+def _read_facts(frame: pd.DataFrame, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    keys, facts = [], []
+    for first, gaps, data, widths in zip(frame["tokens"], frame["ids"], frame["numbers"], frame["widths"]):
+        keys.append(np.cumsum(np.concatenate((np.frombuffer(first, "<u8"), wide(int(widths[0]), gaps))), dtype=np.uint64))
+        part = np.zeros(len(keys[-1]), kind)
+        for n, column in zip(kind.names, _widened(data, widths[1:])):
+            part[n] = column
+        facts.append(part)
+    return _sum_facts(np.concatenate(keys), np.concatenate(facts))
+
+
+def _merge_contexts(folder: str, k: int):
+    every_end = run_hash([np.array([END])] * (k - 1))[0]
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        """Write one range of the contexts of k - 1 tokens that were seen more than once, or that only ends make."""
+        place = int(frame["place"].iloc[0])
+        contexts, facts = _read_facts(frame, CONTEXT)
+        stored = (facts["total"] > 1) | (contexts == every_end)
+        write_array(folder, f"contexts{k}-{place}", contexts[stored])
+        write_array(folder, f"after{k}-{place}", facts[stored])
+        give_back()
+        return pd.DataFrame({"place": [place]})
+
+    return run
 
 
 def _merge_tokens(folder: str):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         """Write one range of the token table; return its figures."""
         place = int(frame["place"].iloc[0])
-        facts = np.zeros(sum(len(t) // 8 for t in frame["tokens"]), TOKEN)
-        for n in TOKEN.names:
-            facts[n] = _joined(frame[n], TOKEN[n])
-        tokens, facts = _sum_tokens(_joined(frame["tokens"], "<u8"), facts)
+        tokens, facts = _read_facts(frame, TOKEN)
         write_array(folder, f"tokens-{place}", tokens)
         write_array(folder, f"facts-{place}", facts)
         before = facts["before"]
@@ -202,36 +295,62 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
 
 
-def train(texts: DataFrame, text_col: str = "text") -> KneserNey:
-    """Count all rows of `texts`."""
+def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> KneserNey:
+    """Count all rows of `texts`, in runs of up to `order` tokens (2 or more)."""
+    if order < 2:
+        raise ValueError("order is 2 or more")
     spark = texts.sparkSession
     ship_package(spark)
     folder = work_folder(spark, "language-model")
     rows = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text") + 1), F.lit(0))).first()[0]
-    side = max(2, int(np.ceil(np.sqrt(size / CELL_BYTES))))
+    side = max(2, int(np.ceil(np.sqrt(size * (order - 1) / CELL_BYTES))))
     ranges = max(2, side * side // 4)
-    packed = _count_pairs(rows, side)
-    sums = settle(packed.groupBy("cell").applyInPandas(
-        _merge_cell(folder, ranges),
-        "place long, tokens binary, count binary, before binary, n1 binary, n2 binary, n3 binary, "
-        "c1 long, c2 long, c3 long, c4 long, pairs long"), "token-facts")
-    of_pairs = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c1", "c2", "c3", "c4", "pairs")]).first()
-    merged = settle(sums.select("place", "tokens", *TOKEN.names).groupBy("place").applyInPandas(
+    packed, token_facts, discounts = _count_runs(rows, side, order), [], []
+    for k in range(order, 1, -1):
+        facts = settle(packed.groupBy("place").applyInPandas(_merge_cell(folder, side, ranges, k, order), _FACTS),
+                       f"run-facts-{k}")
+        of_runs = facts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c1", "c2", "c3", "c4", "runs")]).first()
+        discounts.insert(0, _discounts(of_runs.c1, of_runs.c2, of_runs.c3, of_runs.c4))
+        if k > 2:
+            contexts = facts.filter(F.col("kind") == TO_CONTEXTS).select("place", "tokens", "ids", "numbers", "widths")
+            settle(contexts.groupBy("place").applyInPandas(_merge_contexts(folder, k), "place long"), f"context-ranges-{k}")
+        token_facts.append(facts.filter(F.col("kind") == TO_TOKENS).select("place", "tokens", "ids", "numbers", "widths"))
+        packed = facts.filter(F.col("kind") == TO_RUNS).select("place", "tokens", "numbers", "widths")
+    every = token_facts[0] if order == 2 else token_facts[0].unionByName(token_facts[-1])
+    merged = settle(every.groupBy("place").applyInPandas(
         _merge_tokens(folder), "place long, n long, v long, b1 long, b2 long, b3 long, b4 long, more long"),
         "token-ranges")
     t = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in merged.columns if c != "place"]).first()
     token_discounts = _discounts(t.b1, t.b2, t.b3, t.b4)
     d1, d2, d3 = token_discounts
-    left_over = (d1 * t.b1 + d2 * t.b2 + d3 * t.more) / of_pairs.pairs if of_pairs.pairs else 1.0
-    return KneserNey(folder, side, ranges, t.n, t.v, of_pairs.pairs,
-                     _discounts(of_pairs.c1, of_pairs.c2, of_pairs.c3, of_pairs.c4), token_discounts, left_over)
+    left_over = (d1 * t.b1 + d2 * t.b2 + d3 * t.more) / of_runs.runs if of_runs.runs else 1.0
+    return KneserNey(folder, order, side, ranges, t.n, t.v, of_runs.runs, tuple(discounts), token_discounts, left_over)
 
 
 def _discounted(counts: np.ndarray, discounts: tuple[float, ...]) -> np.ndarray:
     return np.maximum(counts - np.array((0.0, *discounts))[np.minimum(counts, 3).astype(np.int64)], 0.0)
 
 
+def _counts_of(model: KneserNey, columns: list[np.ndarray]) -> np.ndarray:
+    """The stored counts of runs of tokens."""
+    k, hashes, cells = len(columns), run_hash(columns), _cell_of(columns, model.side)
+    order = np.argsort(hashes)
+    found = np.zeros(len(hashes), "<u4")
+    found[order] = look_up(model.folder, hashes[order], cells[order], (f"runs{k}", "<u8"), (f"counts{k}", "<u4"))
+    return found
+
+
+def _after(model: KneserNey, columns: list[np.ndarray]) -> np.ndarray:
+    """What is known about contexts of two tokens or more."""
+    k, hashes = len(columns) + 1, run_hash(columns)
+    hashes, one, at = np.unique(hashes, return_index=True, return_inverse=True)
+    facts = look_up(model.folder, hashes, range_of(hashes, model.ranges), (f"contexts{k}", "<u8"), (f"after{k}", CONTEXT))
+    once = (facts["total"] == 0) & (_counts_of(model, [c[one] for c in columns]) > 0)
+    facts["total"][once] = facts["n1"][once] = 1
+    return facts[at]
+
+
 def score_texts(model: KneserNey, texts: list[str]) -> list[list]:
     """Per text: tokens, known tokens, base score and score (log10)."""
     tokens, sizes = token_hashes(texts)
@@ -239,25 +358,26 @@ def score_texts(model: KneserNey, texts: list[str]) -> list[list]:
     facts = look_up(model.folder, known, range_of(known, model.ranges), ("tokens", "<u8"), ("facts", TOKEN))
     count = facts["count"].astype(np.float64)
     base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.vocabulary + 1)))
-    unigram = np.full(len(known), model.left_over / (model.vocabulary + 1))
+    probability = np.full(len(known), model.left_over / (model.vocabulary + 1))
     if model.pairs:
-        unigram += _discounted(facts["before"], model.token_discounts) / model.pairs
-    passed_on = sum(d * facts[n] for d, n in zip(model.pair_discounts, ("n1", "n2", "n3")))
-    left = np.concatenate((np.searchsorted(known, [END]), at[:-1]))
-    code, pair = np.unique(left * len(known) + at, return_inverse=True)
-    a, b = code // len(known), code % len(known)
-    hashes = pair_hash(known[a], known[b])
-    order = np.argsort(hashes)
-    cells = _row_of(known[a], model.side) * model.side + _column_of(known[b], model.side)
-    found = np.zeros(len(code), "<u4")
-    found[order] = look_up(model.folder, hashes[order], cells[order], ("pairs", "<u8"), ("counts", "<u4"))
-    seen = count[a] > 0
-    total = np.where(seen, count[a], 1.0)
-    share = np.where(seen, passed_on[a] / total, 1.0)
-    probability = np.where(seen, _discounted(found, model.pair_discounts) / total, 0.0) + share * unigram[b]
+        probability += _discounted(facts["before"], model.token_discounts) / model.pairs
+    back = _back(at, sizes, np.searchsorted(known, END), model.order)
+    run = at  # number of the run of k tokens that ends at each token
+    for k, discounts in enumerate(model.run_discounts, 2):
+        _, one, longer = np.unique(run * len(known) + back[-k], return_index=True, return_inverse=True)
+        places = [c[one] for c in back[-k:]]
+        columns = [known[c] for c in places]
+        after = facts[places[0]] if k == 2 else _after(model, columns[:-1])
+        found = _counts_of(model, columns)
+        seen = after["total"] > 0
+        total = np.where(seen, after["total"], 1.0)
+        passed_on = sum(d * after[n] for d, n in zip(discounts, ("n1", "n2", "n3")))
+        share = np.where(seen, passed_on / total, 1.0)
+        probability = np.where(seen, _discounted(found, discounts) / total, 0.0) + share * probability[run[one]]
+        run = longer
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     return [sizes.tolist(), np.add.reduceat((count > 0)[at].astype(np.int64), first).tolist(),
-            np.add.reduceat(base[at], first).tolist(), np.add.reduceat(np.log10(probability)[pair], first).tolist()]
+            np.add.reduceat(base[at], first).tolist(), np.add.reduceat(np.log10(probability)[run], first).tolist()]
 
 
 def score(docs: DataFrame, model: KneserNey, keep: dict[str, str], text_col: str = "text") -> DataFrame:

@@ -25,6 +25,18 @@ def range_of(key: np.ndarray, ranges: int) -> np.ndarray:
     return ((key >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
 
 
+def thin(gaps: np.ndarray) -> tuple[int, bytes]:
+    """Unsigned numbers in as many bytes as the largest needs."""
+    width = max(1, (int(gaps.max(initial=0)).bit_length() + 7) // 8)
+    return width, gaps.astype("<u8").view("u1").reshape(-1, 8)[:, :width].tobytes()
+
+
+def wide(width: int, data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), "u1")
+    out[:, :width] = np.frombuffer(data, "u1").reshape(-1, width)
+    return out.view("<u8").ravel()
+
+
 def write_array(folder: str, name: str, array: np.ndarray) -> None:
     """Put an array into the shared folder under its final name, in one step."""
     system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), _plain(folder))

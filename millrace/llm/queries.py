@@ -38,6 +38,7 @@ def quality_model(spark: SparkSession, folder: str) -> quality.QualityModel:
 
 
 QUALITY_FROM = 0.3
+LM_ORDER = 3
 
 
 @query("""
@@ -187,7 +188,7 @@ def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(fold() == 1, F.lit(False))
-    model = lm.train(docs.filter(~held_out))
+    model = lm.train(docs.filter(~held_out), order=LM_ORDER)
     scored = lm.score(docs, model, {"doc_id": "doc_id"})
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
                          F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
