@@ -8,8 +8,9 @@ shingles of all documents. Sets that share an early shingle are of one family.
 A family's sets, common shingles first, are stored in a trie. It is traversed once, with
 the overlaps of the path so far with every other set: sets with the same beginning share
 that work, and partners, then whole subtrees, are dropped when what remains of their length
-cannot reach the overlap that a link needs. A family of more than `BLOCK_SETS` sets is cut by
-length classes (only neighbouring ones can link) and salted; blocks are joined two by two.
+cannot reach the overlap that a link needs. A family of more than `BLOCK_SETS` sets, or
+`BLOCK_BYTES` of shingles, is cut by length classes (only neighbouring ones can link) and salted by
+whichever asks for more; blocks are joined two by two. A set larger than that is a block of its own.
 
 Equal sets are one class from the start. Links are returned as a number per set and
 as spanning stars, not as pairs. Documents without words, or without text, have the empty
@@ -38,6 +39,8 @@ from millrace.sources.tables import settle
 TASK_SHINGLES = 1_500_000  # shingles that a task combines before it passes them on
 RANGE_BYTES = 16 << 20  # text per range of shingle hashes
 BLOCK_SETS = 512
+BLOCK_BYTES = 16 << 20  # of shingles, on average of the blocks of a length class
+TABLE_BYTES = 96 << 20  # of the table of shingles by sets; a larger one is kept as lists of sets
 STEP = 128  # shingles of a path between two looks at what remains
 COPY = np.dtype([("rest", "<u8"), ("owner", "<i8")])
 NO_ID = -(1 << 63)
@@ -193,13 +196,17 @@ def _families(found: DataFrame) -> DataFrame:
 def _units(found: DataFrame, families: DataFrame, percent: int) -> DataFrame:
     """Rows of every pair of blocks (family, i, j) that can hold a link."""
     sets = settle(found.select("cls", "n", "copies", "shingles").join(families, "cls"), "family-sets")
-    sizes = sets.groupBy("family").agg(F.count(F.lit(1)).alias("_sets"))
+
+    def blocks():
+        return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
+
+    sizes = sets.groupBy("family").agg(blocks().alias("_blocks"))
     classed = settle(sets.select("cls", "family", "n").join(
         settle(sizes.withColumnRenamed("family", "_f"), "family-sizes"), F.col("family") == F.col("_f")).select(
-        "cls", "family", F.when(F.col("_sets") > BLOCK_SETS, F.floor(F.log(F.col("n").cast("double")) / F.lit(
+        "cls", "family", "n", F.when(F.col("_blocks") > 1, F.floor(F.log(F.col("n").cast("double")) / F.lit(
             1.0001 * math.log(100 / percent)))).otherwise(0).cast("int").alias("band")), "family-bands")
     salts = settle(classed.groupBy(F.col("family").alias("_f"), F.col("band").alias("_b")).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("_salts")), "family-salts")
+        blocks().alias("_salts")), "family-salts")
     # A band is a little wider than the logarithm of the largest ratio of linked sizes.
     near = settle(salts.alias("a").join(salts.alias("b"), (F.col("a._f") == F.col("b._f")) & (
         F.abs(F.col("a._b") - F.col("b._b")) <= 1)).select(
@@ -220,6 +227,22 @@ def _units(found: DataFrame, families: DataFrame, percent: int) -> DataFrame:
     return units.join(sets.select(F.col("cls").alias("_c"), "copies", "shingles"), F.col("cls") == F.col("_c")).drop("_c")
 
 
+def _held(at: np.ndarray, own: np.ndarray, shingles: int, sets: int):
+    """A function from shingles and sets to how many of the shingles each of the sets holds; set own[k] holds at[k]."""
+    if shingles * sets <= TABLE_BYTES:
+        member = np.zeros((shingles, sets), bool)
+        member[at, own] = True
+        return lambda some, alive: member[some][:, alive].sum(axis=0)
+    holders = own[np.argsort(at, kind="stable")].astype(np.int32)
+    ends = np.cumsum(np.bincount(at, minlength=shingles))
+
+    def held(some: np.ndarray, alive: np.ndarray) -> np.ndarray:
+        lists = [holders[ends[k - 1] if k else 0:ends[k]] for k in some.tolist()]
+        return np.bincount(np.concatenate(lists), minlength=sets)[alive]
+
+    return held
+
+
 def trie_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """(number of a set, numbers of the sets that link with it), for sets given in one order of all shingles.
 
@@ -231,8 +254,7 @@ def trie_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.n
     number = np.cumsum(common) - 1
     own = np.repeat(np.arange(len(sets)), sizes)[common[at]]
     at = number[at[common[at]]]
-    member = np.zeros((int(common.sum()), len(sets)), bool)  # which sets hold a shingle
-    member[at, own] = True
+    held = _held(at, own, int(common.sum()), len(sets))
     lengths = np.bincount(own, minlength=len(sets))
     paths = np.split(at, np.cumsum(lengths)[:-1])
     rows = sorted(range(len(sets)), key=lambda k: paths[k].tolist())
@@ -247,7 +269,7 @@ def trie_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.n
         """Overlaps after shingles start to stop, of the partners that a path of `longest` can still link."""
         for k in range(start, stop, STEP):
             end = min(stop, k + STEP)
-            overlap = overlap + member[path[k:end]][:, alive].sum(axis=0)
+            overlap = overlap + held(path[k:end], alive)
             reach = overlap + np.minimum(longest - end, lengths[alive] - overlap) >= needed(least, sizes[alive], percent)
             if not reach.all():
                 alive, overlap = alive[reach], overlap[reach]
