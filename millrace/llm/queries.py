@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings, exact, jaccard, licences, lm, mixing, pieces, quality, secrets
+from millrace.llm import binary, chat, embeddings, exact, jaccard, licences, lm, mixing, pieces, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -216,3 +216,9 @@ from documents left join sizes using (doc_id) join least_of on doc_id = a
 """)
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, folder, "documents"))
+
+
+@query()
+def op13_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("byte_bpe_50k.json")
+    return binary.read_documents(*binary.write_tokens(table(spark, folder, "documents"), model))
