@@ -8,8 +8,10 @@ and renames it, so a repeated task leaves the same file. What is known of a shar
 is a row of a table; readers get one file at a time, and a missing file ends the job.
 
 Byte-level vocabularies without a normalizer never join what stands before a space with what
-follows, unless white space stands before the space. Texts are cut there; such segments recur, and a
-worker keeps those it has encoded, in two generations of bounded size. Other vocabularies encode whole texts.
+follows, unless white space stands before the space; nor a letter or digit with a mark after it, nor a line
+break with what is no white space. Texts are cut there; such segments recur, and a
+worker keeps those it has encoded, in two generations of bounded size. New segments go through the library as
+one text, whose ids fall to the segments by their bytes. Other vocabularies encode whole texts.
 
 NULL and empty texts are the end id alone. Equal rows give equal results; an empty table has no shard. Other
 columns of the table are not read, whatever their names.
@@ -41,7 +43,7 @@ from millrace.session import ship_package, work_folder
 from millrace.sources.tables import settle
 
 SHARD_TOKENS = 1 << 22
-CACHED_SEGMENTS = 250_000  # of each generation
+CACHED_SEGMENTS = 500_000  # of each generation
 CACHED_CHARS = 64  # longer segments are encoded each time
 STRETCH = 50_000  # segments of a text looked up at once
 _SHARD = "place long, name string, n_docs long, n_tokens long"
@@ -59,16 +61,35 @@ class SegmentEncoder:
         self.cuts = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
                      and not before.get("add_prefix_space") and given.get("normalizer") is None
                      and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in own))
+        if self.cuts:  # a character of a byte-level token is a byte
+            size = self.library.get_vocab_size(with_added_tokens=True)
+            self.bytes = np.array([len(self.library.id_to_token(k) or "") for k in range(size)], np.int64)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     _open = re.compile(r"\s ").search
-    _segments = re.compile(" ?[^ ]+| ").findall
+    _segments = re.compile(r" ?[^\W_]+(?=[ .,;:!?])|[.,;:!?](?= )|[.,;:!?]\n(?=\S)| ?[^ ]+| ").findall
     _careful = re.compile(r"(?<=\S)(?= )").split
 
     def _encoded(self, segments: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids)
-                for e in self.library.encode_batch(segments, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes()
+                for e in self.library.encode_batch_fast(segments, add_special_tokens=False)]
+
+    def _new(self, segments: list[str]) -> dict[str, bytes]:
+        """Segments that start at a space and end in no white space stand side by side as they do in a text."""
+        chained = [s for s in segments if s[0] == " " and not s[-1].isspace()]
+        alone = [s for s in segments if s[0] != " " or s[-1].isspace()]
+        out = dict(zip(alone, self._encoded(alone)))
+        if chained:
+            packed = self._encoded(["".join(chained)])[0]
+            token_ends = np.cumsum(self.bytes[np.frombuffer(packed, "<u4")])
+            ends = np.cumsum([len(s.encode()) for s in chained])
+            at = np.searchsorted(token_ends, ends)
+            if (token_ends[at] != ends).any():
+                raise ValueError("a token reaches over the end of a segment")
+            cuts = [0, *((at + 1) * 4).tolist()]
+            out.update((s, packed[a:b]) for s, a, b in zip(chained, cuts, cuts[1:]))
+        return out
 
     def encode(self, text: str) -> bytes:
         if not self.cuts:
@@ -81,7 +102,7 @@ class SegmentEncoder:
         if missing := [s for s in set(segments) if s not in young]:
             fresh = [s for s in missing if s not in old]
             young.update((s, old[s]) for s in missing if s in old)
-            young.update(zip(fresh, self._encoded(fresh)))
+            young.update(self._new(fresh))
         packed = b"".join(map(young.__getitem__, segments))
         for s in missing:
             if len(s) > CACHED_CHARS:
