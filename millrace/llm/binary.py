@@ -99,10 +99,13 @@ class SegmentEncoder:
 
     def _stretch(self, segments: list[str]) -> bytes:
         young, old = self.young, self.old
-        if missing := [s for s in set(segments) if s not in young]:
-            fresh = [s for s in missing if s not in old]
-            young.update((s, old[s]) for s in missing if s in old)
-            young.update(self._new(fresh))
+        found = list(map(young.get, segments))
+        if None not in found:
+            return b"".join(found)
+        missing = {s for s, known in zip(segments, found) if known is None}
+        fresh = [s for s in missing if s not in old]
+        young.update((s, old[s]) for s in missing if s in old)
+        young.update(self._new(fresh))
         packed = b"".join(map(young.__getitem__, segments))
         for s in missing:
             if len(s) > CACHED_CHARS:

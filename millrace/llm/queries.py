@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import binary, chat, embeddings, exact, jaccard, licences, lm, mixing, pieces, quality, secrets
+from millrace.llm import binary, chat, embeddings, exact, jaccard, licences, lm, mixing, pieces, quality, secrets, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -222,3 +222,42 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 def op13_token_output(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("byte_bpe_50k.json")
     return binary.read_documents(*binary.write_tokens(table(spark, folder, "documents"), model))
+
+
+@query(r"""
+with recursive turns as (
+  select conv_id, turn, left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) as digest,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words
+  from conversations),
+own as (select conv_id, list(digest order by turn nulls first, digest) as digests,
+               list(words order by turn nulls first, digest) as words from turns group by conv_id),
+crc as (  -- CRC-32 of the decimal id, bit by bit
+  select conv_id, xor(list_reduce(list_prepend(cast(4294967295 as bigint), range(8 * length(cast(conv_id as varchar)))),
+    lambda c, i: xor((case when i % 8 = 0 then xor(c, ascii(substr(cast(conv_id as varchar), i // 8 + 1, 1))) else c end) >> 1,
+      case when (case when i % 8 = 0 then xor(c, ascii(substr(cast(conv_id as varchar), i // 8 + 1, 1))) else c end) % 2 = 1
+           then 3988292384 else 0 end)), 4294967295) % 4 as h from own),
+rebuilt as (
+  select o.conv_id, list_concat(coalesce(b.digests[1:h], []), o.digests[h + 1:]) as digests,
+         list_concat(coalesce(b.words[1:h], []), o.words[h + 1:]) as words
+  from own o join crc using (conv_id) left join own b on b.conv_id = o.conv_id - o.conv_id % 20),
+members as (
+  select conv_id, d, array_to_string(digests[1:d], '') as key, case when d > 0 then words[d] else 0 end as words, len(digests) as size
+  from (select *, unnest(range(0, len(digests) + 1)) as d from rebuilt)),
+nodes as (
+  select key, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where size = d), '')) as ends_sha256
+  from members group by key, d),
+kids as (select left(key, 32 * (d - 1)) as key, d - 1 as d, count(*) as n from nodes where d > 0 group by all),
+known as (select n.*, coalesce(k.n, 0) as n_children from nodes n left join kids k on n.key = k.key and n.d = k.d),
+below as (
+  select left(key, 32 * up) as key, up as d, sum((n_convs - 1) * words) as saved, count(*) filter (where n_children = 0) as leaves
+  from (select *, unnest(range(0, d + 1)) as up from known) group by all)
+select x.conv_id, x.d as depth, p.conv_id as parent_conv_id, x.n_convs, x.n_children, b.leaves as n_leaves,
+       cast(b.saved as bigint) as saved_tokens, x.ends_sha256
+from known x join below b on x.key = b.key and x.d = b.d
+left join known p on x.d > 0 and p.d = x.d - 1 and p.key = left(x.key, 32 * (x.d - 1))
+""")
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    given = trie.turn_sequences(table(spark, folder, "conversations"))
+    head = F.coalesce((F.crc32(F.col("id").cast("string").cast("binary")) % 4).cast("int"), F.lit(0))
+    return trie.prefix_trie(trie.share_heads(given, head, F.col("id") - F.col("id") % 20))
