@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import binary, chat, embeddings, exact, jaccard, licences, lm, mixing, pieces, quality, secrets, trie
+from millrace.llm import binary, chat, collocations, embeddings, exact, jaccard, licences, lm, mixing, pieces, quality, secrets, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -261,3 +261,35 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     given = trie.turn_sequences(table(spark, folder, "conversations"))
     head = F.coalesce((F.crc32(F.col("id").cast("string").cast("binary")) % 4).cast("int"), F.lit(0))
     return trie.prefix_trie(trie.share_heads(given, head, F.col("id") - F.col("id") % 20))
+
+
+@query(r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as g
+  from worded, (values (1), (2), (3), (4), (5)) sizes(m)),
+f as (select lang, m, g, count(*) as c from grams group by all),
+totals as (select lang, sum(c) as n from f where m = 1 group by lang),
+candidates as (select lang, m, g, c as a, string_split(g, ' ') as w from f where m > 1 and c >= 100),
+cuts as (
+  select lang, m, g, a, k, array_to_string(w[1:k], ' ') as first, array_to_string(w[k + 1:], ' ') as rest
+  from (select *, unnest(range(1, m)) as k from candidates)),
+valued as (
+  select lang, g, a, k, x.c as l, y.c as r, n, (1000::hugeint * a::hugeint * n::hugeint) // (x.c::hugeint * y.c::hugeint) as score
+  from cuts join f x using (lang) join f y using (lang) join totals using (lang) where x.g = first and y.g = rest),
+lowest as (select * from valued qualify row_number() over (partition by lang, g order by score, k) = 1),
+inner_parts as (
+  select distinct lang, a, array_to_string(w[i:i + s - 1], ' ') as g
+  from (select *, unnest(range(1, m - s + 2)) as i from (select *, unnest(range(2, m)) as s from candidates))),
+held as (select distinct c.lang, c.g from candidates c join inner_parts p on c.lang = p.lang and c.g = p.g and 100 * p.a >= 100 * c.a),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, g) as rank
+  from lowest anti join held using (lang, g))
+select lang, rank, g as phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from ranked where rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
