@@ -279,8 +279,9 @@ cuts as (
   select lang, m, g, a, k, array_to_string(w[1:k], ' ') as first, array_to_string(w[k + 1:], ' ') as rest
   from (select *, unnest(range(1, m)) as k from candidates)),
 valued as (
-  select lang, g, a, k, x.c as l, y.c as r, n, (1000::hugeint * a::hugeint * n::hugeint) // (x.c::hugeint * y.c::hugeint) as score
-  from cuts join f x using (lang) join f y using (lang) join totals using (lang) where x.g = first and y.g = rest),
+  select cuts.lang, cuts.g, a, k, x.c as l, y.c as r, n, (1000::hugeint * a::hugeint * n::hugeint) // (x.c::hugeint * y.c::hugeint) as score
+  from cuts join f x on x.lang = cuts.lang and x.g = first join f y on y.lang = cuts.lang and y.g = rest
+  join totals t on t.lang = cuts.lang),
 lowest as (select * from valued qualify row_number() over (partition by lang, g order by score, k) = 1),
 inner_parts as (
   select distinct lang, a, array_to_string(w[i:i + s - 1], ' ') as g
