@@ -37,6 +37,7 @@ from millrace.sources.tables import settle
 
 LONGEST = 5
 CHUNK_WORDS = 1 << 20
+SENT_ROWS = 100_000  # phrases that a join may broadcast, at most 100 bytes each
 _SLOTS = [f"w{k}" for k in range(1, LONGEST + 1)]
 # A-Z to a-z, the ends of pieces to a line break, tabs to spaces.
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
@@ -168,17 +169,20 @@ def phrase_counts(docs: DataFrame, least: int, text_col: str, lang_col: str) ->
     read = rows.mapInArrow(_read, "lang string, words array<string>, counts array<long>, n long, width int, codes binary")
     chunks = settle(read.withColumn("chunk", F.monotonically_increasing_id()), "word-chunks")
     langs = settle(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    heard = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
-    often = heard.groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")).filter(F.col("f") >= least)
-    words = settle(number_rows(settle(often, "frequent-words"), "lang", "f", "word", name="id"), "words")
+    spoken = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
+    common = spoken.groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")).filter(F.col("f") >= least)
+    words = settle(number_rows(settle(common, "frequent-words"), "lang", "f", "word", name="id"), "words")
     own = chunks.select("chunk", "lang", F.posexplode("words").alias("at", "word"))
     known = own.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
         F.collect_list(F.struct("at", "id")).alias("known"))
     joined = chunks.select("chunk", "width", "codes").join(known, "chunk").select("chunk", "width", "codes", "known")
     coded = settle(joined.mapInArrow(_recode, "chunk long, ids binary, width int, codes binary"), "coded-chunks")
-    local = settle(coded.mapInArrow(_pairs, _longs(["chunk", "key", "w1", "w2", "n"])), "chunk-pairs")
-    pairs = settle(local.groupBy("w1", "w2").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "frequent-pairs")
-    keys = local.join(pairs, ["w1", "w2"], "left_semi").groupBy("chunk").agg(F.collect_list("key").alias("keys"))
+    # A pair moves once for each chunk that has it: its sum and its chunks meet in the same place.
+    heard = coded.mapInArrow(_pairs, _longs(["chunk", "key", "w1", "w2", "n"]))
+    total = F.sum("n").over(Window.partitionBy("w1", "w2"))
+    often = settle(heard.withColumn("a", total).filter(F.col("a") >= least).drop("n"), "frequent-chunk-pairs")
+    pairs = settle(often.groupBy("w1", "w2").agg(F.max("a").alias("a")), "frequent-pairs")
+    keys = often.groupBy("chunk").agg(F.collect_list("key").alias("keys"))
     met = coded.join(keys, "chunk").select("chunk", "ids", "width", "codes", "keys")
     windows = settle(met.mapInArrow(_windows, _longs([*_SLOTS, "n"])).groupBy(*_SLOTS).agg(F.sum("n").alias("n")), "windows")
     return langs, words, pairs, windows
@@ -198,9 +202,14 @@ def _phrase(names: list[str]) -> Column:
     return F.array(*[F.col(n) for n in names])
 
 
-def _met(windows: DataFrame, phrases: DataFrame, size: int, skip: int) -> DataFrame:
+def _few(phrases: DataFrame) -> bool:
+    return len(phrases.select(F.size("phrase")).head(SENT_ROWS + 1)) <= SENT_ROWS
+
+
+def _met(windows: DataFrame, phrases: DataFrame, size: int, skip: int, small: bool) -> DataFrame:
     """Windows in which a phrase of that size stands after `skip` words, with the phrase's columns."""
     own = phrases.filter(F.size("phrase") == size)
+    own = F.broadcast(own) if small else own
     for k in range(size):
         own = own.withColumn(f"p{k}", F.get("phrase", F.lit(k)))
     at = [F.col(f"p{k}") == F.col(_SLOTS[k + skip]) for k in range(size)]
@@ -234,16 +243,18 @@ def _counts_of(need: DataFrame, words: DataFrame, pairs: DataFrame, windows: Dat
     two = need.filter(F.size("phrase") == 2).join(
         pairs, (F.get("phrase", F.lit(0)) == F.col("w1")) & (F.get("phrase", F.lit(1)) == F.col("w2"))).select(
         "phrase", F.col("a").alias("c"))
-    more = [_met(windows, need, k, 0).groupBy("phrase").agg(F.sum("n").alias("c")) for k in range(3, LONGEST)]
+    small = _few(need)
+    more = [_met(windows, need, k, 0, small).groupBy("phrase").agg(F.sum("n").alias("c")) for k in range(3, LONGEST)]
     return reduce(DataFrame.unionByName, [one, two, *more])
 
 
 def _contained(live: DataFrame, windows: DataFrame) -> DataFrame:
     """Phrases that a phrase one word longer, on either side, holds as often as they occur."""
-    asked, found = live.select("phrase", "a"), []
+    asked, found, small = live.select("phrase", "a"), [], _few(live)
     for size in range(2, LONGEST):
-        before = _met(windows, asked, size, 1).groupBy("phrase", "a", F.col(_SLOTS[0]).alias("x"))
-        after = _met(windows, asked, size, 0).filter(F.col(_SLOTS[size]) != 0).groupBy("phrase", "a", F.col(_SLOTS[size]).alias("x"))
+        before = _met(windows, asked, size, 1, small).groupBy("phrase", "a", F.col(_SLOTS[0]).alias("x"))
+        after = _met(windows, asked, size, 0, small).filter(F.col(_SLOTS[size]) != 0).groupBy(
+            "phrase", "a", F.col(_SLOTS[size]).alias("x"))
         found += [side.agg(F.sum("n").alias("c")).filter(F.col("c") == F.col("a")).select("phrase") for side in (before, after)]
     return reduce(DataFrame.union, found).distinct()
 
