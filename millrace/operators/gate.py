@@ -83,15 +83,20 @@ def gate_totals(results: DataFrame, total: DataFrame, *max_pct: float) -> DataFr
     )
 
 
-def enforce(results: DataFrame, total: DataFrame, max_pct: float = 5.0) -> DataFrame:
-    """Raise `ContractViolation` if the gate is shut (an action on one row), else return it."""
-    totals = gate_totals(results, total, max_pct)
+def raise_if_halted(totals: DataFrame) -> None:
+    """Raise `ContractViolation` for totals of a shut gate (an action on one row)."""
     row = totals.first()
     if row["status"] == "HALT":
         raise ContractViolation(
             f"{row['fail_violations']} violations in {row['rows_in']} rows "
-            f"({row['violation_pct']} %), threshold {max_pct} %"
+            f"({row['violation_pct']} %), threshold {row['threshold_pct']} %"
         )
+
+
+def enforce(results: DataFrame, total: DataFrame, max_pct: float = 5.0) -> DataFrame:
+    """Raise `ContractViolation` if the gate is shut (an action on one row), else return its totals."""
+    totals = gate_totals(results, total, max_pct)
+    raise_if_halted(totals)
     return totals
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from millrace.functions import cleanse as c
 from millrace.operators.checks import TableTest
 from millrace.operators.references import fk_report, one_per_key, orphans
-from millrace.sources.tables import Frames, write_table
+from millrace.sources.snapshots import SnapshotStore, name_views
+from millrace.sources.tables import Frames
 
 PRODUCT_COLUMNS = ("product_id", "product_name", "category", "temperature_zone")
 
@@ -91,13 +93,15 @@ def build_gold(silver: Mapping[str, DataFrame], bronze_products: DataFrame) -> F
 
 
 def publish_gold(gold: Mapping[str, DataFrame], prefix: str = "gold_", fmt: str = "parquet",
-                 location: str | None = None) -> dict[str, DataFrame]:
-    """Write the marts as tables (runs jobs) and return scans of them."""
-    return {
-        name: write_table(df, prefix + name, fmt=fmt,
-                          path=f"{location.rstrip('/')}/{name}" if location else None)
-        for name, df in gold.items()
-    }
+                 location: str | None = None, run_id: str | None = None) -> dict[str, DataFrame]:
+    """Write the marts and commit them as one version (runs jobs); returns scans of it, under their names.
+
+    All marts change together or none does. A run that committed before is not written again.
+    """
+    spark = next(iter(gold.values())).sparkSession
+    store = SnapshotStore(spark, location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{prefix}store", fmt)
+    snapshot = store.publish(run_id or uuid.uuid4().hex, gold)
+    return name_views(snapshot, {name: prefix + name for name in gold})
 
 
 def soft_delete_proof(facts: DataFrame, silver_products: DataFrame, full_dimension: DataFrame) -> DataFrame:

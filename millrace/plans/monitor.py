@@ -13,7 +13,7 @@ from millrace.functions.ratios import safe_ratio
 
 def quarantine_rate(log: DataFrame) -> DataFrame:
     """Add `rate_pct` per run."""
-    per_run = log.groupBy("table", "run_date").agg(
+    per_run = log.groupBy("table", *[c for c in ("run_id", "run_date") if c in log.columns]).agg(
         F.sum("rows_in").alias("rows_in"), F.sum("violations").alias("violations")
     )
     return per_run.withColumn("rate_pct", safe_ratio(F.col("violations") * 100.0, F.col("rows_in")))
@@ -50,10 +50,29 @@ def orphan_increase(rows: DataFrame, orphan_rows: DataFrame, key: str, day: Colu
     found = counts.join(first_seen, "run_date", "left").withColumnRenamed("run_date", "_day")
     daily = runs.join(found, F.col("run_date").eqNullSafe(F.col("_day")), "left").select(
         F.lit(rule).alias("rule"), "run_date", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans"), "new_bad_keys")
-    order = Window.partitionBy("rule").orderBy("run_date")
+    return _with_previous(daily, "run_date")
+
+
+def orphan_increase_by_run(log: DataFrame, held: DataFrame, key: str, rule: str) -> DataFrame:
+    """The same per run of a log: orphans are what `rule` rejected, and new keys come from the quarantine of all runs.
+
+    `held` carries `_run`, `_dq_rule` and the key. (rule, run_id, run_date, orphans, new_bad_keys, previous, increase)
+    """
+    per_run = log.filter(F.col("rule") == rule).select(
+        "rule", "run_id", "run_date", F.col("rows_rejected").alias("orphans"))
+    place = F.struct("run_date", "run_id")
+    seen = held.filter(F.col("_dq_rule") == rule).select(F.col("_run").alias("run_id"), key).distinct().join(per_run, "run_id")
+    first = seen.groupBy(key).agg(F.min(place).alias("at")).groupBy(F.col("at.run_id").alias("run_id")).agg(
+        F.count(F.lit(1)).alias("new_bad_keys"))
+    return _with_previous(per_run.join(first, "run_id", "left"), "run_date", "run_id")
+
+
+def _with_previous(daily: DataFrame, *by: str) -> DataFrame:
+    """One row per run from here on."""
+    order = Window.partitionBy("rule").orderBy(*by)
     previous = F.coalesce(F.lag("orphans").over(order), F.lit(0))
     return daily.select(
-        "rule", "run_date", "orphans", F.coalesce("new_bad_keys", F.lit(0)).cast("bigint").alias("new_bad_keys"),
+        "rule", *reversed(by), "orphans", F.coalesce("new_bad_keys", F.lit(0)).cast("bigint").alias("new_bad_keys"),
         previous.alias("previous"), (F.col("orphans") - previous).alias("increase"),
     )
 

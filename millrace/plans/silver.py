@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,8 +15,9 @@ from millrace.operators.rules import (
     CLEANSE, DOCUMENT, FAIL, WARN, ForeignKeyRule, Lookup, RegisterEntry, RowRule, UniqueRule,
 )
 from millrace.operators.tagging import FIRST, Tagged, survivors, tag
-from millrace.plans.runs import Run, append_run
-from millrace.sources.tables import Frames, settle, write_table
+from millrace.plans.runs import QUARANTINE, RUN_LOG, Run, log_entries
+from millrace.sources.snapshots import FAILED, HALT, PASS, Snapshot, SnapshotStore, name_views
+from millrace.sources.tables import Frames, settle
 
 THRESHOLD_PCT = 5.0
 MASTER_PRICE = "_master_price"
@@ -162,6 +162,10 @@ class SilverRun:
     totals: DataFrame
     quarantine: DataFrame
     tables: dict[str, DataFrame]
+    snapshot: Snapshot
+
+
+RESULTS, TOTALS = "rule_results", "gate_totals"
 
 
 def publish_silver(
@@ -171,38 +175,58 @@ def publish_silver(
     fmt: str = "parquet",
     location: str | None = None,
     run: Run | None = None,
+    append: Sequence[str] = (),
 ) -> SilverRun:
     """Judge, quarantine, enforce, and only then publish (runs jobs).
 
     Each table is tagged once and written to the shared work folder, parents
     first: counts, quarantine and silver all read that one result, and later
-    tables join parents whose size Spark knows from their files. Quarantine is
-    written before the gate is enforced, so a halted load can be triaged. With
-    `run`, the load is appended to that run log, halted or not.
+    tables join parents whose size Spark knows from their files.
+
+    Everything is committed as one version of the store at `location`: survivors, quarantine, counts and the run
+    log. A halted load commits its quarantine and its log rows beside the tables of the version before, so it can be
+    triaged. A load that breaks off changes no table and is logged as FAILED; one that is killed leaves
+    no trace. A run that ended before is not judged again: its version is returned, or its halt raised once more.
+    `append` names tables that keep the rows of earlier runs; the others are replaced. The views
+    `prefix` + table show the version that this call returns.
     """
-    started = dt.datetime.now(dt.timezone.utc)
-
-    def place(name: str) -> str | None:
-        return f"{location.rstrip('/')}/{name}" if location else None
-
+    spark = next(iter(tables.values())).sparkSession
+    store = SnapshotStore(spark, location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{prefix}store", fmt)
+    run = run or Run()
+    if (done := store.of_run(run.run_id)) is not None:
+        return _ended(done, prefix, run)
+    base, started = store.latest(), run.clock()
     tagged = _judged(tables)
     log = settle(results(tagged), "rule-results")
-    held = gate.quarantine([tagged[n] for n in GATED])
-    held = write_table(held, "quarantine_" + prefix.rstrip("_"), fmt=fmt, path=place("quarantine"), merge_schema=True)
-    total = gate.rows_in(list(tables.values()))
+    totals = settle(gate.gate_totals(log, gate.rows_in(list(tables.values())), max_pct), "gate-totals")
+    halted = totals.first()["status"] == HALT
+    status = HALT if halted else PASS
+
+    def entries(how: str) -> dict:
+        return store.stage(RUN_LOG, log_entries(run, tables, tagged, log, started, run.clock(), how), run.run_id)
+
     try:
-        totals = gate.enforce(log, total, max_pct)
-    except gate.ContractViolation:
-        if run is not None:
-            append_run(run, tables, tagged, log, started, "HALT")
+        silver_rows = {} if halted else {n: store.stage(n, survivors(t), run.run_id) for n, t in tagged.items()}
+        added = {n: part for n, part in silver_rows.items() if n in append}
+        held = gate.quarantine([tagged[n] for n in GATED])
+        added |= {QUARANTINE: store.stage(QUARANTINE, held, run.run_id), RUN_LOG: entries(status),
+                  RESULTS: store.stage(RESULTS, log, run.run_id), TOTALS: store.stage(TOTALS, totals, run.run_id)}
+        replaced = {n: part for n, part in silver_rows.items() if n not in append}
+        snapshot = store.commit(run.run_id, status, replaced, added, base)
+    except Exception:
+        store.commit(run.run_id, FAILED, {}, {RUN_LOG: entries(FAILED)}, base)
         raise
-    published = {
-        name: write_table(survivors(t), prefix + name, fmt=fmt, path=place(name), merge_schema=True)
-        for name, t in tagged.items()
-    }
-    if run is not None:
-        append_run(run, tables, tagged, log, started, "PASS")
-    return SilverRun(log, totals, held, published)
+    return _ended(snapshot, prefix, run)
+
+
+def _ended(snapshot: Snapshot, prefix: str, run: Run) -> SilverRun:
+    """What a run left, under its names; raises if it was halted."""
+    snapshot.table(QUARANTINE, run_id=run.run_id).createOrReplaceTempView("quarantine_" + prefix.rstrip("_"))
+    totals = snapshot.table(TOTALS, run_id=run.run_id)
+    gate.raise_if_halted(totals)
+    named = name_views(snapshot, {n: prefix + n for n in (*GATED, "depots")})
+    return SilverRun(snapshot.table(RESULTS, run_id=run.run_id), totals,
+                     snapshot.table(QUARANTINE, run_id=run.run_id), named, snapshot)
 
 
 def settled_silver(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

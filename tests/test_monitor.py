@@ -13,6 +13,7 @@ from millrace.operators.gate import ContractViolation
 from millrace.plans import gold, monitor, runs, silver
 from millrace.session import work_folder
 from millrace.sources.retail import RetailTables
+from millrace.sources.snapshots import SnapshotStore
 
 
 def test_orphans_are_compared_with_the_run_before(spark):
@@ -29,7 +30,7 @@ def test_orphans_are_compared_with_the_run_before(spark):
 def test_rows_without_a_day_keep_their_violations(spark):
     df = spark.createDataFrame([(None, -1), (dt.date(2026, 1, 1), 1)], "day date, n int")
     judged = tag(df, "t", [RowRule("X", "n", "above zero", bad=F.col("n") <= 0)])
-    log = runs.backfill(df, judged, F.col("day"), work_folder(spark, "log"))
+    log = runs.backfill(df, judged, F.col("day"))
     assert rows(runs.loads(log), "run_date", "rows_in", "violations") == sorted(
         [(None, 1, 1), (dt.date(2026, 1, 1), 1, 0)], key=repr)
 
@@ -66,14 +67,14 @@ def test_fk_report_with_a_hot_parent(spark):
 
 def test_every_load_is_logged_also_a_halted_one(spark):
     raw = silver.conform(RetailTables(spark, "/root/testdata/sf0.001").all)
-    path = work_folder(spark, "log")
-    first = runs.Run("one", dt.date(2026, 1, 1), path)
-    run = silver.publish_silver(raw, "log_", location=work_folder(spark, "silver"), run=first)
+    path = work_folder(spark, "store")
+    run = silver.publish_silver(raw, "log_", location=path, run=runs.Run("one", dt.date(2026, 1, 1)))
     with pytest.raises(ContractViolation):
-        silver.publish_silver(raw, "log_", 1.0, location=work_folder(spark, "silver"),
-                              run=runs.Run("two", dt.date(2026, 1, 2), path))
-    log = spark.read.parquet(path)
+        silver.publish_silver(raw, "log_", 1.0, location=path, run=runs.Run("two", dt.date(2026, 1, 2)))
+    state = SnapshotStore(spark, path).latest()
+    log = state.table(runs.RUN_LOG)
     assert rows(log.groupBy("run_id", "status").count()) == [("one", "PASS", 12), ("two", "HALT", 12)]
+    assert rows(state.table(runs.RUN_LOG, since=1).select("run_id").distinct()) == [("two",)]
     for table in silver.GATED:
         mine = log.filter((F.col("run_id") == "one") & (F.col("table") == table))
         read, removed, rejected = mine.agg(F.max("rows_in"), F.max("identical_removed"), F.sum("rows_rejected")).first()
@@ -81,3 +82,19 @@ def test_every_load_is_logged_also_a_halted_one(spark):
     rates = monitor.quarantine_rate(runs.loads(log))
     assert rates.count() == 6 and monitor.drift_hard(rates, 1.0).count() > 0
     assert rows(monitor.refresh_latency(runs.durations(log)), "run_id", "status") == [("one", "PASS"), ("two", "PASS")]
+
+
+def test_a_repeated_load_changes_nothing(spark):
+    raw = silver.conform(RetailTables(spark, "/root/testdata/sf0.001").all)
+    path, one = work_folder(spark, "store"), runs.Run("one", dt.date(2026, 1, 1))
+    first = silver.publish_silver(raw, "again_", location=path, run=one, append=("orders",))
+    again = silver.publish_silver({**raw, "orders": raw["orders"].limit(5)}, "again_", location=path, run=one, append=("orders",))
+    assert again.snapshot.version == first.snapshot.version == 1
+    assert rows(again.results, "rule", "violations") == rows(first.results, "rule", "violations")
+    more = silver.publish_silver(raw, "again_", location=path, run=runs.Run("two"), append=("orders",))
+    assert more.tables["orders"].count() == 2 * first.tables["orders"].count()
+    assert more.tables["products"].count() == first.tables["products"].count()
+    for _ in range(2):
+        with pytest.raises(ContractViolation):
+            silver.publish_silver(raw, "again_", 1.0, location=path, run=runs.Run("three"))
+    assert SnapshotStore(spark, path).versions() == [1, 2, 3]
