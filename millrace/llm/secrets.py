@@ -138,16 +138,25 @@ def _candidates(postings: DataFrame, trigrams: Sequence[str], queries: dict[str,
     return settle(found.filter(reduce(or_, [F.col(f"_c_{kind}") for kind in queries])), "candidates")
 
 
+def _let(value: Column, use) -> Column:
+    """`use` of a value that is computed once, however often it is asked for."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _spans(text: Column, rule: SecretRule, number: int) -> Column:
-    """The rule's spans in a text: the pieces between matches and the matches add up to positions."""
+    """The rule's spans in a text: the pieces between matches and the matches add up to positions.
+
+    Sums run in blocks of about the root of the number of matches: first those of whole blocks, then within each.
+    """
     pattern = F.lit(rule.pattern)
-    pieces, hits = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    judged = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    steps = F.transform(hits, lambda h, i: F.struct(
-        F.length(F.get(pieces, i)).alias("gap"), F.length(h).alias("size"),
-        (F.length(F.get(judged, i)) >= rule.least).alias("good")))
+    zipped = F.arrays_zip(F.split(text, rule.pattern, -1).alias("piece"),
+                          F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
+                          F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("judged"))
+    matched = F.filter(zipped, lambda z: z["hit"].isNotNull())  # there is one piece more
+    steps = F.transform(matched, lambda z: F.struct(
+        F.length(z["piece"]).alias("gap"), F.length(z["hit"]).alias("size"),
+        (F.length(z["judged"]) >= rule.least).alias("good")))
     kind = "array<struct<start:int,number:int,end:int>>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
 
     def step(state: Column, s: Column) -> Column:
         start = state["at"] + s["gap"]
@@ -156,7 +165,22 @@ def _spans(text: Column, rule: SecretRule, number: int) -> Column:
         return F.struct(end.alias("at"),
                         F.when(s["good"], F.concat(state["found"], span)).otherwise(state["found"]).alias("found"))
 
-    return F.aggregate(steps, begin, step)["found"]
+    def cut(s: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(s))).cast("int"))
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(s) - 1) / width).cast("int"))),
+                           lambda k: F.slice(s, k * width + 1, width))
+
+    def begins(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda at, s: at + s["gap"] + s["size"]))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+        return F.aggregate(sums, first, lambda state, x: F.struct(
+            (state["at"] + x).alias("at"), F.concat(state["begins"], F.array(state["at"])).alias("begins")))["begins"]
+
+    def placed(blocks: Column) -> Column:
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("steps"), begins(blocks).alias("at")), lambda b: F.aggregate(
+            b["steps"], F.struct(b["at"].alias("at"), F.array().cast(kind).alias("found")), step)["found"]))
+
+    return _let(_let(steps, cut), placed)
 
 
 def scan(docs: DataFrame, rules: Sequence[SecretRule] = BASE_RULES + MORE_RULES, id_col: str = "doc_id",

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -35,6 +36,15 @@ def test_spans_equal_a_scan_by_regex(spark):
     assert got == want
 
 
+def test_many_matches_in_one_text(spark):
+    """A log file of 100,000 matches; a square of them would not end."""
+    text = "".join(f"token=abc{'defg'[:n % 5]} " for n in range(100_000)) + "0123456789abcdef" * 2
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    found = [tuple(s) for s in secrets.scan(docs).first().spans]
+    assert found == brute(text) and time.time() - start < 60
+
+
 def test_queries_hold_in_every_match():
     for rule in RULES:
         for text in filter(None, CASES):
