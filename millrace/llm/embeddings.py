@@ -12,7 +12,7 @@ are one class from the start and are never compared. Blocks return a number per
 and a spanning star per group, not pairs; the stars are united.
 
 Vectors that are NULL, empty, zero or hold NULL or non-finite components link with
-nothing, nor do vectors of different length. A NULL id names no component of its own: its row
+nothing, nor do vectors of different length. Components of any size, down to 1e-300 and up to 1e300, count. A NULL id names no component of its own: its row
 keeps NULL, and other members are named by the smallest id that is not NULL.
 """
 
@@ -122,6 +122,8 @@ def _compare(threshold: float):
         frame = frame.sort_values("cls", ignore_index=True)
         ids, copies = frame["cls"].to_numpy(), frame["copies"].to_numpy()
         vectors = np.array(frame["vec"].tolist(), np.float64)
+        # By powers of two, so no product overflows or vanishes and no digit changes.
+        vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
         norms = np.linalg.norm(vectors, axis=1)
         near = vectors @ vectors.T >= threshold * np.outer(norms, norms)
         np.fill_diagonal(near, False)

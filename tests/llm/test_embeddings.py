@@ -36,6 +36,14 @@ def test_awkward_vectors(spark):
     assert got(spark, rows) == brute(rows)
 
 
+def test_components_of_any_size(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [0.0, 1e-200]), (3, [1e200, 0.0]), (4, [1e200, 1e200]), (5, [1.0, 0.0]), (6, [1e-300, 1e-301]),
+            (7, [5e-324, 0.0]), (8, [-1e300, 0.0]), (9, [0.0, 1e308])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    unit = [(i, [x / max(map(abs, v)) for x in v]) for i, v in rows]
+    assert sorted((tuple(r) for r in embeddings.near_vectors(frame).collect()), key=repr) == brute(unit)
+
+
 def test_empty(spark):
     assert got(spark, []) == []
 
