@@ -10,11 +10,11 @@ the target that the source has delivered by t; inverting it gives every document
 from the tokens that its source delivers before it, a training position. Documents
 are then sorted by ranges of that position.
 
-Within a source, documents stand in the order of the MD5 of their id, as often as
-whole passes over the source fit into its target; of the last pass, those whose
-middle lies within the rest. Repeated ids order by size. A source of any share is
-cut into key ranges of about `BUCKET_ROWS` documents, whose sums are chained, so no
-task holds a whole source. A document without words takes part with size 0; an
+Within a source, documents stand in the order of the MD5 of their id, pass after pass over the source. A copy
+is taken if the tokens up to its middle are demanded by the end of the training: the share that inverts to its position
+is 1 at most. Repeated ids order by size. A source of any share is
+cut into key ranges of about `BUCKET_ROWS` documents, whose sums are chained over ranges of all such sums, so no
+task holds a whole source or its buckets. A document without words takes part with size 0; an
 empty table gives an empty mix.
 """
 
@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.positions import number_rows
+from millrace.operators.positions import number_rows, running_total
 from millrace.sources.tables import settle
 
 WEIGHTS = (1, 2, 3)
@@ -80,19 +80,19 @@ def _planned(sized: DataFrame, targets: DataFrame) -> DataFrame:
     lead = F.conv(F.left("_key", F.lit(8)), 16, 10).cast("long")
     bucketed = known.withColumn("_bucket", F.shiftright(lead * F.col("_buckets"), 32))
     sums = bucketed.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_in_bucket"))
-    earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = settle(sums.select(
+    chained = settle(running_total(sums.withColumn("_absent", F.col("_source").isNull()), "_in_bucket",
+                                   "_absent", "_source", "_bucket"), "mix-chained")
+    begun = chained.groupBy(F.col("_source").alias("_of")).agg(F.min(F.col("upto") - F.col("_in_bucket")).alias("_begin"))
+    offsets = settle(chained.join(begun, F.col("_source").eqNullSafe(F.col("_of"))).select(
         F.col("_source").alias("_s"), F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_in_bucket").over(earlier), F.lit(0)).alias("_offset")), "mix-offsets")
+        (F.col("upto") - F.col("_in_bucket") - F.col("_begin")).alias("_offset")), "mix-offsets")
     joined = bucketed.join(offsets, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")), "left")
     inside = Window.partitionBy("_source", "_bucket").orderBy("_key", "_id", "_size").rowsBetween(
         Window.unboundedPreceding, -1)
     before = F.col("_offset") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
-    passes = F.when(F.col("_total") > 0, F.floor(F.col("_target") / F.col("_total"))).otherwise(0)
-    rest = F.col("_target") - passes * F.col("_total")
-    last = (F.col("_before") * 2 + F.col("_size") <= rest * 2).cast("long")
-    return joined.withColumn("_before", before).withColumn(
-        "_copies", F.least(F.lit(MAX_REPEATS).cast("long"), passes + last)).drop("_s", "_b")
+    demanded = F.filter(F.array(*[F.lit(k).cast("long") for k in range(MAX_REPEATS)]), lambda copy: _share(copy) <= 1)
+    copies = F.when(F.col("_target") > 0, F.size(demanded).cast("long")).otherwise(F.lit(1).cast("long"))
+    return joined.withColumn("_before", before).withColumn("_copies", copies).drop("_s", "_b")
 
 
 def _small(targets: DataFrame, rows: int = 10_000) -> bool:
@@ -100,22 +100,31 @@ def _small(targets: DataFrame, rows: int = 10_000) -> bool:
     return len(targets.select("_total").head(rows + 1)) <= rows
 
 
+def _share(copy: Column) -> Column:
+    """The part of its source's target that is delivered by the middle of a copy."""
+    return (copy * F.col("_total") + F.col("_before") + F.col("_size") / 2) / F.col("_target")
+
+
 def _position(copy: Column) -> Column:
-    """Training time at which the middle of a copy is demanded."""
-    share = (copy * F.col("_total") + F.col("_before") + F.col("_size") / 2) / F.col("_target")
+    """Training time at which the middle of a copy is demanded: the integral of the weight, inverted."""
+    share = _share(copy)
     start = 1 - F.col("_drift")
     root = F.sqrt(start * start + 4 * F.col("_drift") * share)
     return F.when(F.col("_target") > 0, F.least(F.lit(1.0), 2 * share / (start + root))).otherwise(F.lit(0.0))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: (id, size, source_size, target, taken, first_position)."""
+    """One row per document: (id, size, source_size, target, taken, first_position), sorted by ranges of the position.
+
+    `first_position` is NULL for a document that the mix does not take.
+    """
     sized = settle(_sized(docs, id_col, text_col, source_col, False), "mix-sized")
     planned = _planned(sized, source_targets(sized))
-    return planned.select(
+    placed = planned.select(
         F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_total").alias("source_size"),
         F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"),
         F.when(F.col("_copies") > 0, _position(F.lit(0))).alias("first_position"))
+    return placed.repartitionByRange("first_position", id_col).sortWithinPartitions("first_position", id_col)
 
 
 def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

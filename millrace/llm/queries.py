@@ -89,6 +89,7 @@ with sized as (
          cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
 totals as (select source, cast(sum(size) as bigint) as total from sized group by source),
 weighed as (select *, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w from totals),
+drifts(w, drift) as (values (1, 0.5::double), (2, 0.0::double), (3, -0.5::double)),
 chained as (
   select *, (select sum(total) from totals)
             - coalesce(sum(3 * total) over (o rows between unbounded preceding and 1 preceding), 0) as open_tokens,
@@ -98,20 +99,25 @@ chained as (
 level as (
   select coalesce(arg_min(cast(open_tokens as double) / cast(open_weight as double), place), 0) as l from chained
   where 3 * total >= w * (cast(open_tokens as double) / cast(open_weight as double))),
-targets as (select source, total, least(cast(3 * total as double), w * l) as target from weighed, level),
+targets as (select source, total, least(cast(3 * total as double), w * l) as target, drift from weighed join drifts using (w), level),
 placed as (
-  select doc_id, size, total, target,
-         case when total > 0 then floor(target / total) else 0 end as passes,
+  select doc_id, size, total, target, 1.0::double - drift as start, 4.0::double * drift as bend,
          coalesce(sum(size) over (partition by sized.source order by k, doc_id
                                   rows between unbounded preceding and 1 preceding), 0) as before
-  from sized join targets on sized.source is not distinct from targets.source)
-select doc_id, size, total as source_size, target,
-       cast(size * least(3, passes + case when before * 2 + size <= 2 * (target - passes * total) then 1 else 0 end)
-            as bigint) as taken
-from placed
+  from sized join targets on sized.source is not distinct from targets.source),
+shared as (
+  select *, list_transform([0, 1, 2], lambda c: case when target > 0 then
+    (cast(c * total + before as double) + cast(size as double) / 2.0::double) / target else 0.0::double end) as shares
+  from placed),
+counted as (
+  select *, case when target > 0 then len(list_filter(shares, lambda s: s <= 1.0::double)) else 1 end as copies from shared)
+select doc_id, size, total as source_size, target, cast(size * copies as bigint) as taken,
+       case when copies > 0 then least(1.0::double, case when target > 0
+         then 2.0::double * shares[1] / (start + sqrt(start * start + bend * shares[1])) else 0.0::double end) end as first_position
+from counted
 """)
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents")).drop("first_position")
+    return mixing.mix(table(spark, folder, "documents"))
 
 
 @query()

@@ -1,8 +1,10 @@
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 
-from millrace.llm import mixing
+from millrace.llm import mixing, queries
+from oracle import compare, connect
 
 
 def targets(sizes):
@@ -84,3 +86,14 @@ def test_empty_tables(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 == mixing.curriculum(docs.limit(0)).count()
     silent = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert {(r.target, r.taken) for r in mixing.mix(silent).collect()} == {(0.0, 0)}
+
+
+def test_the_query_goes_through_schedule_and_ranges(spark):
+    """The inverted integral and the range exchange are in the optimised plan of the query."""
+    plan = queries.op7_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "SQRT" in plan and "rangepartitioning(first_position" in plan
+
+
+def test_query_equals_its_sql(spark):
+    name, folder = "op7_mixing", "/root/testdata/sf0.001"
+    assert not compare(spark, connect(folder), SimpleNamespace(run=queries.QUERIES[name], sql=queries.SQL[name]), folder)
