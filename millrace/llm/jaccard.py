@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrow import give_back, map_rows, map_texts, slices
 from millrace.llm.components import connected
-from millrace.llm.mapped import look_up, range_of, thin, wide, write_array
+from millrace.llm.mapped import THIN, look_up, range_of, thin, wide, write_array, write_places, write_thin
 from millrace.llm.shingles import shingle_sets, signature
 from millrace.session import work_folder
 from millrace.sources.tables import settle
@@ -94,7 +94,8 @@ def _write_copies(members: DataFrame, folder: str, ranges: int) -> None:
 
     owners = members.filter("n > 0").groupBy("cls").agg(F.min("id").alias("owner"), F.count(F.lit(1)).alias("_m"))
     placed = owners.filter("_m > 1").select("cls", "owner").mapInArrow(place, "cls binary, owner long, place long")
-    settle(placed.groupBy("place").applyInPandas(run, "place long"), "copy-files")
+    written = settle(placed.groupBy("place").applyInPandas(run, "place long"), "copy-files")
+    write_places(folder, "copy-keys", [row.place for row in written.collect()])  # one per file
 
 
 def _count_shingles(rows: DataFrame, size: int, folder: str, ranges: int, copies: _Copies) -> None:
@@ -133,18 +134,19 @@ def _count_shingles(rows: DataFrame, size: int, folder: str, ranges: int, copies
         for first, width, gaps in zip(frame["first"], frame["width"], frame["gaps"]):
             parts.append(np.cumsum(np.concatenate((np.frombuffer(first, "<u8"), wide(width, gaps))), dtype=np.uint64))
         shingles = np.concatenate(parts)
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in frame["counts"]])
+        counts = np.concatenate([np.frombuffer(c, "<u4") for c in frame["counts"]]).astype(np.uint64)
         order = np.argsort(shingles)
         shingles = shingles[order]
         start = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
         totals = np.add.reduceat(counts[order], start)
         write_array(folder, f"shingles-{place}", shingles[start][totals > 1])
-        write_array(folder, f"holders-{place}", totals[totals > 1].astype("<u4"))
+        write_thin(folder, f"holders-{place}", totals[totals > 1])
         give_back()
         return pd.DataFrame({"place": [place]})
 
     packed = rows.mapInArrow(run, "place long, first binary, width long, gaps binary, counts binary")
-    settle(packed.groupBy("place").applyInPandas(merge, "place long"), "shingle-files")
+    written = settle(packed.groupBy("place").applyInPandas(merge, "place long"), "shingle-files")
+    write_places(folder, "shingles", [row.place for row in written.collect()])
 
 
 def _candidates(rows: DataFrame, size: int, percent: int, folder: str, ranges: int, copies: _Copies) -> DataFrame:
@@ -163,7 +165,7 @@ def _candidates(rows: DataFrame, size: int, percent: int, folder: str, ranges: i
                 full = [f for f, m in zip(full, mine) if m]
                 every, at = np.unique(np.concatenate([s for _, s, _ in full] or [np.empty(0, _U)]), return_inverse=True)
                 holders = np.maximum(look_up(folder, every, range_of(every, ranges), ("shingles", "<u8"),
-                                             ("holders", "<u4")).astype(np.int64), 1)[at]
+                                             ("holders", THIN, 1))[:, 0].astype(np.int64), 1)[at]
                 out, start = [], 0
                 for _, s, name in full:
                     h = holders[start:start + len(s)]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import give_back, map_texts, slices
-from millrace.llm.mapped import look_up, range_of, thin, wide, write_array
+from millrace.llm.mapped import THIN, look_up, range_of, thin, wide, write_array, write_places, write_thin
 from millrace.llm.words import END, mix, token_hashes
 from millrace.session import ship_package, work_folder
 from millrace.sources.tables import settle
@@ -44,11 +44,11 @@ SCORED_BYTES = 4 << 20  # text looked up at once
 _U = np.uint64
 
 
-TOKEN = np.dtype([("count", "<u8"), ("before", "<u8"), ("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
-CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
+TOKEN = np.dtype([("count", "<u8"), ("before", "<u8"), ("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
+CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
 TO_TOKENS, TO_CONTEXTS, TO_RUNS = range(3)  # where a row of facts goes
 _FACTS = "kind int, place long, tokens binary, ids binary, numbers binary, widths array<int>, " \
-         "c1 long, c2 long, c3 long, c4 long, runs long"
+         "cell long, c1 long, c2 long, c3 long, c4 long, runs long"
 
 
 @dataclass(frozen=True)
@@ -191,7 +191,7 @@ def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
         hashes = run_hash(columns)
         by = np.argsort(hashes)
         write_array(folder, f"runs{k}-{cell}", hashes[by])
-        write_array(folder, f"counts{k}-{cell}", counts[by].astype("<u4"))
+        write_thin(folder, f"counts{k}-{cell}", counts[by])
         contexts, at = np.unique(run_hash(columns[:-1]), return_inverse=True)
         after = np.zeros(len(contexts), TOKEN)
         after["total"] = np.bincount(at, counts.astype(np.float64), len(contexts))
@@ -212,6 +212,7 @@ def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
             rows += [(TO_RUNS, place, tokens, None, data, widths)
                      for place, tokens, data, widths in _packed(_cell_of(shorter, side), shorter, before)]
         out = pd.DataFrame(rows, columns=["kind", "place", "tokens", "ids", "numbers", "widths"])
+        out["cell"] = pd.array([cell] + [None] * (len(rows) - 1), "Int64")
         for n in (1, 2, 3, 4):
             out[f"c{n}"] = [int((counts == n).sum())] + [0] * (len(rows) - 1)
         out["runs"] = [len(counts)] + [0] * (len(rows) - 1)
@@ -264,7 +265,7 @@ def _merge_contexts(folder: str, k: int):
         contexts, facts = _read_facts(frame, CONTEXT)
         stored = (facts["total"] > 1) | (contexts == every_end)
         write_array(folder, f"contexts{k}-{place}", contexts[stored])
-        write_array(folder, f"after{k}-{place}", facts[stored])
+        write_thin(folder, f"after{k}-{place}", facts[stored].view("<u8"))
         give_back()
         return pd.DataFrame({"place": [place]})
 
@@ -295,6 +296,11 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
 
 
+def _note(folder: str, name: str, places: DataFrame) -> None:
+    """One number per file, of some 16 MB of text each, passes the driver."""
+    write_places(folder, name, [row[0] for row in places.collect()])
+
+
 def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> KneserNey:
     """Count all rows of `texts`, in runs of up to `order` tokens (2 or more)."""
     if order < 2:
@@ -312,15 +318,18 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> KneserNey
                        f"run-facts-{k}")
         of_runs = facts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c1", "c2", "c3", "c4", "runs")]).first()
         discounts.insert(0, _discounts(of_runs.c1, of_runs.c2, of_runs.c3, of_runs.c4))
+        _note(folder, f"runs{k}", facts.filter("cell is not null").select("cell"))
         if k > 2:
             contexts = facts.filter(F.col("kind") == TO_CONTEXTS).select("place", "tokens", "ids", "numbers", "widths")
-            settle(contexts.groupBy("place").applyInPandas(_merge_contexts(folder, k), "place long"), f"context-ranges-{k}")
+            _note(folder, f"contexts{k}", settle(
+                contexts.groupBy("place").applyInPandas(_merge_contexts(folder, k), "place long"), f"context-ranges-{k}"))
         token_facts.append(facts.filter(F.col("kind") == TO_TOKENS).select("place", "tokens", "ids", "numbers", "widths"))
         packed = facts.filter(F.col("kind") == TO_RUNS).select("place", "tokens", "numbers", "widths")
     every = token_facts[0] if order == 2 else token_facts[0].unionByName(token_facts[-1])
     merged = settle(every.groupBy("place").applyInPandas(
         _merge_tokens(folder), "place long, n long, v long, b1 long, b2 long, b3 long, b4 long, more long"),
         "token-ranges")
+    _note(folder, "tokens", merged.select("place"))
     t = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in merged.columns if c != "place"]).first()
     token_discounts = _discounts(t.b1, t.b2, t.b3, t.b4)
     d1, d2, d3 = token_discounts
@@ -336,8 +345,8 @@ def _counts_of(model: KneserNey, columns: list[np.ndarray]) -> np.ndarray:
     """The stored counts of runs of tokens."""
     k, hashes, cells = len(columns), run_hash(columns), _cell_of(columns, model.side)
     order = np.argsort(hashes)
-    found = np.zeros(len(hashes), "<u4")
-    found[order] = look_up(model.folder, hashes[order], cells[order], (f"runs{k}", "<u8"), (f"counts{k}", "<u4"))
+    found = np.zeros(len(hashes), "<u8")
+    found[order] = look_up(model.folder, hashes[order], cells[order], (f"runs{k}", "<u8"), (f"counts{k}", THIN, 1))[:, 0]
     return found
 
 
@@ -345,7 +354,8 @@ def _after(model: KneserNey, columns: list[np.ndarray]) -> np.ndarray:
     """What is known about contexts of two tokens or more."""
     k, hashes = len(columns) + 1, run_hash(columns)
     hashes, one, at = np.unique(hashes, return_index=True, return_inverse=True)
-    facts = look_up(model.folder, hashes, range_of(hashes, model.ranges), (f"contexts{k}", "<u8"), (f"after{k}", CONTEXT))
+    facts = look_up(model.folder, hashes, range_of(hashes, model.ranges), (f"contexts{k}", "<u8"),
+                    (f"after{k}", THIN, len(CONTEXT.names))).view(CONTEXT)[:, 0]
     once = (facts["total"] == 0) & (_counts_of(model, [c[one] for c in columns]) > 0)
     facts["total"][once] = facts["n1"][once] = 1
     return facts[at]

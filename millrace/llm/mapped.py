@@ -2,7 +2,8 @@
 
 A table is cut into numbered files by key. A task writes a file under a draft name
 and renames it, so a repeated task leaves the same file. Readers map files, so
-their memory holds pages in use, never the table.
+their memory holds pages in use, never the table. Which numbers were written is a file of its own: a reader
+takes a number that was not for an empty file, and fails where one that was is missing.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import numpy as np
 from pyarrow import fs
 
 _U = np.uint64
+THIN = "thin"  # unsigned numbers, a row of them per key, in as many bytes as the file's largest needs
 
 
 def range_of(key: np.ndarray, ranges: int) -> np.ndarray:
@@ -64,18 +66,32 @@ def map_array(folder: str, name: str, kind: np.dtype) -> np.ndarray:
         return np.memmap(copy, kind, "r") if copy.tell() else np.empty(0, kind)
 
 
+def write_thin(folder: str, name: str, rows: np.ndarray) -> None:
+    """Unsigned numbers, one or a row of them per key."""
+    write_array(folder, name, np.frombuffer(thin(rows.reshape(-1))[1], np.uint8))
+
+
+def write_places(folder: str, name: str, places: list[int]) -> None:
+    """Note the numbers under which files of that name were written; one per file, of many keys."""
+    write_array(folder, f"{name}.places", np.array(sorted(set(places)), "<i8"))
+
+
 class _Maps:
-    """A worker's maps of one model's files; a file that was never written is empty."""
+    """A worker's maps of one model's files."""
 
     def __init__(self, folder: str):
-        self.folder, self.open = folder, {}
+        self.folder, self.open, self.places = folder, {}, {}
+
+    def written(self, name: str, number: int) -> bool:
+        if name not in self.places:
+            self.places[name] = np.array(map_array(self.folder, f"{name}.places", np.dtype("<i8")))
+        places = self.places[name]
+        at = np.searchsorted(places, number)
+        return bool(at < len(places) and places[at] == number)
 
     def get(self, name: str, kind) -> np.ndarray:
         if name not in self.open:
-            try:
-                self.open[name] = map_array(self.folder, name, np.dtype(kind))
-            except FileNotFoundError:
-                self.open[name] = np.empty(0, kind)
+            self.open[name] = map_array(self.folder, name, np.dtype(kind))
         return self.open[name]
 
 
@@ -87,18 +103,26 @@ def _maps(folder: str) -> _Maps:
 def look_up(folder: str, keys: np.ndarray, file: np.ndarray, stored_keys: tuple, values: tuple) -> np.ndarray:
     """The values of sorted keys, each looked for in its numbered file; zero where that lacks it.
 
-    `stored_keys` and `values` are (name, type) of the arrays, which stand side by side.
+    `stored_keys` and `values` are (name, type) of the arrays, which stand side by side; of THIN values, (name, THIN,
+    numbers per key).
     """
-    maps, (keys_name, keys_kind), (values_name, values_kind) = _maps(folder), stored_keys, values
-    out = np.zeros(len(keys), values_kind)
+    maps, (keys_name, keys_kind), (values_name, values_kind, *columns) = _maps(folder), stored_keys, values
+    out = np.zeros((len(keys), *columns), "<u8" if values_kind == THIN else values_kind)
     order = np.argsort(file, kind="stable")
     edges = np.flatnonzero(np.diff(file[order], prepend=-1, append=-1))
     for a, b in zip(edges[:-1], edges[1:]):
         rows = order[a:b]
         n = int(file[rows[0]])
+        if not maps.written(keys_name, n):
+            continue
         stored = maps.get(f"{keys_name}-{n}", keys_kind)
         if len(stored):
             at = np.minimum(np.searchsorted(stored, keys[rows]), len(stored) - 1)
             hit = stored[at] == keys[rows]
-            out[rows[hit]] = maps.get(f"{values_name}-{n}", values_kind)[at[hit]]
+            if values_kind == THIN:
+                raw = maps.get(f"{values_name}-{n}", "u1").reshape(len(stored), -1)
+                found = wide(raw.shape[1] // columns[0], raw[at[hit]].tobytes())
+                out[rows[hit]] = found.reshape(-1, columns[0])
+            else:
+                out[rows[hit]] = maps.get(f"{values_name}-{n}", values_kind)[at[hit]]
     return out
