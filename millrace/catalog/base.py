@@ -89,62 +89,62 @@ lines_base as (
   join orders on l_orderkey = o_orderkey
   join part on l_partkey = p_partkey),
 lines_copied as (
-  select *, unnest(case when h % 215 = 13 then [0, 1] else [0] end) as copy_no,
-         case when h % 281 = 5 then cast(-(h % 13) as integer) else cast(l_quantity as integer) end as qty
+  select *, unnest(case when h % 190 = 21 then [0, 1] else [0] end) as copy_no,
+         case when h % 230 = 9 then cast(-(h % 11) as integer) else cast(l_quantity as integer) end as qty
   from lines_base),
 lines_raw as (
   select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_line_id,
          l_orderkey as order_id, o_custkey as customer_id,
-         case when h % 145 = 3 then h % 3 + 900000 else l_suppkey end as depot_id,
+         case when h % 170 = 4 then h % 4 + 770000 else l_suppkey end as depot_id,
          l_partkey as product_id, o_orderdate as order_datetime,
-         case when h % 85 <> 7 then cast(o_orderdate as date) + cast(h % 7 + 1 as integer) end
+         case when h % 95 <> 11 then cast(o_orderdate as date) + cast(h % 9 + 2 as integer) end
            as requested_delivery_date,
-         case when copy_no = 1 and h % 2580 = 13 then qty + 1 else qty end as quantity,
-         case when h % 58 = 11 then cast(list_price * (h % 120 + 55) * 0.01 as decimal(10,2))
+         case when copy_no = 1 and h % 2090 = 21 then qty + 1 else qty end as quantity,
+         case when h % 52 = 15 then cast(list_price * (h % 80 + 61) * 0.01 as decimal(10,2))
               else list_price end as unit_price
   from lines_copied),
 products_base as (
   select *, cast(p_retailprice as decimal(10,2)) as list_price,
-         unnest(case when p_partkey % 400 in (7, 107) then [0, 1] else [0] end) as copy_no
+         unnest(case when p_partkey % 330 in (5, 111) then [0, 1] else [0] end) as copy_no
   from part),
 products_cost as (
-  select *, cast(list_price * 0.70 as decimal(10,2)) as cost from products_base),
+  select *, cast(list_price * 0.64 as decimal(10,2)) as cost from products_base),
 products_raw as (
   select p_partkey as product_id, p_name as product_name, p_brand as category,
          p_type as temperature_zone, cost as unit_cost,
-         case when p_partkey % 17 = 3 then cast(cost * 0.88 as decimal(10,2)) else list_price end as unit_price,
-         p_size + case when copy_no = 1 and p_partkey % 400 = 107 then 1 else 0 end as shelf_life_days
+         case when p_partkey % 19 = 6 then cast(cost * 0.93 as decimal(10,2)) else list_price end as unit_price,
+         p_size + case when copy_no = 1 and p_partkey % 330 = 111 then 1 else 0 end as shelf_life_days
   from products_cost),
 products_one as (
   select distinct on (product_id) * from products_raw
   order by product_id, product_name, category, temperature_zone, unit_cost, unit_price, shelf_life_days),
 depots_raw as (
   select s_suppkey as depot_id, s_name as depot_name,
-         case when s_suppkey % 12 = 2 then ' ' || lower(n_name)
-              when s_suppkey % 12 = 7 then upper(n_name) else n_name end as city,
-         r_name as region, s_suppkey % 1800 + 400 as capacity_pallets,
-         date '2009-01-01' + cast(s_suppkey % 5200 as integer) as opened_date
+         case when s_suppkey % 14 = 3 then ' ' || lower(n_name)
+              when s_suppkey % 14 = 9 then upper(n_name) else n_name end as city,
+         r_name as region, s_suppkey % 1500 + 250 as capacity_pallets,
+         date '2011-03-01' + cast(s_suppkey % 4100 as integer) as opened_date
   from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
 deliveries_base as (
   select o_orderkey as k, o_orderdate, depot, o_orderkey * 13 + 3 as g
   from orders
   join (select l_orderkey, min(l_suppkey) as depot from lineitem group by l_orderkey) on o_orderkey = l_orderkey),
 deliveries_copied as (
-  select *, unnest(case when g % 168 = 10 then [0, 1] else [0] end) as copy_no,
-         o_orderdate + to_days(cast(g % 7 + 1 as integer)) + to_hours(cast(g % 7 + 4 as integer)) as sent,
-         cast((g % 2065 + 35) * 0.1 as decimal(10,2)) as km
+  select *, unnest(case when g % 185 = 16 then [0, 1] else [0] end) as copy_no,
+         o_orderdate + to_days(cast(g % 6 + 1 as integer)) + to_hours(cast(g % 9 + 3 as integer)) as sent,
+         cast((g % 1700 + 22) * 0.1 as decimal(10,2)) as km
   from deliveries_base),
 deliveries_raw as (
   select k + copy_no * 1000000000 as delivery_id, k + copy_no * 1000000000 as order_id,
-         depot as depot_id, k % 140 + 1 as vehicle_id, sent as dispatched_at,
-         case when g % 118 = 9 then sent - interval 3 hours
-              else sent + to_minutes(cast(g % 365 + 35 as integer)) end as delivered_at,
-         case when k % 100 >= 92 then 'SCHEDULED'
-              when g % 19 = 4 then ['delivered', 'Delivered', ' DELIVERED', 'DELIVERED ', 'failed'][g % 5 + 1]
-              when g % 100 < 88 then 'DELIVERED' when g % 100 < 93 then 'FAILED'
-              when g % 100 < 97 then 'RETURNED' else 'PARTIAL' end as status,
-         case when g % 58 <> 6 then g % 27 = 1 end as temperature_breach_flag,
-         case when g % 396 = 8 then -km else km end as distance_km
+         depot as depot_id, k % 90 + 1 as vehicle_id, sent as dispatched_at,
+         case when g % 131 = 12 then sent - interval 95 minutes
+              else sent + to_minutes(cast(g % 410 + 25 as integer)) end as delivered_at,
+         case when k % 90 >= 84 then 'SCHEDULED'
+              when g % 23 = 7 then ['delivered', 'Delivered', ' DELIVERED', 'DELIVERED ', 'failed'][g % 5 + 1]
+              when g % 100 < 83 then 'DELIVERED' when g % 100 < 91 then 'FAILED'
+              when g % 100 < 96 then 'RETURNED' else 'PARTIAL' end as status,
+         case when g % 49 <> 5 then g % 31 = 2 end as temperature_breach_flag,
+         case when g % 310 = 14 then -km else km end as distance_km
   from deliveries_copied)"""
 
 _SEQUENTIAL_GATE = """

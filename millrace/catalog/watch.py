@@ -240,74 +240,74 @@ def _(r):
 
 
 @query("inject_orphan_fk", """
-select order_line_id, case when order_id % 145 = 3 then [-301, -302, -303][customer_id % 3 + 1] else depot_id end as depot_id
+select order_line_id, case when order_id % 133 = 17 then [-301, -302, -303][customer_id % 3 + 1] else depot_id end as depot_id
 from lines_raw""")
 def _(r):
-    hurt = drills.orphan_keys(r.order_lines, "depot_id", F.col("order_id") % 145 == 3, [-301, -302, -303], F.col("customer_id"))
+    hurt = drills.orphan_keys(r.order_lines, "depot_id", F.col("order_id") % 133 == 17, [-301, -302, -303], F.col("customer_id"))
     return hurt.select("order_line_id", F.col("depot_id").cast("bigint").alias("depot_id"))
 
 
 @query("inject_duplicates", """
-select * from lines_raw union all select * from lines_raw where order_id % 215 = 13""")
+select * from lines_raw union all select * from lines_raw where order_id % 176 = 29""")
 def _(r):
-    return drills.repeat_rows(r.order_lines, F.col("order_id") % 215 == 13)
+    return drills.repeat_rows(r.order_lines, F.col("order_id") % 176 == 29)
 
 
 @query("inject_non_positive", """
-select order_line_id, case when order_id % 281 = 5 then [-3, 0, -8, -20][customer_id % 4 + 1] else quantity end as quantity
+select order_line_id, case when order_id % 240 = 7 then [-3, 0, -8, -20][customer_id % 4 + 1] else quantity end as quantity
 from lines_raw""")
 def _(r):
-    hurt = drills.non_positive(r.order_lines, "quantity", F.col("order_id") % 281 == 5, [-3, 0, -8, -20], F.col("customer_id"))
+    hurt = drills.non_positive(r.order_lines, "quantity", F.col("order_id") % 240 == 7, [-3, 0, -8, -20], F.col("customer_id"))
     return hurt.select("order_line_id", "quantity")
 
 
 @query("inject_null", """
-select delivery_id, case when delivery_id % 58 = 6 then null else temperature_breach_flag end as temperature_breach_flag
+select delivery_id, case when delivery_id % 47 = 8 then null else temperature_breach_flag end as temperature_breach_flag
 from deliveries_raw""")
 def _(r):
-    hurt = drills.blank(r.deliveries, "temperature_breach_flag", F.col("delivery_id") % 58 == 6)
+    hurt = drills.blank(r.deliveries, "temperature_breach_flag", F.col("delivery_id") % 47 == 8)
     return hurt.select("delivery_id", "temperature_breach_flag")
 
 
 @query("inject_price_drift", """
-select order_line_id, case when order_id % 58 = 11
-  then cast(unit_price * cast((55 + customer_id % 121) * 0.01 as decimal(5,2)) as decimal(10,2)) else unit_price end as unit_price
+select order_line_id, case when order_id % 63 = 20
+  then cast(unit_price * cast((60 + customer_id % 90) * 0.01 as decimal(5,2)) as decimal(10,2)) else unit_price end as unit_price
 from lines_raw""")
 def _(r):
-    factor = ((F.col("customer_id") % 121 + 55) * F.expr("0.01")).cast("decimal(5,2)")
-    hurt = drills.scale_price(r.order_lines, "unit_price", F.col("order_id") % 58 == 11, factor)
+    factor = ((F.col("customer_id") % 90 + 60) * F.expr("0.01")).cast("decimal(5,2)")
+    hurt = drills.scale_price(r.order_lines, "unit_price", F.col("order_id") % 63 == 20, factor)
     return hurt.select("order_line_id", "unit_price")
 
 
 @query("inject_time_inversion", """
 select delivery_id, dispatched_at,
-       case when delivery_id % 118 = 9 then dispatched_at - interval 3 hours else delivered_at end as delivered_at
+       case when delivery_id % 109 = 15 then dispatched_at - interval 2 hours else delivered_at end as delivered_at
 from deliveries_raw""")
 def _(r):
-    hurt = drills.invert_times(r.deliveries, "dispatched_at", "delivered_at", F.col("delivery_id") % 118 == 9)
+    hurt = drills.invert_times(r.deliveries, "dispatched_at", "delivered_at", F.col("delivery_id") % 109 == 15)
     return hurt.select("delivery_id", "dispatched_at", "delivered_at")
 
 
 @query("inject_ghost_rows", f"""
 select delivery_id, order_id from deliveries_raw union all
-select delivery_id + {GHOST_OFFSET}, order_id + {GHOST_OFFSET} from deliveries_raw where delivery_id % 168 = 10""")
+select delivery_id + {GHOST_OFFSET}, order_id + {GHOST_OFFSET} from deliveries_raw where delivery_id % 150 = 26""")
 def _(r):
-    hurt = drills.ghost_rows(r.deliveries, F.col("delivery_id") % 168 == 10, ["delivery_id", "order_id"], GHOST_OFFSET)
+    hurt = drills.ghost_rows(r.deliveries, F.col("delivery_id") % 150 == 26, ["delivery_id", "order_id"], GHOST_OFFSET)
     return hurt.select("delivery_id", "order_id")
 
 
 @query("inject_spelling", f"""
-select delivery_id, case when delivery_id % 19 = 4 then {list(STRAY_STATUS)}[order_id % 5 + 1] else status end as status
+select delivery_id, case when delivery_id % 24 = 9 then {list(STRAY_STATUS)}[order_id % 5 + 1] else status end as status
 from deliveries_t""")
 def _(r):
-    hurt = drills.respell(typed(r)["deliveries"], "status", F.col("delivery_id") % 19 == 4, STRAY_STATUS, F.col("order_id"))
+    hurt = drills.respell(typed(r)["deliveries"], "status", F.col("delivery_id") % 24 == 9, STRAY_STATUS, F.col("order_id"))
     return hurt.select("delivery_id", "status")
 
 
 @query("inject_sign_flip", """
-select delivery_id, case when delivery_id % 396 = 8 then -distance_km else distance_km end as distance_km from deliveries_raw""")
+select delivery_id, case when delivery_id % 333 = 22 then -distance_km else distance_km end as distance_km from deliveries_raw""")
 def _(r):
-    hurt = drills.flip_sign(r.deliveries, "distance_km", F.col("delivery_id") % 396 == 8)
+    hurt = drills.flip_sign(r.deliveries, "distance_km", F.col("delivery_id") % 333 == 22)
     return hurt.select("delivery_id", "distance_km")
 
 
@@ -317,7 +317,7 @@ def _(r):
 
 
 @query("inject_negative_margin", """
-select product_id, unit_cost, case when product_id % 37 = 6 then cast(unit_cost * 0.88 as decimal(10,2)) else unit_price end as unit_price
+select product_id, unit_cost, case when product_id % 37 = 6 then cast(unit_cost * 0.91 as decimal(10,2)) else unit_price end as unit_price
 from products_raw""")
 def _(r):
     hurt = drills.negative_margin(r.products, "unit_price", "unit_cost", F.col("product_id") % 37 == 6)

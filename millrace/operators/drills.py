@@ -45,7 +45,7 @@ def scale_price(df: DataFrame, column: str, where: Column, factor: Column) -> Da
     return _change(df, column, where, (F.col(column) * factor).cast(df.schema[column].dataType))
 
 
-def invert_times(df: DataFrame, start: str, end: str, where: Column, hours: int = 3) -> DataFrame:
+def invert_times(df: DataFrame, start: str, end: str, where: Column, hours: int = 2) -> DataFrame:
     return _change(df, end, where, F.col(start) - F.make_dt_interval(F.lit(0), F.lit(hours)))
 
 
@@ -62,7 +62,7 @@ def flip_sign(df: DataFrame, column: str, where: Column) -> DataFrame:
     return _change(df, column, where, -F.col(column))
 
 
-def negative_margin(df: DataFrame, price: str, cost: str, where: Column, factor: str = "0.88") -> DataFrame:
+def negative_margin(df: DataFrame, price: str, cost: str, where: Column, factor: str = "0.91") -> DataFrame:
     """Set the price below the cost."""
     return _change(df, price, where, (F.col(cost) * F.expr(factor)).cast(df.schema[price].dataType))
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources.tables import Frames, settle
 
-NO_DEPOT = 900000
+NO_DEPOT = 770000
 GHOST_OFFSET = 1_000_000_000
 
 # Spellings of a status that conform to the four valid ones.
@@ -54,19 +54,19 @@ class RetailTables:
                 "cast(p_retailprice as decimal(10,2)) as list_price",
                 "l_orderkey * 31 + l_linenumber * 17 as h",
             )
-            .selectExpr("*", _copies("h % 215 = 13"))
+            .selectExpr("*", _copies("h % 190 = 21"))
             .selectExpr(
                 "order_line_id",
                 "l_orderkey as order_id",
                 "o_custkey as customer_id",
-                f"if(h % 145 = 3, h % 3 + {NO_DEPOT}, l_suppkey) as depot_id",
+                f"if(h % 170 = 4, h % 4 + {NO_DEPOT}, l_suppkey) as depot_id",
                 "l_partkey as product_id",
                 "o_orderdate as order_datetime",
-                "if(h % 85 = 7, null, date_add(cast(o_orderdate as date), cast(h % 7 + 1 as int)))"
+                "if(h % 95 = 11, null, date_add(cast(o_orderdate as date), cast(h % 9 + 2 as int)))"
                 " as requested_delivery_date",
-                "if(h % 281 = 5, cast(-(h % 13) as int), units)"
-                " + if(copy_no = 1 and h % 2580 = 13, 1, 0) as quantity",
-                "if(h % 58 = 11, cast(list_price * (h % 120 + 55) * 0.01 as decimal(10,2)), list_price)"
+                "if(h % 230 = 9, cast(-(h % 11) as int), units)"
+                " + if(copy_no = 1 and h % 2090 = 21, 1, 0) as quantity",
+                "if(h % 52 = 15, cast(list_price * (h % 80 + 61) * 0.01 as decimal(10,2)), list_price)"
                 " as unit_price",
             ), "order-lines"
         )
@@ -75,13 +75,13 @@ class RetailTables:
     def products(self) -> DataFrame:
         return (
             self.source("part")
-            .selectExpr("*", "cast(p_retailprice as decimal(10,2)) as list_price", _copies("p_partkey % 400 in (7, 107)"))
-            .selectExpr("*", "cast(list_price * 0.70 as decimal(10,2)) as unit_cost")
+            .selectExpr("*", "cast(p_retailprice as decimal(10,2)) as list_price", _copies("p_partkey % 330 in (5, 111)"))
+            .selectExpr("*", "cast(list_price * 0.64 as decimal(10,2)) as unit_cost")
             .selectExpr(
                 "p_partkey as product_id", "p_name as product_name", "p_brand as category",
                 "p_type as temperature_zone", "unit_cost",
-                "if(p_partkey % 17 = 3, cast(unit_cost * 0.88 as decimal(10,2)), list_price) as unit_price",
-                "p_size + if(copy_no = 1 and p_partkey % 400 = 107, 1, 0) as shelf_life_days",
+                "if(p_partkey % 19 = 6, cast(unit_cost * 0.93 as decimal(10,2)), list_price) as unit_price",
+                "p_size + if(copy_no = 1 and p_partkey % 330 = 111, 1, 0) as shelf_life_days",
             )
         )
 
@@ -93,10 +93,10 @@ class RetailTables:
             .join(region, nation.n_regionkey == region.r_regionkey)
             .selectExpr(
                 "s_suppkey as depot_id", "s_name as depot_name",
-                "case when s_suppkey % 12 = 2 then concat(' ', lower(n_name))"
-                " when s_suppkey % 12 = 7 then upper(n_name) else n_name end as city",
-                "r_name as region", "s_suppkey % 1800 + 400 as capacity_pallets",
-                "date_add(date'2009-01-01', cast(s_suppkey % 5200 as int)) as opened_date",
+                "case when s_suppkey % 14 = 3 then concat(' ', lower(n_name))"
+                " when s_suppkey % 14 = 9 then upper(n_name) else n_name end as city",
+                "r_name as region", "s_suppkey % 1500 + 250 as capacity_pallets",
+                "date_add(date'2011-03-01', cast(s_suppkey % 4100 as int)) as opened_date",
             )
         )
 
@@ -110,19 +110,19 @@ class RetailTables:
             head.join(first, head.o_orderkey == first.k)
             .selectExpr("k", "depot", "o_orderdate", "k * 13 + 3 as g")
             .selectExpr(
-                "*", "o_orderdate + make_dt_interval(cast(g % 7 + 1 as int), cast(g % 7 + 4 as int)) as sent",
-                "cast((g % 2065 + 35) * 0.1 as decimal(10,2)) as km", _copies("g % 168 = 10"),
+                "*", "o_orderdate + make_dt_interval(cast(g % 6 + 1 as int), cast(g % 9 + 3 as int)) as sent",
+                "cast((g % 1700 + 22) * 0.1 as decimal(10,2)) as km", _copies("g % 185 = 16"),
             )
             .selectExpr(
                 f"k + copy_no * {GHOST_OFFSET} as delivery_id",
                 f"k + copy_no * {GHOST_OFFSET} as order_id",
-                "depot as depot_id", "k % 140 + 1 as vehicle_id", "sent as dispatched_at",
-                "sent + make_dt_interval(0, 0, if(g % 118 = 9, -180, cast(g % 365 + 35 as int))) as delivered_at",
-                f"case when k % 100 >= 92 then 'SCHEDULED' when g % 19 = 4 then element_at(array({spelling}), cast(g % 5 + 1 as int))"
-                " when g % 100 < 88 then 'DELIVERED' when g % 100 < 93 then 'FAILED'"
-                " when g % 100 < 97 then 'RETURNED' else 'PARTIAL' end as status",
-                "if(g % 58 = 6, null, g % 27 = 1) as temperature_breach_flag",
-                "if(g % 396 = 8, -km, km) as distance_km",
+                "depot as depot_id", "k % 90 + 1 as vehicle_id", "sent as dispatched_at",
+                "sent + make_dt_interval(0, 0, if(g % 131 = 12, -95, cast(g % 410 + 25 as int))) as delivered_at",
+                f"case when k % 90 >= 84 then 'SCHEDULED' when g % 23 = 7 then element_at(array({spelling}), cast(g % 5 + 1 as int))"
+                " when g % 100 < 83 then 'DELIVERED' when g % 100 < 91 then 'FAILED'"
+                " when g % 100 < 96 then 'RETURNED' else 'PARTIAL' end as status",
+                "if(g % 49 = 5, null, g % 31 = 2) as temperature_breach_flag",
+                "if(g % 310 = 14, -km, km) as distance_km",
             ), "deliveries"
         )
 
