@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cleanse as c
 from millrace.operators import gate
+from millrace.operators.history import FROM, TO, as_of, extend
 from millrace.operators.references import lookup, mark_parent, one_per_key
 from millrace.operators.rules import (
     CLEANSE, DOCUMENT, FAIL, WARN, ForeignKeyRule, Lookup, RegisterEntry, RowRule, UniqueRule,
@@ -21,6 +23,7 @@ from millrace.sources.tables import Frames, settle
 
 THRESHOLD_PCT = 5.0
 MASTER_PRICE = "_master_price"
+HISTORY = "product_history"
 
 
 def type_products(raw: DataFrame) -> DataFrame:
@@ -128,6 +131,26 @@ def tag_orders(orders: DataFrame, depots: DataFrame, silver_products: DataFrame)
     return tag(orders, "orders", order_rules(depots), [master], drop_identical=True)
 
 
+def tag_orders_as_of(orders: DataFrame, depots: DataFrame, product_history: DataFrame) -> Tagged:
+    """Orders judged by the price that was valid when they were placed (R8), and by the members of that time (R17)."""
+    priced = as_of(orders, "product_id", "order_datetime", product_history, "product_id", {"unit_price": MASTER_PRICE})
+    judged = tag(priced, "orders", order_rules(depots), drop_identical=True)
+    return Tagged(judged.table, judged.frame, judged.rules, (MASTER_PRICE,))
+
+
+def load_master(store: SnapshotStore, products: DataFrame, run: Run, moment: dt.datetime) -> Snapshot:
+    """Extend the store's history of products by one load of their master (runs jobs); a repeated run changes nothing."""
+    if (done := store.of_run(run.run_id)) is not None:
+        return done
+    last = store.latest()
+    known = last.table(HISTORY) if last and HISTORY in last.names() else None
+    if known is not None:
+        newest = known.agg(F.max(F.greatest(FROM, TO))).first()[0]
+        if newest is not None and newest >= moment.replace(tzinfo=None):
+            raise ValueError(f"a load of {moment} comes after one of {newest}")
+    return store.publish(run.run_id, {HISTORY: extend(known, products, ["product_id"], moment)})
+
+
 def tag_deliveries(deliveries: DataFrame, silver_orders: DataFrame) -> Tagged:
     return tag(deliveries, "deliveries", delivery_rules(silver_orders))
 
