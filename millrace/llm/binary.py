@@ -91,28 +91,39 @@ class SegmentEncoder:
             out.update((s, packed[a:b]) for s, a, b in zip(chained, cuts, cuts[1:]))
         return out
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """What is new in any of the texts goes through the library in one call for each stretch of segments."""
         if not self.cuts:
-            return self._encoded([text])[0]
-        segments = self._careful(text) if self._open(text) else self._segments(text)
-        return b"".join([self._stretch(segments[k:k + STRETCH]) for k in range(0, len(segments), STRETCH)])
-
-    def _stretch(self, segments: list[str]) -> bytes:
+            return self._encoded(texts)
+        out, some, size = [], [], 0
+        for text in texts:
+            segments = self._careful(text) if self._open(text) else self._segments(text)
+            if len(segments) > STRETCH:
+                out += self._stretches(some)
+                out.append(b"".join(self._stretches([segments[k:k + STRETCH] for k in range(0, len(segments), STRETCH)])))
+                some, size = [], 0
+                continue
+            some.append(segments)
+            size += len(segments)
+            if size > STRETCH:
+                out += self._stretches(some)
+                some, size = [], 0
+        return out + self._stretches(some)
+
+    def _stretches(self, cut: list[list[str]]) -> list[bytes]:
         young, old = self.young, self.old
-        found = list(map(young.get, segments))
-        if None not in found:
-            return b"".join(found)
-        missing = {s for s, known in zip(segments, found) if known is None}
-        fresh = [s for s in missing if s not in old]
-        young.update((s, old[s]) for s in missing if s in old)
-        young.update(self._new(fresh))
-        packed = b"".join(map(young.__getitem__, segments))
-        for s in missing:
-            if len(s) > CACHED_CHARS:
-                del young[s]
-        if len(young) > CACHED_SEGMENTS:
-            self.young, self.old = {}, young
-        return packed
+        known = [list(map(young.get, segments)) for segments in cut]
+        missing = {s for segments, found in zip(cut, known) if None in found for s, p in zip(segments, found) if p is None}
+        if missing:
+            young.update((s, old[s]) for s in missing if s in old)
+            young.update(self._new([s for s in missing if s not in old]))
+            known = [list(map(young.__getitem__, segments)) if None in found else found for segments, found in zip(cut, known)]
+            for s in missing:
+                if len(s) > CACHED_CHARS:
+                    del young[s]
+            if len(young) > CACHED_SEGMENTS:
+                self.young, self.old = {}, young
+        return [b"".join(found) for found in known]
 
 
 @lru_cache(maxsize=2)
@@ -137,9 +148,9 @@ def _write(folder: str, model: str, end_id: int):
 
         for batch in batches:
             for some, texts in slices(batch, batch.column(1), SLICE_BYTES):
-                for doc, text in zip(some.column(0).to_pylist(), texts.to_pylist()):
+                for doc, coded in zip(some.column(0).to_pylist(), code.encode(texts.to_pylist())):
                     ids.append(doc)
-                    packed.append(code.encode(text) + end)
+                    packed.append(coded + end)
                     held += len(packed[-1]) // 4
                     if held >= SHARD_TOKENS:
                         yield flush()
