@@ -79,8 +79,8 @@ _KEYS = (("fact_orders", "order_line_id"), ("fact_deliveries", "delivery_id"),
 
 
 def _source(table: str, suffix: str) -> str:
-    # The depot dimension has no suffixed form: it is the same in every star.
-    return "depots_s" if table == "dim_depot" else table + suffix
+    # The depot dimension has one suffixed form: it is the same in every star but the broken one.
+    return "depots_s" if table == "dim_depot" and suffix != "_broken" else table + suffix
 
 
 def _tests_sql(kinds=("unique", "not_null", "relationships", "rows"), suffix: str = "") -> str:
@@ -161,6 +161,32 @@ def _(r):
     return drills.sabotage(tests, g, {**g, "fact_orders": hurt})
 
 
+@query("sabotage_every_test", f"""
+with lines_twice as (select *, unnest(case when order_id % 53 = 1 then [0, 1] else [0] end) as copy_no from fact_orders),
+fact_orders_broken as (
+  select case when order_id % 59 = 2 then null else order_line_id end as order_line_id,
+         case when order_id % 47 = 3 then -1 else depot_id end as depot_id,
+         case when order_id % 61 = 4 then -1 else product_id end as product_id,
+         case when order_id % 67 = 5 then -line_value else line_value end as line_value from lines_twice),
+trips_twice as (select *, unnest(case when delivery_id % 53 = 1 then [0, 1] else [0] end) as copy_no from fact_deliveries),
+fact_deliveries_broken as (
+  select case when delivery_id % 59 = 2 then null else delivery_id end as delivery_id,
+         case when delivery_id % 61 = 4 then -1 else depot_id end as depot_id, transit_minutes,
+         case when delivery_id % 67 = 5 then -distance_km else distance_km end as distance_km from trips_twice),
+dim_depot_broken as (
+  select case when depot_id % 19 = 2 then null else depot_id end as depot_id
+  from (select *, unnest(case when depot_id % 17 = 1 then [0, 1] else [0] end) as copy_no from depots_s)),
+dim_product_broken as (
+  select case when product_id % 29 = 2 then null else product_id end as product_id
+  from (select *, unnest(case when product_id % 23 = 1 then [0, 1] else [0] end) as copy_no from dim_product))
+select 'sabotaged' as phase, * from ({_tests_sql(suffix='_broken')}) union all
+select 'restored', * from ({_tests_sql()})""")
+def _(r):
+    """Each of the thirteen tests turns red on the broken star and green on the sound one."""
+    g = {name: df for name, df in _published(r).items()}
+    return drills.sabotage(gold_plan.star_tests(), g, drills.break_star(g))
+
+
 # --- measures ------------------------------------------------------------------------------
 
 _MEASURE_KEYS = {

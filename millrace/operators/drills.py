@@ -67,6 +67,23 @@ def negative_margin(df: DataFrame, price: str, cost: str, where: Column, factor:
     return _change(df, price, where, (F.col(cost) * F.expr(factor)).cast(df.schema[price].dataType))
 
 
+def break_star(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """A star in which each of its table tests has something to find: repeated, missing and unknown keys, and bad measures."""
+    lines, trips, depots, products = (star[n] for n in ("fact_orders", "fact_deliveries", "dim_depot", "dim_product"))
+    order, trip, depot, product = (F.col(c) for c in ("order_id", "delivery_id", "depot_id", "product_id"))
+    lines = repeat_rows(lines, order % 53 == 1)
+    lines = blank(lines, "order_line_id", order % 59 == 2)
+    lines = orphan_keys(lines, "depot_id", order % 47 == 3, [-1], F.lit(0))
+    lines = orphan_keys(lines, "product_id", order % 61 == 4, [-1], F.lit(0))
+    lines = flip_sign(lines, "line_value", order % 67 == 5)
+    trips = orphan_keys(trips, "depot_id", trip % 61 == 4, [-1], F.lit(0))
+    trips = flip_sign(trips, "distance_km", trip % 67 == 5)
+    trips = blank(repeat_rows(trips, trip % 53 == 1), "delivery_id", trip % 59 == 2)
+    depots = blank(repeat_rows(depots, depot % 17 == 1), "depot_id", depot % 19 == 2)
+    products = blank(repeat_rows(products, product % 23 == 1), "product_id", product % 29 == 2)
+    return {"fact_orders": lines, "fact_deliveries": trips, "dim_depot": depots, "dim_product": products}
+
+
 def sabotage(tests: Sequence[TableTest], sound: Mapping[str, DataFrame], hurt: Mapping[str, DataFrame]) -> DataFrame:
     """Test results on the damaged and on the restored tables, with a `phase` column."""
     phases = {"sabotaged": hurt, "restored": sound}

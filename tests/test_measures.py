@@ -166,3 +166,15 @@ def test_grounding(spark):
     values = spark.createDataFrame([("Total Orders", 5962.0)], "measure string, value double")
     line = explain.explain_context(values, values, "July").first()["context"]
     assert line == "Total Orders = 5962.00 for July; baseline 5962.00"
+
+
+def test_figures_are_derived_or_named(spark):
+    """311 and 211 are not given; their difference, their sum and a share are."""
+    text = "Failures fell from 311 to 211, by 100 or 32.2%, of 522 in all; 67.85% of them, a ratio of 0.678, and 77 more."
+    df = spark.createDataFrame([(text, [311.0, 211.0]), (text, [5.0]), ("none", None), ("0 of 0.00", [0.0])], "t string, given array<double>")
+    got = explain.derivation_check(df, "t", F.col("given")).collect()
+    assert {x["figure"]: x["how"] for x in got[0]["figures"]} == {
+        "311": "given", "211": "given", "100": "difference", "32.2": "unknown", "522": "sum", "67.85": "percent", "0.678": "ratio",
+        "77": "unknown"}
+    assert [r["status"] for r in got] == ["FAIL", "FAIL", "PASS", "PASS"]
+    assert {x["how"] for x in got[1]["figures"]} == {"unknown"}
