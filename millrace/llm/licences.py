@@ -6,7 +6,12 @@ that occurs in a template (the matching statistics). Where a match of `MIN_MATCH
 words or more ends, it is located in its templates. Per template, matches in
 rising order whose gaps stay below `MAX_GAP` words on both sides are chained to a
 span; one that covers `MIN_COVER` of its template (and a whole match at least)
-gives the template's label.
+gives the template's label. Of spans that overlap, the one with most covered words stays (then the
+larger share of its template, the earlier, the first label), as notices of one family differ in a word or two.
+
+A template is a paragraph, so any whole paragraph of a licence suffices. Held are the whole texts of MIT, ISC, the
+BSD licences of two and three clauses and the Unlicense; the notices of Apache 2.0, GPL, LGPL, AGPL, MPL 2.0 and EPL 2.0; and
+lines for Creative Commons. The bodies of the long licences are not.
 
 Words are runs of letters and digits (and all characters beyond ASCII) after A-Z are
 lower-cased. NULL counts as empty text, which has no words and no labels.
@@ -15,6 +20,7 @@ Documents are independent, so ties and repeated rows need no rule.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from itertools import repeat
 
 import numpy as np
@@ -50,6 +56,63 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("mit", "and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the Software"),
+    ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+            "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+            "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+            "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+            "THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+            "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE "
+            "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+            "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+            "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+            "following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+            "promote products derived from this software without specific prior written permission"),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+            "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+            "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR "
+            "ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED "
+            "TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+            "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+            "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+            "POSSIBILITY OF SUCH DAMAGE"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+                  "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+                  "compiled binary, for any purpose, commercial or non-commercial, and by any means"),
+    ("unlicense", "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any "
+                  "and all copyright interest in the software to the public domain. We make this dedication for the "
+                  "benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+                  "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to "
+                  "this software under copyright law"),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+               "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+            "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License "
+            "for more details"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation"),
+    ("lgpl", "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+             "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+             "License for more details"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+             "General Public License as published by the Free Software Foundation"),
+    ("agpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+             "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public "
+             "License for more details"),
+    ("mpl", "If a copy of the MPL was not distributed with this file, You can obtain one at "
+            "https://mozilla.org/MPL/2.0/"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+            "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
 )
 
 # Separators become spaces, A-Z become a-z; bytes of characters beyond ASCII stay.
@@ -160,7 +223,7 @@ class LicenceScanner:
         def close(template: int) -> None:
             start, end, _, covered = open_chains.pop(template)
             if covered >= MIN_COVER * self.sizes[template]:
-                spans.append((self.labels[template], start, end, covered / self.sizes[template]))
+                spans.append((covered, start, self.labels[template], end, covered / self.sizes[template]))
 
         for start, end, state in sorted(matches):
             places: dict[int, list[int]] = {}
@@ -180,7 +243,18 @@ class LicenceScanner:
                 open_chains[template] = [start, end, stops[0], end - start]
         for template in list(open_chains):
             close(template)
-        return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
+        return _apart(spans)
+
+
+def _apart(spans: list[tuple]) -> list[tuple]:
+    """Of (covered words, start, label, end, share), the strongest that do not overlap: (label, start, end, share) in order."""
+    starts, kept = [], []
+    for _, start, label, end, share in sorted(spans, key=lambda s: (-s[0], -s[4], *s[1:4])):
+        at = bisect_left(starts, start)
+        if (at == 0 or kept[at - 1][2] <= start) and (at == len(kept) or kept[at][1] >= end):
+            starts.insert(at, start)
+            kept.insert(at, (label, start, end, share))
+    return kept
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

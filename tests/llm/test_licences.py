@@ -1,5 +1,8 @@
+import random
 import re
 
+import pytest
+
 from millrace.llm import licences, queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,6 +54,63 @@ def test_spans_are_chained():
     assert [s[0] for s in scanner.scan(CASES[11])[2]] == []
 
 
+def common(read, template):
+    """Words of the longest common subsequence."""
+    row = [0] * (len(read) + 1)
+    for w in licences.words_of(template):
+        last = 0
+        for k, r in enumerate(read, 1):
+            last, row[k] = row[k], last + 1 if r == w.decode() else max(row[k], row[k - 1])
+    return row[-1]
+
+
+@pytest.mark.parametrize("number", range(len(licences.TEMPLATES)))
+def test_every_template_is_found_with_changed_words(number):
+    label, text = licences.TEMPLATES[number]
+    scanner, words = licences.LicenceScanner(), [w.decode() for w in licences.words_of(text)]
+    dice = random.Random(number)
+    for changes in (0, 1, 1, 2, 3):
+        changed = sorted(dice.sample(range(len(words)), min(changes, len(words) // 10)))
+        edges = [-1, *changed, len(words)]
+        runs = [(a + 1, b) for a, b in zip(edges, edges[1:]) if b - a - 1 >= licences.MIN_MATCH]
+        read = [w if k not in changed else "zzz" for k, w in enumerate(words)]
+        found = scanner.scan("zzz " * 7 + " ".join(read) + " zzz" * 7)[2]
+        if sum(b - a for a, b in runs) >= 0.8 * len(words):
+            alike = max(common(read, o) for other, o in licences.TEMPLATES if other != label)
+            assert (7 + runs[0][0], 7 + runs[-1][1]) in [s[1:3] for s in found]
+            if alike < len(words) - len(changed):  # else the changed word is what tells two licences apart
+                assert (label, 7 + runs[0][0], 7 + runs[-1][1]) in [s[:3] for s in found]
+        assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+
+
+def test_later_parts_and_families():
+    scanner = licences.LicenceScanner()
+
+    def labels(*numbers):
+        return [s[0] for s in scanner.scan(" zzz ".join(licences.TEMPLATES[n][1] for n in numbers))[2]]
+
+    by_label = {}
+    for n, (label, _) in enumerate(licences.TEMPLATES):
+        by_label.setdefault(label, []).append(n)
+    for label, numbers in by_label.items():
+        assert set(labels(*numbers)) == {label}
+    assert [s[0] for s in scanner.scan("this library is free software you can redistribute it")[2]] == []
+
+
+def test_strongest_of_overlapping_spans_equals_brute_force():
+    dice = random.Random(5)
+    for _ in range(200):
+        spans = []
+        for _ in range(dice.randrange(9)):
+            start = dice.randrange(20)
+            spans.append((dice.randrange(1, 6), start, dice.choice("abc"), start + dice.randrange(1, 8), dice.choice((0.7, 1.0))))
+        kept = []
+        for _, start, label, end, share in sorted(spans, key=lambda s: (-s[0], -s[4], *s[1:4])):
+            if all(end <= k[1] or k[2] <= start for k in kept):
+                kept.append((label, start, end, share))
+        assert licences._apart(spans) == sorted(kept, key=lambda k: k[1])
+
+
 def test_query_on_the_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     rows = queries.op10_license_scans(spark, FOLDER).collect()
