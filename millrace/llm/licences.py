@@ -10,7 +10,7 @@ gives the template's label. Of spans that overlap, the one with most covered wor
 larger share of its template, the earlier, the first label), as notices of one family differ in a word or two.
 
 A template is a paragraph, so any whole paragraph of a licence suffices. Held are the whole texts of MIT, ISC, the
-BSD licences of two and three clauses and the Unlicense; the notices of Apache 2.0, GPL, LGPL, AGPL, MPL 2.0 and EPL 2.0; and
+BSD licences of two and three clauses; two paragraphs of the Unlicense; the notices of Apache 2.0, GPL, LGPL, AGPL, MPL 2.0 and EPL 2.0; and
 lines for Creative Commons. The bodies of the long licences are not.
 
 Words are runs of letters and digits (and all characters beyond ASCII) after A-Z are
