@@ -111,13 +111,26 @@ class SegmentEncoder:
         return out + self._stretches(some)
 
     def _stretches(self, cut: list[list[str]]) -> list[bytes]:
+        """The ids of each list of segments; only the places of new ones are looked up a second time."""
         young, old = self.young, self.old
         known = [list(map(young.get, segments)) for segments in cut]
-        missing = {s for segments, found in zip(cut, known) if None in found for s, p in zip(segments, found) if p is None}
+        gaps, missing = [], set()
+        for segments, found in zip(cut, known):
+            places, at = [], -1
+            try:
+                while True:
+                    at = found.index(None, at + 1)
+                    places.append(at)
+            except ValueError:
+                pass
+            gaps.append(places)
+            missing.update(segments[k] for k in places)
         if missing:
             young.update((s, old[s]) for s in missing if s in old)
             young.update(self._new([s for s in missing if s not in old]))
-            known = [list(map(young.__getitem__, segments)) if None in found else found for segments, found in zip(cut, known)]
+            for segments, found, places in zip(cut, known, gaps):
+                for k in places:
+                    found[k] = young[segments[k]]
             for s in missing:
                 if len(s) > CACHED_CHARS:
                     del young[s]

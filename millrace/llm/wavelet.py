@@ -45,11 +45,11 @@ def planes_of(ids: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
     digits = max(1, int(ids.max(initial=0)).bit_length())
     rest, words, zeros = ids.astype(_narrow(digits)), [], []
     for k in range(digits - 1, -1, -1):
-        mask = (rest >> k & 1).astype(bool)
+        mask = (rest & rest.dtype.type(1 << k)) != 0
         words.append(_packed_words(mask))
-        below = rest[~mask]
+        below = rest.compress(~mask)  # half the time of an index of truth values
         zeros.append(len(below))
-        rest = np.concatenate((below, rest[mask]))
+        rest = np.concatenate((below, rest.compress(mask)))
     return words, zeros
 
 
@@ -200,9 +200,9 @@ class Shard:
         out = np.zeros(self.n, _narrow(self.planes))
         for plane in range(self.planes - 1, -1, -1):
             words = np.concatenate([self._block(plane, k) for k in range(self._directory.shape[1])] or [np.empty(0, "<u8")])
-            mask = np.unpackbits(words.view(np.uint8), count=self.n, bitorder="little").astype(bool)
+            mask = np.unpackbits(words.view(np.uint8), count=self.n, bitorder="little").view(bool)
             zeros, above = int(self.zeros[plane]), np.empty_like(out)
-            above[~mask] = out[:zeros]
-            above[mask] = out[zeros:] | out.dtype.type(1 << self.planes - 1 - plane)
+            above[np.flatnonzero(~mask)] = out[:zeros]
+            above[np.flatnonzero(mask)] = out[zeros:] | out.dtype.type(1 << self.planes - 1 - plane)
             out = above
         return out
