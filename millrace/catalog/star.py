@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from millrace.catalog.base import gold, pct, query, ratio, silver, tagged, typed, ungated_gold
 from millrace.operators import checks, drills, gate
 from millrace.plans import gold as gold_plan
-from millrace.plans import measures, reports
+from millrace.plans import cube, measures, reports
 from millrace.plans import silver as silver_plan
 from millrace.session import work_folder
 from millrace.sources.raw import as_text, export_csv, read_raw
+from millrace.sources.tables import settle
 
 # --- models --------------------------------------------------------------------------------
 
@@ -112,6 +113,11 @@ def _published(r):
     return gold_plan.build_gold(silver_plan.settled_silver(typed(r)), r.products)
 
 
+def _cube(r):
+    """The cube of the published star: written once, it answers without its facts."""
+    return settle(cube.build_cube(_published(r)), "cube")
+
+
 def _kind(key: str, *kinds: str):
     # On the ungated star, where the tests have something to find.
     @query(key, _tests_sql(kinds, "_ungated"))
@@ -241,7 +247,9 @@ def _(r):
     return measures.all_measures(star).withColumn("value", rounded)
 
 
-@query("measure_by_dim", """
+_MEMBERS_OF = (("Total Revenue", "region"), ("Total Orders", "category"), ("Cold Chain Breaches", "status"),
+               ("Active Products", "city"))
+_MEMBERS_SQL = """
 select 'Total Revenue' as measure, region as member, cast(sum(line_value) as double) as value
 from fact_orders left join depots_s using (depot_id) group by 2 union all
 select 'Total Orders', category, cast(count(distinct order_id) as double)
@@ -249,18 +257,24 @@ from fact_orders left join dim_product using (product_id) group by 2 union all
 select 'Cold Chain Breaches', status, cast(count(*) filter (where temperature_breach_flag) as double)
 from fact_deliveries group by 2 union all
 select 'Active Products', city, v from (select distinct city from depots_s),
-  (select value as v from measures where measure = 'Active Products')""")
+  (select value as v from measures where measure = 'Active Products')"""
+
+
+@query("measure_by_dim", _MEMBERS_SQL)
 def _(r):
     g = _published(r)
-    asked = (("Total Revenue", "region"), ("Total Orders", "category"), ("Cold Chain Breaches", "status"),
-             ("Active Products", "city"))
-    parts = [measures.measure_by(g, m, d).withColumn("measure", F.lit(m)) for m, d in asked]
+    parts = [measures.measure_by(g, m, d).withColumn("measure", F.lit(m)) for m, d in _MEMBERS_OF]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+@query("members_from_cube", _MEMBERS_SQL)
+def _(r):
+    return cube.answers_by(_cube(r), _MEMBERS_OF).drop("dimension")
+
+
 def _asked() -> list[tuple[str, dict | None, str, str]]:
     """(measure, filter, mode, SQL of the value): reachable, unreachable and status filters."""
     europe, chilled, failed = ("region", "EUROPE"), ("category", "Brand#11"), ("status", "FAILED")
@@ -291,10 +305,13 @@ def _asked() -> list[tuple[str, dict | None, str, str]]:
     ]
 
 
-@query("query_metric", " union all ".join(f"""
+_ASKED_SQL = " union all ".join(f"""
 select '{m}' as measure, ({sql}) as value, 'gold_star' as grounded_from,
        '{(f or {}).get("dimension", "")}' as dimension, '{(f or {}).get("value", "")}' as member, '{mode}' as mode"""
-    for m, f, mode, sql in _asked()))
+    for m, f, mode, sql in _asked())
+
+
+@query("query_metric", _ASKED_SQL)
 def _(r):
     g = _published(r)
     out = None
@@ -306,6 +323,44 @@ def _(r):
     return out
 
 
+@query("metric_from_cube", _ASKED_SQL)
+def _(r):
+    asked = [cube.Question(m, (f or {}).get("dimension"), (f or {}).get("value"), mode) for m, f, mode, _sql in _asked()]
+    return cube.answers(_cube(r), asked).drop("place").fillna("", ["dimension", "member"])
+
+
+_CUBE_SQL = {
+    "fact_orders": ("fact_orders left join depots_s using (depot_id) left join dim_product using (product_id)",
+                    "coalesce(sum(line_value), 0)", "0", "0", "count(distinct order_id)",
+                    ("region", "city", "category", "temperature_zone")),
+    "fact_deliveries": ("fact_deliveries left join depots_s using (depot_id)", "0", "count(*) filter (where status = 'DELIVERED')",
+                        "count(*) filter (where temperature_breach_flag)", "0", ("region", "city", "status")),
+    "dim_product": ("dim_product", "0", "0", "0", "count(distinct product_id) filter (where is_active)",
+                    ("category", "temperature_zone")),
+    "dim_depot": ("depots_s", "0", "0", "0", "0", ("region", "city")),
+}
+
+
+@query("measure_cube", " union all ".join(f"""
+select '{fact}' as fact, {dimension} as dimension, {member} as member, count(*) as n_rows, cast({value} as double) as line_value,
+       cast({delivered} as bigint) as delivered, cast({breaches} as bigint) as breaches, cast({keys} as bigint) as n_keys
+from {source} group by all"""
+    for fact, (source, value, delivered, breaches, keys, dims) in _CUBE_SQL.items()
+    for dimension, member in [("null::varchar", "null::varchar"), *[(f"'{d}'", d) for d in dims]]))
+def _(r):
+    """The cube after two loads: lines and deliveries from 1995 on come later, and only they are read for the merge."""
+    g = {name: settle(df, f"star-{name}") for name, df in _published(r).items()}
+    late = {"fact_orders": "ordered_at", "fact_deliveries": "dispatched_at"}
+    later = {n: F.coalesce(F.col(c) >= F.lit("1995-01-01").cast("timestamp"), F.lit(False)) for n, c in late.items()}
+    first = {n: df.filter(~later[n]) if n in later else df for n, df in g.items()}
+    before = settle(cube.build_cube(first), "cube-before")
+    new = cube.build_cube({n: df.filter(later[n]) if n in later else df for n, df in g.items()})
+    after = settle(cube.merge([before, new.filter(F.col("fact").isin(list(late)))]), "cube")
+    return after.groupBy("fact", "dimension", "member").agg(
+        F.sum("n_rows").alias("n_rows"), F.coalesce(F.sum("line_value"), F.lit(0)).cast("double").alias("line_value"),
+        *[F.sum(c).alias(c) for c in ("delivered", "breaches", "n_keys")])
+
+
 @query("metric_audit", """
 select 'Total Orders' as measure, null::varchar as dimension, null::varchar as filter_value, value
 from measures where measure = 'Total Orders' union all

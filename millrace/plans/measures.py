@@ -78,13 +78,13 @@ RELATIONSHIPS = {
 }
 
 
-def _measure(name: str) -> Measure:
+def known_measure(name: str) -> Measure:
     if name not in MEASURES:
         raise UnknownRequest(f"unknown measure {name!r}; allowed: {', '.join(MEASURES)}")
     return MEASURES[name]
 
 
-def _dimension_table(dimension: str) -> str:
+def dimension_table(dimension: str) -> str:
     if dimension not in DIMENSIONS:
         raise UnknownRequest(f"unknown dimension {dimension!r}; allowed: {', '.join(DIMENSIONS)}")
     return DIMENSIONS[dimension]
@@ -92,7 +92,7 @@ def _dimension_table(dimension: str) -> str:
 
 def evaluate(gold: Mapping[str, DataFrame], name: str) -> DataFrame:
     """(measure, value) over the unfiltered star."""
-    m = _measure(name)
+    m = known_measure(name)
     return gold[m.fact].agg(m.value()).select(F.lit(name).alias("measure"), "value")
 
 
@@ -134,7 +134,7 @@ def query_metric(
     status replace the filter in the numerator, so the rate may exceed 1;
     `intersect` applies both.
     """
-    m = _measure(measure)
+    m = known_measure(measure)
     if filter_mode not in (OVERRIDE, INTERSECT):
         raise UnknownRequest(f"unknown filter mode {filter_mode!r}")
     if filter is None:
@@ -142,7 +142,7 @@ def query_metric(
     else:
         if set(filter) != {"dimension", "value"}:
             raise UnknownRequest("a filter has exactly a dimension and a value")
-        _dimension_table(filter["dimension"])
+        dimension_table(filter["dimension"])
         answer = _filtered(gold, m, filter["dimension"], filter["value"], filter_mode)
     return answer.withColumn("grounded_from", F.lit(model))
 
@@ -164,7 +164,7 @@ def measure_by(gold: Mapping[str, DataFrame], measure: str, dimension: str) -> D
     measure's table cannot be reached from yields the unfiltered value for
     every member.
     """
-    m, table = _measure(measure), _dimension_table(dimension)
+    m, table = known_measure(measure), dimension_table(dimension)
     if table == m.fact:
         return gold[m.fact].groupBy(F.col(dimension).alias("member")).agg(m.value())
     key = RELATIONSHIPS.get((m.fact, table))

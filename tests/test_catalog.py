@@ -14,7 +14,8 @@ from millrace.catalog.base import REGISTERED
 FOLDER = "/root/testdata/sf0.001"
 SELECTION = [
     "scan_raw_csv", "parse_timestamp", "rule_null_warn", "key_integrity", "fk_report", "rule_results", "gate",
-    "quarantine", "silver_deliveries", "dim_product", "run_tests", "all_measures", "query_metric",
+    "quarantine", "silver_deliveries", "dim_product", "run_tests", "all_measures", "query_metric", "metric_from_cube",
+    "members_from_cube", "measure_cube",
     "revenue_by_region", "numeric_profile", "drift_soft", "grounding_check", "inject_ghost_rows", "stream_bronze",
 ]
 
