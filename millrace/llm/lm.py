@@ -87,25 +87,41 @@ def _cell_of(columns: list[np.ndarray], side: int) -> np.ndarray:
     return _row_of(run_hash(columns[:-1]), side) * side + _column_of(columns[-1], side)
 
 
-def _distinct_runs(columns: list[np.ndarray], counts: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct runs of tokens and their summed counts."""
-    code = None
+def _distinct_runs(columns: list[np.ndarray], counts: np.ndarray | None,
+                   span: int | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct runs of tokens and their summed counts; with `span` the columns hold numbers below it, not hashes.
+
+    A run is one number while sorted, of which its tokens are read back, so no column is kept beside it.
+    """
+    code, size, levels = np.zeros(1, _U), 1, []  # size: the numbers of all runs so far are below it
     for c in columns:
-        every, at = np.unique(c, return_inverse=True)
-        if code is None:
-            code = at
-        else:
-            code = code * len(every) + at
-            if c is not columns[-1]:  # numbers stay below the square of the length
-                code = np.unique(code, return_inverse=True)[1]
-    order = np.argsort(code, kind="stable")
-    code = code[order]
-    first = np.flatnonzero(np.diff(code, prepend=-1))
+        every, at = (None, c) if span else np.unique(c, return_inverse=True)
+        n, shorter = span or max(1, len(every)), None
+        if size * n >= 1 << 63:  # else numbers stay below the square of the length
+            shorter, code = np.unique(code, return_inverse=True)
+            code, size = code.astype(_U, copy=False), len(shorter)
+        code = code * _U(n) + at.astype(_U, copy=False)
+        size *= n
+        levels.append((every, n, shorter))
+        del at
+    if counts is None:
+        code.sort()
+    else:
+        order = np.argsort(code, kind="stable")
+        code, counts = code[order], counts[order]
+        del order
+    first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.empty(0, int)
     if counts is None:
         summed = np.diff(first, append=len(code))
     else:
-        summed = np.add.reduceat(counts[order], first) if len(first) else counts
-    return [c[order[first]] for c in columns], summed
+        summed = np.add.reduceat(counts, first) if len(first) else counts
+    code, out = code[first], []
+    for every, n, shorter in reversed(levels):
+        code, at = np.divmod(code, _U(n))
+        out.append(at if every is None else every[at.astype(np.int64)])
+        if shorter is not None:
+            code = shorter[code.astype(np.int64)]
+    return out[::-1], summed
 
 
 def _thinned(numbers: list[np.ndarray]) -> tuple[bytes, list[int]]:
@@ -161,9 +177,19 @@ def _count_runs(texts: DataFrame, side: int, order: int) -> DataFrame:
     types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
+        """Runs of all texts held, which are let go; their tokens are numbered once, and numbers are shorter than hashes."""
         tokens, sizes = (np.concatenate(x) for x in zip(*held))
-        columns, counts = _distinct_runs(_back(tokens, sizes, END, order), None)
+        held.clear()
+        known, tokens = np.unique(tokens, return_inverse=True)
+        tokens = tokens.astype(np.uint32)
+        back = _back(tokens, sizes, np.searchsorted(known, END), order)
+        del tokens
+        columns, counts = _distinct_runs(back, None, len(known))
+        del back
+        columns = [known[c] for c in columns]
         rows = list(_packed(_cell_of(columns, side), columns, counts))
+        del columns, counts
+        give_back()
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +200,7 @@ def _count_runs(texts: DataFrame, side: int, order: int) -> DataFrame:
                 size += len(held[-1][0])
                 if size >= TASK_TOKENS:
                     yield flush(held)
-                    held, size = [], 0
+                    size = 0
         if held:
             yield flush(held)
         del held

@@ -1,8 +1,11 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+
 from millrace.llm import lm, queries, words
 
 END = None
@@ -107,3 +110,24 @@ def test_query_on_the_table(spark):
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
     per = [(r.score / r.n_tokens, r.base_score / r.n_tokens) for r in rows if r.held_out]
     assert sum(a > b for a, b in per) > 0.9 * len(per)
+
+
+def test_runs_are_counted_without_a_column_beside_them():
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, 2**63, 40_000).astype("<u8")
+    for length, n in ((2, 300), (3, 40_000), (7, 4_000)):  # seven columns pass 64 bits, if not shortened in between
+        rows = words[rng.integers(0, min(n, len(words)), (n, length))]
+        rows = np.concatenate((rows, rows[: n // 3]))
+        want, seen = np.unique(rows, axis=0, return_counts=True)
+        for counts in (None, np.full(len(rows), 2, np.uint64)):
+            columns, summed = lm._distinct_runs(list(rows.T), counts)
+            assert np.array_equal(np.stack(columns, 1), want)
+            assert np.array_equal(summed, seen * (1 if counts is None else 2))
+    numbers = rng.integers(0, 50_000, 1_000_000).astype(np.uint32)
+    columns = lm._back(numbers, np.full(1_000, 1_000), 0, 3)
+    tracemalloc.start()
+    runs, summed = lm._distinct_runs(columns, None, 50_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int(summed.sum()) == 1_000_000 and len(runs) == 3
+    assert peak < 60 * len(numbers)  # bytes
