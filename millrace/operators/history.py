@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FROM, TO = "valid_from", "valid_to"
+BROADCAST_ROWS = 100_000  # cut intervals that may be sent to every task
 
 
 def _at(moment: dt.datetime) -> Column:
@@ -66,11 +67,12 @@ def members_at(history: DataFrame, keys: Sequence[str], moment: dt.datetime) ->
 
 def as_of(rows: DataFrame, key: str, time: str, history: DataFrame, history_key: str, values: dict[str, str],
           days: int = 366) -> DataFrame:
-    """Add `values` ({column: new name}) of the state that was valid at each row's time; NULL where none was (runs a job).
+    """Add `values` ({column: new name}) of the state that was valid at each row's time; NULL where none was (runs two jobs).
 
     Intervals are cut at ranges of `days`, and rows meet them by key and range: a key that holds any share of the
     rows is spread over its ranges, no row's order matters, and no window gathers a key. As intervals of a
-    key do not overlap, a row meets one at most and stays one row.
+    key do not overlap, a row meets one at most and stays one row. The cut intervals are many times the history's
+    rows, which Spark's estimate does not tell; they are counted first, and many of them are never broadcast.
     """
     def range_of(moment: Column) -> Column:
         return F.floor(F.unix_date(moment.cast("date")) / days)
@@ -81,9 +83,10 @@ def as_of(rows: DataFrame, key: str, time: str, history: DataFrame, history_key:
         return rows.withColumns({new: F.lit(None).cast(history.schema[c].dataType) for c, new in values.items()})
     begin = F.greatest(range_of(F.col(FROM)), F.lit(first))
     end = F.least(F.coalesce(range_of(F.col(TO)), F.lit(last)), F.lit(last))
+    n_cut = history.filter(begin <= end).agg(F.coalesce(F.sum(end - begin + 1), F.lit(0))).first()[0]
     cut = history.filter(begin <= end).select(
         F.col(history_key).alias("_key"), F.col(FROM).alias("_from"), F.col(TO).alias("_to"),
         *[F.col(c).alias(new) for c, new in values.items()], F.explode(F.sequence(begin, end)).alias("_range"))
     met = ((F.col(key) == F.col("_key")) & (range_of(moment) == F.col("_range")) & (moment >= F.col("_from"))
            & (F.col("_to").isNull() | (moment < F.col("_to"))))
-    return rows.join(cut, met, "left").drop("_key", "_range", "_from", "_to")
+    return rows.join(cut.hint("merge") if n_cut > BROADCAST_ROWS else cut, met, "left").drop("_key", "_range", "_from", "_to")

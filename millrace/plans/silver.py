@@ -132,8 +132,12 @@ def tag_orders(orders: DataFrame, depots: DataFrame, silver_products: DataFrame)
 
 
 def tag_orders_as_of(orders: DataFrame, depots: DataFrame, product_history: DataFrame) -> Tagged:
-    """Orders judged by the price that was valid when they were placed (R8), and by the members of that time (R17)."""
-    priced = as_of(orders, "product_id", "order_datetime", product_history, "product_id", {"unit_price": MASTER_PRICE})
+    """Orders judged by the price that was valid when they were placed (R8), and by the members of that time (R17).
+
+    The priced orders are written, as the rules on keys read them several times (runs jobs).
+    """
+    priced = settle(as_of(orders, "product_id", "order_datetime", product_history, "product_id",
+                          {"unit_price": MASTER_PRICE}), "priced-orders")
     judged = tag(priced, "orders", order_rules(depots), drop_identical=True)
     return Tagged(judged.table, judged.frame, judged.rules, (MASTER_PRICE,))
 

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from millrace.operators import history
 from millrace.plans import runs, silver
@@ -67,3 +68,23 @@ def test_a_master_is_loaded_in_order_and_once(spark):
     gone = silver.load_master(store, load.limit(0), runs.Run("c"), DAYS[3])
     assert rows(gone.table(silver.HISTORY), "valid_from", "valid_to") == [(DAYS[1], DAYS[3])]
     assert one.table(silver.HISTORY).filter("valid_to is null").count() == 1
+
+
+def test_cut_intervals_are_broadcast_by_their_own_size(spark):
+    """Intervals of 400 days cut by the day are 400 times the history: no estimate says so, and the driver must not get them."""
+    states = spark.range(1_000).selectExpr(
+        "id as k", "cast(id as double) as price", "timestamp_ntz'2020-01-01 00:00:00' as valid_from",
+        "cast(null as timestamp_ntz) as valid_to")
+    lines = spark.range(4_000).selectExpr(
+        "id % 1000 as k", "id", "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(cast(id % 400 as int)) as t")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+    try:
+        for days, broadcast in ((1, False), (366, True)):
+            met = history.as_of(lines, "k", "t", states, "k", {"price": "then"}, days).agg(
+                F.count("then").alias("n"), F.count_if(F.col("then") == F.col("k")).alias("right"))
+            assert [tuple(row) for row in met.collect()] == [(4_000, 4_000)]
+            plan = met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert ("BroadcastHashJoin" in plan) == broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

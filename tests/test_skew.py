@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import gate, keys, references
+from millrace.operators import gate, history, keys, references
 from millrace.operators.quantiles import exact_quantiles, to_long
 from millrace.operators.tagging import rejected, survivors
 from millrace.plans import silver
@@ -103,3 +103,11 @@ def test_gate_on_hot_keys_equals_brute_force(spark, splitting):
     assert got == want
     assert survivors(judged).count() == len(left)
     assert rejected(judged).count() + len(left) == len(local)
+
+
+def test_as_of_join_splits_a_hot_key(spark, splitting):
+    at = "timestamp_ntz'2020-01-01 00:00:00'"
+    states = spark.range(0, 120_000).selectExpr("id as p", "id as price", f"{at} as valid_from", "cast(null as timestamp_ntz) as valid_to")
+    priced = history.as_of(hot(spark).selectExpr("*", f"{at} as t"), "k", "t", states, "p", {"price": "then"})
+    assert "skew=true" in final_plan(priced.filter("then = k or v > 0"))
+    assert priced.filter("then = k").count() == 120_000
