@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import pct, query, silver, tagged
+from millrace.catalog.base import pct, query, silver, tagged, typed
 from millrace.operators import gate, keys, references, rules
 from millrace.operators.tagging import rejected, survivors, tag
 from millrace.plans import silver as plan
@@ -140,7 +140,7 @@ left join rule_counts c on v.rule = c.rule {where}"""
 
 @query("rule_catalogue", _register_sql(""))
 def _(r):
-    return register_with_counts(plan.results(tagged(r)))
+    return register_with_counts(plan.judged_results(typed(r)))
 
 
 @query("document_rule", """
@@ -313,7 +313,7 @@ select rule, "table", action, violations, cast(rows_rejected as bigint) as rows_
        case when violations = 0 then 'PASS' else action end as status
 from rule_counts""")
 def _(r):
-    return plan.results(tagged(r)).drop("description", "halts")
+    return plan.judged_results(typed(r)).drop("description", "halts")
 
 
 def _gate_sql(limit: float) -> str:
@@ -326,7 +326,7 @@ from (select sum(violations) filter (where action = 'FAIL') as v, sum(rows_rejec
 
 @query("gate", f"{_gate_sql(5.0)} union all {_gate_sql(2.5)}")
 def _(r):
-    results, total = plan.results(tagged(r)), gate.rows_in(list(r.all.values()))
+    results, total = plan.judged_results(typed(r)), gate.rows_in(list(r.all.values()))
     return gate.gate_totals(results, total, 5.0, 2.5)
 
 
@@ -335,7 +335,7 @@ select cast(sum(violations) filter (where action = 'FAIL') as bigint) as fail_vi
        cast(sum(rows_rejected) as bigint) as rows_quarantined from rule_counts""")
 def _(r):
     total = gate.rows_in(list(r.all.values()))
-    return gate.gate_totals(plan.results(tagged(r)), total).select("fail_violations", "rows_quarantined")
+    return gate.gate_totals(plan.judged_results(typed(r)), total).select("fail_violations", "rows_quarantined")
 
 
 @query("quarantine", "select _dq_table, _dq_rule, row_key from rejected_all")

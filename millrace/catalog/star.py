@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import gold, pct, query, ratio, silver, tagged, typed, ungated_gold
+from millrace.catalog.base import gold, pct, query, ratio, silver, typed, ungated_gold
 from millrace.operators import checks, drills, gate
 from millrace.plans import gold as gold_plan
 from millrace.plans import cube, measures, reports
@@ -235,7 +235,7 @@ select rule, "table", action, violations, cast(rows_rejected as bigint) as rows_
 from rule_counts""")
 def _(r):
     typed_text, _ = _from_text(r)
-    return silver_plan.results(silver_plan.tag_all(typed_text)).drop("description", "halts")
+    return silver_plan.judged_results(typed_text).drop("description", "halts")
 
 
 @query("csv_to_measures", """
@@ -447,6 +447,6 @@ select c.rule, "table", v."column", action, violations, case when violations = 0
 from rule_counts c join (values {_COLUMNS_SQL}) v(rule, "column") on c.rule = v.rule, total_in,
      (select sum(rows_rejected) as q, sum(violations) filter (where action = 'FAIL') as t from rule_counts)""")
 def _(r):
-    results = silver_plan.results(tagged(r))
+    results = silver_plan.judged_results(typed(r))
     totals = gate.gate_totals(results, gate.rows_in(list(r.all.values())))
     return reports.quality_page(results, totals)
