@@ -477,7 +477,7 @@ def _(r):
     def judged(p, o, v):
         """Every table against sound parents, so one defect cannot cause another."""
         return gate.rule_results([
-            silver_plan.tag_products(p), silver_plan.tag_orders(o, kept["depots"], kept["products"]),
+            silver_plan.tag_products(p), silver_plan.tag_orders(o, kept["depots"], kept["products"], to_count=True),
             silver_plan.tag_deliveries(v, kept["orders"])])
 
     clean = judged(kept["products"], kept["orders"], kept["deliveries"]).select(
