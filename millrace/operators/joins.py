@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
+
+SENT_BYTES = 64 << 20  # of a measured list that may be sent to every task
+ROW_BYTES = 100  # what a row takes there besides its texts
+
+
+def sent_if_small(written: DataFrame) -> DataFrame:
+    """A written list, to be broadcast if what it takes in a task, as measured, stays below a bound (runs a job).
+
+    Spark judges a file by its size on disk and a low threshold, and moves all rows of the other side for lists
+    that fit anywhere. A longer list, or one of arrays or structs, is returned as it is.
+    """
+    if not all(isinstance(f.dataType, AtomicType) for f in written.schema):
+        return written
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in written.schema
+             if isinstance(f.dataType, (StringType, BinaryType))]
+    size = F.sum(reduce(add, texts, F.lit(ROW_BYTES)).cast("long"))
+    return F.broadcast(written) if (written.agg(size).first()[0] or 0) <= SENT_BYTES else written
 
 
 def skew_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str) -> DataFrame:

@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import skew_join
+from millrace.operators.joins import sent_if_small, skew_join
 from millrace.sources.raw import LINEAGE
 from millrace.sources.tables import settle
 
@@ -60,10 +60,10 @@ def drop_identical_and_mark(df: DataFrame, keys: Sequence[str], ignore: Sequence
 
     Identical rows share their key, so only the rows of repeated keys, or of a NULL
     key, can be copies or conflicts. Those keys are counted first, on the key columns
-    alone, and written: Spark knows the list's true size, broadcasts it when it is small and
-    splits hot partitions when not. Runs a job.
+    alone, written and measured: a list that fits into a task is broadcast, and Spark
+    splits hot partitions when it does not. Runs jobs.
     """
-    hits = settle(repeated_keys(df, keys), "repeated-keys").toDF(*[f"_r{i}" for i in range(len(keys))])
+    hits = sent_if_small(settle(repeated_keys(df, keys), "repeated-keys")).toDF(*[f"_r{i}" for i in range(len(keys))])
     pairs = [(k, f"_r{i}") for i, k in enumerate(keys)]
     keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
     suspects = skew_join(df.filter(keyed), hits, pairs, "left_semi").unionByName(df.filter(~keyed))

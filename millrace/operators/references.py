@@ -1,8 +1,8 @@
 """Joins between a child table and its parents.
 
-No broadcast hints: Spark broadcasts a parent when its size is below the
-threshold and otherwise shuffles both sides, where adaptive execution splits a
-hot key's partition. Parents may therefore be of any size.
+Spark broadcasts a parent when its size is below the threshold and otherwise
+shuffles both sides, where adaptive execution splits a hot key's partition. Parents
+may therefore be of any size; only keys that were written and measured (`known_keys`) carry a hint.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.ratios import percent
-from millrace.operators.joins import skew_join
+from millrace.operators.joins import sent_if_small, skew_join
 from millrace.sources.tables import settle
 
 
@@ -20,6 +20,12 @@ def _parent_keys(parent: DataFrame, parent_col: str) -> DataFrame:
     return parent.select(F.col(parent_col).alias("_pk")).filter("_pk is not null").distinct()
 
 
+def known_keys(parent: DataFrame, parent_col: str) -> DataFrame:
+    """The parent's distinct keys, written; broadcast if they fit into a task, so that children stay where they are (runs jobs)."""
+    keys = settle(parent.select(parent_col).filter(F.col(parent_col).isNotNull()).distinct(), "parent-keys")
+    return sent_if_small(keys)
+
+
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key: of conflicting versions the smallest by the other columns in their order."""
     others = [c for c in df.columns if c != key]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import cleanse as c
 from millrace.operators import gate
 from millrace.operators.history import FROM, TO, as_of, extend
-from millrace.operators.references import lookup, mark_parent, one_per_key
+from millrace.operators.references import known_keys, lookup, mark_parent, one_per_key
 from millrace.operators.rules import (
     CLEANSE, DOCUMENT, FAIL, WARN, ForeignKeyRule, Lookup, RegisterEntry, RowRule, UniqueRule,
 )
@@ -128,7 +128,8 @@ def tag_depots(depots: DataFrame) -> Tagged:
 
 def tag_orders(orders: DataFrame, depots: DataFrame, silver_products: DataFrame, to_count: bool = False) -> Tagged:
     master = Lookup("product_id", silver_products, "product_id", {"unit_price": MASTER_PRICE})
-    return tag(orders, "orders", order_rules(depots), [master], drop_identical=True, to_count=to_count)
+    known = known_keys(depots, "depot_id")
+    return tag(orders, "orders", order_rules(known), [master], drop_identical=True, to_count=to_count)
 
 
 def tag_orders_as_of(orders: DataFrame, depots: DataFrame, product_history: DataFrame) -> Tagged:
@@ -138,7 +139,7 @@ def tag_orders_as_of(orders: DataFrame, depots: DataFrame, product_history: Data
     """
     priced = settle(as_of(orders, "product_id", "order_datetime", product_history, "product_id",
                           {"unit_price": MASTER_PRICE}), "priced-orders")
-    judged = tag(priced, "orders", order_rules(depots), drop_identical=True)
+    judged = tag(priced, "orders", order_rules(known_keys(depots, "depot_id")), drop_identical=True)
     return Tagged(judged.table, judged.frame, judged.rules, (MASTER_PRICE,))
 
 
