@@ -115,3 +115,9 @@ def test_requests_outside_the_allowed_set(star, built):
             cube.answers(built, [bad])
     with pytest.raises(TypeError, match="integer keys"):
         cube.build_cube({**star, "fact_orders": star["fact_orders"].withColumn("order_id", F.col("order_id").cast("string"))})
+
+
+def test_places_are_sorted_by_one_number(star):
+    plan = cube.build_cube(star)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line and "bucket" in line]
+    assert sorts and all(re.search(r"Sort \[_place|Sort \[xxhash64|Sort \[_groupingexpression", line) for line in sorts), sorts
