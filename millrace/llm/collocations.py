@@ -3,8 +3,8 @@
 Counting. Tasks turn texts into chunks: numbers of words, with the chunk's own dictionary. Only what the
 counts rule out is left behind: words below the least frequency become gaps, as no phrase around
 them can reach it, and so do pairs. What is left are windows, two and more frequent pairs in a row, cut after the
-longest phrase and summed over all chunks. Chunks learn which of their words and pairs are frequent by a join on
-the chunk's number, so no task holds the dictionary of the corpus.
+longest phrase and summed over all chunks. A chunk deals its words, and then its pairs, to places by their hash, a
+packed row for each place, which adds them up and tells the chunk which are frequent: no task holds the dictionary of the corpus.
 
 Growth. A phrase's score is at most 1000 n / f(first word), whatever follows: cut after that word, its own
 frequency is no more than that of the rest. First words wait in the order of this bound, the rarest first, and are
@@ -21,22 +21,26 @@ Frequencies and products are exact (38 digits).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import SLICE_BYTES, give_back, slices
-from millrace.llm.mapped import thin, wide
-from millrace.operators.positions import number_rows, running_total
+from millrace.llm.mapped import thin, thinned, wide, widened
+from millrace.llm.words import mix
+from millrace.operators.positions import running_total
 from millrace.session import ship_package
 from millrace.sources.tables import settle
 
 LONGEST = 5
 CHUNK_WORDS = 1 << 20
+PLACE_WORDS = 6 << 20  # words of text for each place where words meet; pairs meet in twice as many
 SENT_ROWS = 100_000  # phrases that a join may broadcast, at most 100 bytes each
 _SLOTS = [f"w{k}" for k in range(1, LONGEST + 1)]
 # A-Z to a-z, the ends of pieces to a line break, tabs to spaces.
@@ -64,11 +68,15 @@ class _Chunk:
         self.size += len(self.parts[-1])
 
     def row(self) -> tuple:
-        codes = np.concatenate(self.parts)
-        words = [w.decode() for w in list(self.numbers)[2:]]
+        """The words by their checksum, which deals them into places, and the text as numbers of that order."""
+        codes, words = np.concatenate(self.parts), list(self.numbers)[2:]
+        order = sorted(range(len(words)), key=lambda k: (zlib.crc32(words[k]), words[k]))
+        renumbered = np.zeros(len(words) + 1, np.uint32)
+        renumbered[np.array(order, np.int64) + 1] = np.arange(1, len(words) + 1)
+        codes = renumbered[codes]
         counts = np.bincount(codes, minlength=len(words) + 1)[1:]
         width, data = thin(codes)
-        return words, counts.tolist(), int(counts.sum()), width, data
+        return b" ".join([words[k] for k in order]), *thinned([counts]), int(counts.sum()), width, data
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,9 +84,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> pa.RecordBatch:
         rows = [(lang, *chunk.row()) for lang, chunk in held.items()]
-        types = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary()]
+        types = [pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                          names=["lang", "words", "counts", "n", "width", "codes"])
+                                          names=["lang", "words", "counts", "widths", "n", "width", "codes"])
 
     for batch in batches:
         for some, texts in slices(batch, batch.column(1), SLICE_BYTES):
@@ -95,21 +103,67 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
+def _deal_words(places: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A chunk's words with their counts, a row for each place."""
+        for batch in batches:
+            for lang, chunk, data, packed, widths in zip(*(c.to_pylist() for c in batch.columns)):
+                words = data.split(b" ") if data else []
+                counts, = widened(packed, widths)
+                place = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) * places >> 32
+                edges = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
+                rows = [(lang, int(place[a]), chunk, b" ".join(words[a:b]), *thinned([counts[a:b]]))
+                        for a, b in zip(edges[:-1], edges[1:])]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [
+                        pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())])],
+                        names=["lang", "place", "chunk", "words", "counts", "widths"])
+        give_back()
+
+    return run
+
+
+def _merge_words(least: int):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        """A place's frequent words, numbered from 1; beside them, for each chunk the numbers of its words there, 0 for others."""
+        numbers: dict[bytes, int] = {}
+        codes, counts = [], []
+        for data, packed, widths in zip(frame["words"], frame["counts"], frame["widths"]):
+            codes.append(np.array([numbers.setdefault(w, len(numbers)) for w in data.split(b" ")], np.int64))
+            counts.append(widened(packed, widths)[0].astype(np.int64))
+        total, words = np.zeros(len(numbers), np.int64), list(numbers)
+        for own, n in zip(codes, counts):
+            total[own] += n  # a chunk has a word once
+        often = sorted(np.flatnonzero(total >= least).tolist(), key=lambda k: (zlib.crc32(words[k]), words[k]))
+        rank = np.zeros(len(words), np.uint64)
+        rank[often] = np.arange(1, len(often) + 1)
+        replies = [thinned([rank[own]]) for own in codes]
+        out = pd.DataFrame({"chunk": pd.array([*frame["chunk"], None], "Int64"), "ranks": [*(r for r, _ in replies), None],
+                            "widths": [*(w for _, w in replies), None], "words": [None] * len(replies) + [[words[k].decode() for k in often]],
+                            "f": [None] * len(replies) + [total[often].tolist()]})
+        out["lang"], out["place"] = frame["lang"].iloc[0], frame["place"].iloc[0]
+        give_back()
+        return out
+
+    return run
+
+
 def _recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks with their frequent words only: 0 for all others, neighbouring zeros as one."""
     for batch in batches:
         for chunk, width, data, known in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            codes = wide(width, data).astype(np.int64)
-            known.sort(key=lambda x: x["at"])
-            table = np.zeros(int(codes.max(initial=0)) + 1, np.int64)
-            table[[x["at"] + 1 for x in known]] = np.arange(1, len(known) + 1)
-            codes = table[codes]
+            codes, every = wide(width, data).astype(np.int64), [np.zeros(1, np.int64)]
+            for x in sorted(known, key=lambda x: x["place"]):
+                rank = widened(x["ranks"], x["widths"])[0].astype(np.int64)
+                every.append(np.where(rank > 0, rank + x["before"], 0))
+            ids = np.concatenate(every)
+            often = ids > 0
+            codes = np.where(often, np.cumsum(often), 0)[codes]
             codes = codes[(codes > 0) | (np.concatenate(([1], codes[:-1])) > 0)]
-            ids = np.array([x["id"] for x in known], "<i8").tobytes()
-            size, thinned = thin(codes.astype(np.uint64))
+            size, thinner = thin(codes.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk]), pa.array([ids], pa.binary()), pa.array([size], pa.int32()), pa.array([thinned], pa.binary())],
-                names=["chunk", "ids", "width", "codes"])
+                [pa.array([chunk]), pa.array([ids[often].astype("<i8").tobytes()], pa.binary()), pa.array([size], pa.int32()),
+                 pa.array([thinner], pa.binary())], names=["chunk", "ids", "width", "codes"])
     give_back()
 
 
@@ -118,38 +172,89 @@ def _opened(batch: pa.RecordBatch) -> Iterator[tuple]:
         yield chunk, np.concatenate(([0], np.frombuffer(ids, "<i8"))), wide(width, data).astype(np.int64), *more
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A chunk's distinct pairs, with their counts and their number in the chunk."""
-    for batch in batches:
-        for chunk, ids, codes in _opened(batch):
-            a, b = codes[:-1], codes[1:]
-            both = (a > 0) & (b > 0)
-            keys, counts = np.unique(a[both] * len(ids) + b[both], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(ids[keys // len(ids)]),
-                 pa.array(ids[keys % len(ids)]), pa.array(counts)], names=["chunk", "key", "w1", "w2", "n"])
-    give_back()
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A chunk's distinct windows of three words or more, 0 where the frequent pairs end."""
-    for batch in batches:
-        for _, ids, codes, keys in _opened(batch):
-            keys = np.sort(np.array(keys, np.int64))
-            padded = np.concatenate((codes, np.zeros(LONGEST, np.int64)))
-            pair = padded[:-1] * len(ids) + padded[1:]
-            linked = (padded[:-1] > 0) & (padded[1:] > 0)
-            at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
-            linked &= keys[at] == pair
-            starts = np.flatnonzero(linked[:len(codes)] & linked[1:len(codes) + 1])
-            open_, columns, code = np.ones(len(starts), bool), [padded[starts]], padded[starts]
-            for k in range(1, LONGEST):
-                open_ &= linked[starts + k - 1]
-                columns.append(np.where(open_, padded[starts + k], 0))
-                code = np.unique(code, return_inverse=True)[1] * len(ids) + columns[-1]
-            _, one, counts = np.unique(code, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([*[pa.array(ids[c[one]]) for c in columns], pa.array(counts)], names=[*_SLOTS, "n"])
-    give_back()
+def _pairs_of(ids: np.ndarray, codes: np.ndarray, places: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's distinct pairs, as first * len(ids) + second, by their place; their counts and places."""
+    a, b = codes[:-1], codes[1:]
+    both = (a > 0) & (b > 0)
+    keys, counts = np.unique(a[both] * len(ids) + b[both], return_counts=True)
+    first, second = (ids[k].astype(np.uint64) for k in np.divmod(keys, len(ids)))
+    place = (mix(mix(first) * np.uint64(3) + second) % np.uint64(places)).astype(np.int64)
+    order = np.argsort(place, kind="stable")
+    return keys[order], counts[order], place[order]
+
+
+def _deal_pairs(places: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A chunk's distinct pairs with their counts, a row for each place."""
+        for batch in batches:
+            for chunk, ids, codes in _opened(batch):
+                keys, counts, place = _pairs_of(ids, codes, places)
+                first, second = ids[keys // len(ids)], ids[keys % len(ids)]
+                edges = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
+                rows = [(int(place[a]), chunk, *thinned([np.diff(first[a:b], prepend=0), second[a:b], counts[a:b]]))
+                        for a, b in zip(edges[:-1], edges[1:])]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [
+                        pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())])], names=["place", "chunk", "pairs", "widths"])
+        give_back()
+
+    return run
+
+
+def _merge_pairs(least: int):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        """A place's frequent pairs; beside them, for each chunk which of its pairs there are, a bit each."""
+        parts = [widened(*x) for x in zip(frame["pairs"], frame["widths"])]
+        sizes = [len(p[0]) for p in parts]
+        first = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]).astype(np.int64)
+        second, counts = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (1, 2))
+        del parts
+        order = np.lexsort((second, first))
+        first, second, counts = first[order], second[order], counts[order]
+        start = np.flatnonzero(np.diff(first, prepend=-1) | np.diff(second, prepend=-1))
+        total = np.add.reduceat(counts, start)
+        often = total >= least
+        known = np.empty(len(order), bool)
+        known[order] = np.repeat(often, np.diff(start, append=len(order)))
+        bits = [np.packbits(part).tobytes() for part in np.split(known, np.cumsum(sizes)[:-1])]
+        at = start[often]
+        found = pd.DataFrame({"w1": first[at], "w2": second[at], "a": total[often]}, dtype="Int64")
+        out = pd.concat([pd.DataFrame({"chunk": pd.array(frame["chunk"], "Int64"), "bits": bits}), found], ignore_index=True)
+        out["place"], out["bits"] = frame["place"].iloc[0], out["bits"].astype(object).where(out["bits"].notna(), None)
+        give_back()
+        return out
+
+    return run
+
+
+def _windows(places: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A chunk's distinct windows of three words or more, 0 where the frequent pairs end."""
+        for batch in batches:
+            for _, ids, codes, known in _opened(batch):
+                keys, _, place = _pairs_of(ids, codes, places)
+                sizes = np.bincount(place, minlength=places)
+                often = [np.unpackbits(np.frombuffer(x["bits"], "u1"), count=int(sizes[x["place"]]))
+                         for x in sorted(known, key=lambda x: x["place"])]
+                keys = np.sort(keys[np.concatenate(often) > 0])
+                if not len(keys):
+                    continue
+                padded = np.concatenate((codes, np.zeros(LONGEST, np.int64)))
+                pair = padded[:-1] * len(ids) + padded[1:]
+                linked = (padded[:-1] > 0) & (padded[1:] > 0)
+                at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+                linked &= keys[at] == pair
+                starts = np.flatnonzero(linked[:len(codes)] & linked[1:len(codes) + 1])
+                open_, columns, code = np.ones(len(starts), bool), [padded[starts]], padded[starts]
+                for k in range(1, LONGEST):
+                    open_ &= linked[starts + k - 1]
+                    columns.append(np.where(open_, padded[starts + k], 0))
+                    code = np.unique(code, return_inverse=True)[1] * len(ids) + columns[-1]
+                _, one, counts = np.unique(code, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([*[pa.array(ids[c[one]]) for c in columns], pa.array(counts)], names=[*_SLOTS, "n"])
+        give_back()
+
+    return run
 
 
 def _longs(names: list[str]) -> str:
@@ -166,32 +271,41 @@ def phrase_counts(docs: DataFrame, least: int, text_col: str, lang_col: str) ->
     """(lang, n); (id, lang, word, f) of frequent words; (w1, w2, a) of frequent pairs; (w1 ... w5, n) of windows (runs jobs)."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")), F.coalesce(F.col(text_col), F.lit("")))
-    read = rows.mapInArrow(_read, "lang string, words array<string>, counts array<long>, n long, width int, codes binary")
+    read = rows.mapInArrow(
+        _read, "lang string, words binary, counts binary, widths array<int>, n long, width int, codes binary")
     chunks = settle(read.withColumn("chunk", F.monotonically_increasing_id()), "word-chunks")
     langs = settle(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    spoken = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
-    common = spoken.groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")).filter(F.col("f") >= least)
-    words = settle(number_rows(settle(common, "frequent-words"), "lang", "f", "word", name="id"), "words")
-    own = chunks.select("chunk", "lang", F.posexplode("words").alias("at", "word"))
-    known = own.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
-        F.collect_list(F.struct("at", "id")).alias("known"))
+    size = langs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # A word moves once for each chunk that has it, and so does a pair: its sum and its chunks meet in the same place.
+    dealt = chunks.select("lang", "chunk", "words", "counts", "widths").mapInArrow(
+        _deal_words(1 + size // PLACE_WORDS), "lang string, place long, chunk long, words binary, counts binary, widths array<int>")
+    met = settle(dealt.groupBy("lang", "place").applyInPandas(
+        _merge_words(least), "chunk long, ranks binary, widths array<int>, words array<string>, f array<long>, lang string, place long"),
+        "word-places")
+    sizes = met.filter("chunk is null").select("lang", "place", F.size("words").alias("size"))
+    before = settle(running_total(sizes, "size", "lang", "place").select(
+        "lang", "place", (F.col("upto") - F.col("size")).alias("before")), "word-numbers")
+    words = settle(met.filter("chunk is null").join(before, ["lang", "place"]).select(
+        "lang", "before", F.posexplode(F.arrays_zip("words", "f")).alias("at", "x")).select(
+        (F.col("before") + F.col("at") + 1).alias("id"), "lang", F.col("x.words").alias("word"), F.col("x.f").alias("f")), "words")
+    known = met.filter("chunk is not null").join(before, ["lang", "place"]).groupBy("chunk").agg(
+        F.collect_list(F.struct("place", "before", "ranks", "widths")).alias("known"))
     joined = chunks.select("chunk", "width", "codes").join(known, "chunk").select("chunk", "width", "codes", "known")
     coded = settle(joined.mapInArrow(_recode, "chunk long, ids binary, width int, codes binary"), "coded-chunks")
-    # A pair moves once for each chunk that has it: its sum and its chunks meet in the same place.
-    heard = coded.mapInArrow(_pairs, _longs(["chunk", "key", "w1", "w2", "n"]))
-    total = F.sum("n").over(Window.partitionBy("w1", "w2"))
-    often = settle(heard.withColumn("a", total).filter(F.col("a") >= least).drop("n"), "frequent-chunk-pairs")
-    pairs = settle(often.groupBy("w1", "w2").agg(F.max("a").alias("a")), "frequent-pairs")
-    keys = often.groupBy("chunk").agg(F.collect_list("key").alias("keys"))
-    met = coded.join(keys, "chunk").select("chunk", "ids", "width", "codes", "keys")
-    windows = settle(met.mapInArrow(_windows, _longs([*_SLOTS, "n"])).groupBy(*_SLOTS).agg(F.sum("n").alias("n")), "windows")
+    places = 1 + 2 * size // PLACE_WORDS
+    met = settle(coded.mapInArrow(_deal_pairs(places), "place long, chunk long, pairs binary, widths array<int>").groupBy(
+        "place").applyInPandas(_merge_pairs(least), "chunk long, bits binary, w1 long, w2 long, a long, place long"), "pair-places")
+    pairs = settle(met.filter("chunk is null").select("w1", "w2", "a"), "frequent-pairs")
+    known = met.filter("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("place", "bits")).alias("known"))
+    met = coded.join(known, "chunk").select("chunk", "ids", "width", "codes", "known")
+    windows = settle(met.mapInArrow(_windows(places), _longs([*_SLOTS, "n"])).groupBy(*_SLOTS).agg(F.sum("n").alias("n")), "windows")
     return langs, words, pairs, windows
 
 
 def _frontier(words: DataFrame, pairs: DataFrame, first_pairs: int) -> DataFrame:
     """(w1, lang, f, band): first words, the rarest in band 0; a band's end has twice the pairs of the one before."""
     begun = pairs.groupBy(F.col("w1").alias("id")).agg(F.count(F.lit(1)).alias("pairs")).join(words, "id")
-    placed = settle(running_total(begun.select("id", "lang", "f", "pairs"), "pairs", "id"), "first-words")
+    placed = settle(running_total(begun.select("id", "lang", "f", "pairs"), "pairs", "lang", "f", "id"), "first-words")
     start = placed.groupBy("lang").agg(F.min(F.col("upto") - F.col("pairs")).alias("before"))
     band = F.ceil(F.log2((F.col("upto") - F.col("before")) / first_pairs))
     return settle(placed.join(start, "lang").select(

@@ -16,6 +16,7 @@ from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 from pyarrow import fs
 
 _U = np.uint64
@@ -39,6 +40,27 @@ def wide(width: int, data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def thinned(numbers: list[np.ndarray]) -> tuple[bytes, list[int]]:
+    """Columns of unsigned numbers of one length, compressed by place of the byte, and the bytes that a number of each takes."""
+    widths, planes = [], []
+    for n in numbers:
+        width, data = thin(n)
+        widths.append(width)
+        planes.append(np.frombuffer(data, "u1").reshape(-1, width).T.tobytes())
+    return len(numbers[0]).to_bytes(8, "little") + pa.compress(b"".join(planes), "zstd", asbytes=True), widths
+
+
+def widened(data: bytes, widths: list[int]) -> list[np.ndarray]:
+    n, at, out = int.from_bytes(data[:8], "little"), 0, []
+    planes = np.frombuffer(pa.decompress(data[8:], n * int(sum(widths)), "zstd"), "u1")
+    for w in map(int, widths):
+        column = np.zeros((n, 8), "u1")
+        column[:, :w] = planes[at:at + n * w].reshape(w, n).T
+        out.append(column.view("<u8").ravel())
+        at += n * w
+    return out
+
+
 def write_array(folder: str, name: str, array: np.ndarray) -> None:
     """Put an array into the shared folder under its final name, in one step."""
     system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), _plain(folder))

@@ -94,3 +94,16 @@ def test_products_pass_64_bits(spark):
 def test_query_equals_its_sql(spark):
     name, folder = "op12_collocations", "/root/testdata/sf0.01"
     assert not compare(spark, connect(folder), SimpleNamespace(run=queries.QUERIES[name], sql=queries.SQL[name]), folder)
+
+
+def test_words_and_pairs_move_packed(spark, monkeypatch):
+    """A row for each chunk and place, not for each word or pair of a chunk; any number of places counts the same."""
+    rows, kept, real = texts(7), {}, collocations.settle
+    monkeypatch.setattr(collocations, "PLACE_WORDS", 1_000)
+    monkeypatch.setattr(collocations, "settle", lambda df, purpose: kept.setdefault(purpose, []).append(real(df, purpose)) or kept[purpose][-1])
+    got = collocations.collocations(table(spark, rows), 5, 2000)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5, 2000)
+    (words,), (pairs,) = ([m.filter("chunk is not null") for m in kept[p]] for p in ("word-places", "pair-places"))
+    assert words.select("place").distinct().count() > 3 and pairs.select("place").distinct().count() > 6
+    for met in (words, pairs):
+        assert met.groupBy("chunk", "place").count().filter("count > 1").isEmpty()
