@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import give_back, map_texts, slices
-from millrace.llm.mapped import THIN, look_up, range_of, thin, wide, write_array, write_places, write_thin
+from millrace.llm.mapped import THIN, look_up, range_of, thinned, widened, write_array, write_places, write_thin
 from millrace.llm.words import END, mix, token_hashes
 from millrace.session import ship_package, work_folder
 from millrace.sources.tables import settle
@@ -124,40 +124,35 @@ def _distinct_runs(columns: list[np.ndarray], counts: np.ndarray | None,
     return out[::-1], summed
 
 
-def _thinned(numbers: list[np.ndarray]) -> tuple[bytes, list[int]]:
-    """Several columns of unsigned numbers of one length, and the bytes that a number of each takes."""
-    parts = [thin(n) for n in numbers]
-    return b"".join(data for _, data in parts), [width for width, _ in parts]
-
-
-def _widened(data: bytes, widths: list[int]) -> list[np.ndarray]:
-    n, at, out = len(data) // int(sum(widths)), 0, []
-    for w in widths:
-        out.append(wide(int(w), data[at:at + n * int(w)]))
-        at += n * int(w)
-    return out
-
-
 def _packed(cell: np.ndarray, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[tuple]:
-    """Runs per cell: (cell, its tokens once each, numbers of the tokens and counts in few bytes, widths)."""
+    """Sorted runs per cell: (cell, its tokens once each, numbers of the tokens and counts in few bytes, widths)."""
     order = np.argsort(cell, kind="stable")
     cell, counts = cell[order], counts[order]
     columns = [c[order] for c in columns]
     edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
     for a, b in zip(edges[:-1], edges[1:]):
         tokens, at = np.unique(np.concatenate([c[a:b] for c in columns]), return_inverse=True)
-        data, widths = _thinned([*at.reshape(len(columns), b - a), counts[a:b]])
-        yield int(cell[a]), tokens.tobytes(), data, widths
-
-
-def _unpacked(frame: pd.DataFrame, order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    parts = []
-    for tokens, data, widths in zip(frame["tokens"], frame["numbers"], frame["widths"]):
-        *at, counts = _widened(data, widths)
-        tokens = np.frombuffer(tokens, "<u8")
-        parts.append([*[tokens[a.astype(np.int64)] for a in at], counts])
-    *columns, counts = [np.concatenate(c) for c in zip(*parts)]
-    return columns, counts
+        first, *others = at.reshape(len(columns), b - a)
+        known, width = thinned([np.diff(tokens, prepend=_U(0))])
+        data, widths = thinned([np.diff(first, prepend=0), *others, counts[a:b]])
+        yield int(cell[a]), known, data, [*width, *widths]
+
+
+def _unpacked(frame: pd.DataFrame, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The tokens of all runs once each, the runs as numbers of these, and the counts."""
+    tokens = [np.cumsum(*widened(known, widths[:1]), dtype=np.uint64) for known, widths in zip(frame["tokens"], frame["widths"])]
+    ends = np.cumsum([len(t) for t in tokens])
+    known, number = np.unique(np.concatenate(tokens), return_inverse=True)
+    number, size = number.astype(np.uint32), sum(int.from_bytes(data[:8], "little") for data in frame["numbers"])
+    columns, counts, at = [np.empty(size, np.uint32) for _ in range(order)], np.empty(size, np.uint64), 0
+    for own, end, data, widths in zip(tokens, ends, frame["numbers"], frame["widths"]):
+        step, *others, n = widened(data, widths[1:])
+        own = number[end - len(own):end]
+        for out, c in zip(columns, (np.cumsum(step, dtype=np.uint64), *others)):
+            out[at:at + len(n)] = own[c.astype(np.int64)]
+        counts[at:at + len(n)] = n
+        at += len(n)
+    return known, columns, counts
 
 
 def _back(tokens: np.ndarray, sizes: np.ndarray, end, order: int) -> list[np.ndarray]:
@@ -213,17 +208,21 @@ def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         """Write one cell's runs of k tokens; return what they say about contexts, shorter runs and tokens, packed."""
         cell = int(frame["place"].iloc[0])
-        columns, counts = _distinct_runs(*_unpacked(frame, k))
-        hashes = run_hash(columns)
+        known, numbers, counts = _unpacked(frame, k)
+        numbers, counts = _distinct_runs(numbers, counts, len(known))
+        numbers = [c.astype(np.uint32) for c in numbers]
+        hashes = run_hash([known[c] for c in numbers])
         by = np.argsort(hashes)
         write_array(folder, f"runs{k}-{cell}", hashes[by])
         write_thin(folder, f"counts{k}-{cell}", counts[by])
-        contexts, at = np.unique(run_hash(columns[:-1]), return_inverse=True)
-        after = np.zeros(len(contexts), TOKEN)
+        del hashes, by
+        contexts, at = np.unique(run_hash([known[c] for c in numbers[:-1]]), return_inverse=True)
+        after = np.zeros(len(contexts), TOKEN if k == 2 else CONTEXT)
         after["total"] = np.bincount(at, counts.astype(np.float64), len(contexts))
         for n, these in (("n1", counts == 1), ("n2", counts == 2), ("n3", counts >= 3)):
             after[n] = np.bincount(at[these], minlength=len(contexts))
-        ends, at = np.unique(columns[-1], return_inverse=True)
+        ends, at = np.unique(numbers[-1], return_inverse=True)
+        ends = known[ends]
         ending = np.zeros(len(ends), TOKEN)
         if k == order:
             ending["count"] = np.bincount(at, counts.astype(np.float64), len(ends))
@@ -234,7 +233,9 @@ def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
             rows = _facts(TO_CONTEXTS, contexts, after, ranges)
             if k == order:
                 rows += _facts(TO_TOKENS, ends, ending, ranges)
-            shorter, before = _distinct_runs(columns[1:], None)
+            del at, after
+            shorter, before = _distinct_runs(numbers[1:], None, len(known))
+            shorter = [known[c] for c in shorter]
             rows += [(TO_RUNS, place, tokens, None, data, widths)
                      for place, tokens, data, widths in _packed(_cell_of(shorter, side), shorter, before)]
         out = pd.DataFrame(rows, columns=["kind", "place", "tokens", "ids", "numbers", "widths"])
@@ -255,8 +256,8 @@ def _facts(kind: int, keys: np.ndarray, facts: np.ndarray, ranges: int) -> list[
     names = TOKEN.names if kind == TO_TOKENS else CONTEXT.names
     rows = []
     for a, b in zip(edges[:-1], edges[1:]):
-        gaps, width = _thinned([np.diff(keys[a:b])])
-        data, widths = _thinned([facts[n][a:b] for n in names])
+        gaps, width = thinned([np.diff(keys[a:b])])
+        data, widths = thinned([facts[n][a:b] for n in names])
         rows.append((kind, int(place[a]), keys[a:a + 1].tobytes(), gaps, data, [*width, *widths]))
     return rows
 
@@ -274,9 +275,9 @@ def _sum_facts(keys: np.ndarray, facts: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _read_facts(frame: pd.DataFrame, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     keys, facts = [], []
     for first, gaps, data, widths in zip(frame["tokens"], frame["ids"], frame["numbers"], frame["widths"]):
-        keys.append(np.cumsum(np.concatenate((np.frombuffer(first, "<u8"), wide(int(widths[0]), gaps))), dtype=np.uint64))
+        keys.append(np.cumsum(np.concatenate((np.frombuffer(first, "<u8"), *widened(gaps, widths[:1]))), dtype=np.uint64))
         part = np.zeros(len(keys[-1]), kind)
-        for n, column in zip(kind.names, _widened(data, widths[1:])):
+        for n, column in zip(kind.names, widened(data, widths[1:])):
             part[n] = column
         facts.append(part)
     return _sum_facts(np.concatenate(keys), np.concatenate(facts))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from millrace.llm import lm, queries, words
 
@@ -131,3 +132,20 @@ def test_runs_are_counted_without_a_column_beside_them():
     tracemalloc.stop()
     assert int(summed.sum()) == 1_000_000 and len(runs) == 3
     assert peak < 60 * len(numbers)  # bytes
+
+
+def test_a_cell_is_merged_in_little_memory(tmp_path):
+    """Bytes for each run that comes in: moved, held at most, and passed on."""
+    rng, rows = np.random.default_rng(3), []
+    vocabulary = rng.integers(0, 2**63, 60_000).astype("<u8")
+    for _ in range(4):
+        tokens = vocabulary[(60_000 * rng.random((3, 150_000)) ** 3).astype(int)]
+        columns, counts = lm._distinct_runs(list(tokens), None)
+        rows += lm._packed(np.zeros(len(counts), np.int64), columns, counts)
+    frame = pd.DataFrame(rows, columns=["place", "tokens", "numbers", "widths"])
+    tracemalloc.start()
+    out = lm._merge_cell(str(tmp_path), 1, 2, 3, 3)(frame)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sizes = [sum(len(x) for c in ("tokens", "ids", "numbers") if c in f for x in f[c] if x is not None) for f in (frame, out)]
+    assert sizes[0] < 8 * 600_000 and peak < 240 * 600_000 and sizes[1] < 12 * 600_000
