@@ -9,8 +9,8 @@ is a row of a table; readers get one file at a time, and a missing file ends the
 
 Byte-level vocabularies without a normalizer never join what stands before a space with what
 follows, unless white space stands before the space; nor a letter or digit with a mark after it, nor a line
-break with what is no white space. Texts are cut there; such segments recur, and a
-worker keeps those it has encoded, in two generations of bounded size. New segments go through the library as
+break with what is no white space. Texts are cut there, all texts of a slice at once by their bytes; such segments recur, so
+a slice's different ones are told apart in Arrow, and a worker keeps those it has encoded, in two generations of bounded size. New segments go through the library as
 one text, whose ids fall to the segments by their bytes. Other vocabularies encode whole texts.
 
 NULL and empty texts are the end id alone. Equal rows give equal results; an empty table has no shard. Other
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.arrow import SLICE_BYTES, give_back, slices
+from millrace.llm.arrow import give_back, slices
 from millrace.llm.mapped import map_array, write_array
 from millrace.llm.wavelet import Shard, write_shard
 from millrace.operators.positions import running_total
@@ -45,10 +44,40 @@ from millrace.sources.tables import settle
 SHARD_TOKENS = 1 << 22
 CACHED_SEGMENTS = 500_000  # of each generation
 CACHED_CHARS = 64  # longer segments are encoded each time
-STRETCH = 50_000  # segments of a text looked up at once
+STRETCH = 50_000  # different segments looked up at once
+ENCODED_BYTES = 8 << 20  # of texts whose segments are told apart at once
 _SHARD = "place long, name string, n_docs long, n_tokens long"
 
 
+_ALNUM, _MARK, _SOLID, _SPACE = 1, 2, 4, 8  # of bytes; what is solid is no white space and no part of a longer character
+_KIND = np.array([_ALNUM * (c < 128 and chr(c).isalnum()) | _MARK * (chr(c) in ".,;:!?") | _SOLID * (32 < c < 128)
+                  | _SPACE * (c == 32) for c in range(256)], np.uint8)
+_CUT = np.array([[bool(a & _SOLID and b & _SPACE or a & _ALNUM and b & _MARK) for b in range(16)] for a in range(16)]).ravel()
+
+
+def _segment_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where segments start in the bytes of texts that follow each other, `ends` apart (0 first)."""
+    kind = _KIND[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = _CUT[kind[:-1] << 4 | kind[1:]]
+    at = np.flatnonzero((data[:-1] >= 128) & (data[1:] == 32))  # a space behind a longer character
+    back = [data[np.maximum(at - k, 0)] for k in range(3)]  # its last bytes
+    white = (back[1] == 0xC2) & ((back[0] == 0x85) | (back[0] == 0xA0))
+    white |= (back[2] == 0xE2) & ((back[1] == 0x80) | (back[1] == 0x81))  # more than the white ones: not cut, which is right as well
+    white |= ((back[2] == 0xE1) & (back[1] == 0x9A) | (back[2] == 0xE3) & (back[1] == 0x80)) & (back[0] == 0x80)
+    cut[at[~white] + 1] = True
+    at = np.flatnonzero(data[1:-1] == 10) + 1  # a line break between other characters
+    at = at[(kind[at - 1] & _SOLID > 0) & (kind[at + 1] & _SOLID > 0)]
+    cut[at + 1] = True
+    cut[ends[:-1][np.diff(ends) > 0]] = True
+    return np.flatnonzero(cut)
+
+
+def _is_cut(token: str) -> bool:
+    data = np.frombuffer(token.encode(), np.uint8)
+    return " " in token or len(_segment_starts(data, np.array([0, len(data)]))) > 1
+
+
 class SegmentEncoder:
     """Texts to packed ids (little-endian, 32 bits each)."""
 
@@ -60,17 +89,13 @@ class SegmentEncoder:
         own = given.get("added_tokens") or []
         self.cuts = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
                      and not before.get("add_prefix_space") and given.get("normalizer") is None
-                     and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in own))
+                     and not any(_is_cut(t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in own))
         if self.cuts:  # a character of a byte-level token is a byte
             size = self.library.get_vocab_size(with_added_tokens=True)
             self.bytes = np.array([len(self.library.id_to_token(k) or "") for k in range(size)], np.int64)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    _open = re.compile(r"\s ").search
-    _segments = re.compile(r" ?[^\W_]+(?=[ .,;:!?])|[.,;:!?](?= )|[.,;:!?]\n(?=\S)| ?[^ ]+| ").findall
-    _careful = re.compile(r"(?<=\S)(?= )").split
-
     def _encoded(self, segments: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.library.encode_batch_fast(segments, add_special_tokens=False)]
@@ -92,51 +117,42 @@ class SegmentEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """What is new in any of the texts goes through the library in one call for each stretch of segments."""
+        """Segments are cut and told apart in Arrow; Python sees the different ones of `texts` once each."""
         if not self.cuts:
             return self._encoded(texts)
-        out, some, size = [], [], 0
-        for text in texts:
-            segments = self._careful(text) if self._open(text) else self._segments(text)
-            if len(segments) > STRETCH:
-                out += self._stretches(some)
-                out.append(b"".join(self._stretches([segments[k:k + STRETCH] for k in range(0, len(segments), STRETCH)])))
-                some, size = [], 0
-                continue
-            some.append(segments)
-            size += len(segments)
-            if size > STRETCH:
-                out += self._stretches(some)
-                some, size = [], 0
-        return out + self._stretches(some)
-
-    def _stretches(self, cut: list[list[str]]) -> list[bytes]:
-        """The ids of each list of segments; only the places of new ones are looked up a second time."""
+        given = pa.array(texts, pa.large_string())
+        _, offsets, data = given.buffers()
+        ends = np.frombuffer(offsets, "<i8")[:len(texts) + 1]
+        if not ends[-1]:
+            return [b""] * len(texts)
+        starts = _segment_starts(np.frombuffer(data, np.uint8)[:ends[-1]], ends)
+        bounds = pa.py_buffer(np.append(starts, ends[-1]))
+        segments = pa.Array.from_buffers(pa.large_string(), len(starts), [None, bounds, data]).dictionary_encode()
+        different = segments.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = [i for k in range(0, len(different), STRETCH) for i in self._looked_up(different[k:k + STRETCH])]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))[segments.indices.to_numpy()]
+        packed = pa.array(ids, pa.large_binary()).take(segments.indices).buffers()[2]
+        cuts = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(starts, ends)].tolist()
+        packed = memoryview(packed or b"")
+        return [bytes(packed[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+    def _looked_up(self, segments: list[str]) -> list[bytes]:
+        """The ids of each of some different segments; what is new goes through the library in one call."""
         young, old = self.young, self.old
-        known = [list(map(young.get, segments)) for segments in cut]
-        gaps, missing = [], set()
-        for segments, found in zip(cut, known):
-            places, at = [], -1
-            try:
-                while True:
-                    at = found.index(None, at + 1)
-                    places.append(at)
-            except ValueError:
-                pass
-            gaps.append(places)
-            missing.update(segments[k] for k in places)
+        found = list(map(young.get, segments))
+        gaps = [k for k, ids in enumerate(found) if ids is None]
+        missing = [segments[k] for k in gaps]
         if missing:
             young.update((s, old[s]) for s in missing if s in old)
             young.update(self._new([s for s in missing if s not in old]))
-            for segments, found, places in zip(cut, known, gaps):
-                for k in places:
-                    found[k] = young[segments[k]]
+            for k, s in zip(gaps, missing):
+                found[k] = young[s]
             for s in missing:
                 if len(s) > CACHED_CHARS:
                     del young[s]
             if len(young) > CACHED_SEGMENTS:
                 self.young, self.old = {}, young
-        return [b"".join(found) for found in known]
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -160,7 +176,7 @@ def _write(folder: str, model: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=["place", "name", "n_docs", "n_tokens"])
 
         for batch in batches:
-            for some, texts in slices(batch, batch.column(1), SLICE_BYTES):
+            for some, texts in slices(batch, batch.column(1), ENCODED_BYTES):
                 for doc, coded in zip(some.column(0).to_pylist(), code.encode(texts.to_pylist())):
                     ids.append(doc)
                     packed.append(coded + end)

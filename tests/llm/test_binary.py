@@ -67,6 +67,25 @@ def test_special_tokens_and_other_vocabularies():
     assert np.frombuffer(other.encode(["Some WORDS  here"])[0], "<u4").tolist() == whole
 
 
+def test_segments_of_many_texts_are_looked_up_once(monkeypatch):
+    """Cost follows the different segments of a slice, not all its segments, and texts do not run into each other."""
+    code, seen = binary.SegmentEncoder(open(MODEL).read()), []
+    looked_up = code._looked_up
+    monkeypatch.setattr(code, "_looked_up", lambda segments: seen.extend(segments) or looked_up(segments))
+    texts = ["one two, three.\nFour", "", "two, three", ".\n", "\nfour three", "\u2003 \u00e9 ,a"] * 500
+    for coded, t in zip(code.encode(texts), texts, strict=True):
+        assert np.frombuffer(coded, "<u4").tolist() == ids_of(t)[:-1]
+    assert len(seen) == len(set(seen)) < 20 and {" two", ",", " three"} <= set(seen)
+
+
+def test_added_tokens_are_not_cut():
+    given = Tokenizer.from_file(MODEL)
+    given.add_tokens(["a.b"])
+    code = binary.SegmentEncoder(given.to_str())
+    for t in ["a.b", "x a.b a. b", "aa.bb"]:
+        assert np.frombuffer(code.encode([t])[0], "<u4").tolist() == given.encode(t, add_special_tokens=False).ids
+
+
 def test_generations_stay_bounded(monkeypatch):
     monkeypatch.setattr(binary, "CACHED_SEGMENTS", 50)
     code = binary.SegmentEncoder(open(MODEL).read())
