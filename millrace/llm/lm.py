@@ -1,6 +1,7 @@
 """An interpolated modified Kneser-Ney model of a given order, counted in Spark, read through memory maps.
 
-Counting. Each task turns its texts into token hashes and emits its distinct runs of `order` tokens
+Counting. Tokens are hashed, counted by ranges of the hash and numbered by falling frequency; from there on a run is the numbers
+of its tokens, so no task sends a dictionary. Each task emits its distinct runs of `order` tokens
 with counts, packed by cell of a grid: row by the context, column by the
 last token. A context of any frequency is spread over a line of cells, and the grid grows
 with the text, so a cell holds a bounded number of runs. Each cell merges its runs and writes
@@ -33,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import give_back, map_texts, slices
-from millrace.llm.mapped import THIN, look_up, range_of, thinned, widened, write_array, write_places, write_thin
+from millrace.llm.mapped import THIN, look_up, mapped_array, range_of, thinned, widened, write_array, write_places, write_thin
 from millrace.llm.words import END, mix, token_hashes
-from millrace.session import ship_package, work_folder
+from millrace.session import drop_folder, ship_package, spent_shuffles_deleted, work_folder
 from millrace.sources.tables import settle
 
 TASK_TOKENS = 2_000_000  # tokens whose runs a task combines before it passes them on
@@ -45,7 +46,10 @@ _U = np.uint64
 
 
 TOKEN = np.dtype([("count", "<u8"), ("before", "<u8"), ("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
+WORD = np.dtype([("count", "<u8")])
 CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
+NUMBER = np.dtype([("level", "u1"), ("at", "<u4")])  # of a token: its level (1 or more), its place there within the file
+LEVELS = 66
 TO_TOKENS, TO_CONTEXTS, TO_RUNS = range(3)  # where a row of facts goes
 _FACTS = "kind int, place long, tokens binary, ids binary, numbers binary, widths array<int>, " \
          "cell long, c1 long, c2 long, c3 long, c4 long, runs long"
@@ -124,35 +128,51 @@ def _distinct_runs(columns: list[np.ndarray], counts: np.ndarray | None,
     return out[::-1], summed
 
 
+def _ids(numbers: np.ndarray) -> np.ndarray:
+    """What stands for tokens in hashes of runs; different for each number."""
+    return mix(numbers.astype(_U) + _U(1))
+
+
+def _numbers(folder: str, ranges: int, tokens: np.ndarray) -> np.ndarray:
+    """The numbers, from 1, of sorted token hashes; 0 of those that were not in training."""
+    place = range_of(tokens, ranges)
+    found = look_up(folder, tokens, place, ("words", "<u8"), ("numbers", NUMBER))
+    starts = mapped_array(folder, "starts", "<u8").reshape(ranges, LEVELS)
+    return np.where(found["level"] > 0, starts[place, found["level"]] + found["at"], _U(0)).astype(_U)
+
+
 def _packed(cell: np.ndarray, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[tuple]:
-    """Sorted runs per cell: (cell, its tokens once each, numbers of the tokens and counts in few bytes, widths)."""
-    order = np.argsort(cell, kind="stable")
+    """Sorted runs per cell: (cell, its tokens once each, numbers and counts in few bytes, widths); tokens of 32 bits stand for themselves."""
+    short = max(int(c.max(initial=0)) for c in columns) < 1 << 32
+    order = np.argsort(cell.astype(np.uint16) if cell.max(initial=0) < 1 << 16 else cell, kind="stable")
     cell, counts = cell[order], counts[order]
     columns = [c[order] for c in columns]
     edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
     for a, b in zip(edges[:-1], edges[1:]):
-        tokens, at = np.unique(np.concatenate([c[a:b] for c in columns]), return_inverse=True)
-        first, *others = at.reshape(len(columns), b - a)
-        known, width = thinned([np.diff(tokens, prepend=_U(0))])
-        data, widths = thinned([np.diff(first, prepend=0), *others, counts[a:b]])
+        here, known, width = [c[a:b].astype(_U, copy=False) for c in columns], b"", []
+        if not short:
+            tokens, at = np.unique(np.concatenate(here), return_inverse=True)
+            here = at.reshape(len(columns), b - a).astype(_U)
+            known, width = thinned([np.diff(tokens, prepend=_U(0))])
+        data, widths = thinned([np.diff(here[0], prepend=_U(0)), *here[1:], counts[a:b]])
         yield int(cell[a]), known, data, [*width, *widths]
 
 
 def _unpacked(frame: pd.DataFrame, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """The tokens of all runs once each, the runs as numbers of these, and the counts."""
-    tokens = [np.cumsum(*widened(known, widths[:1]), dtype=np.uint64) for known, widths in zip(frame["tokens"], frame["widths"])]
-    ends = np.cumsum([len(t) for t in tokens])
-    known, number = np.unique(np.concatenate(tokens), return_inverse=True)
-    number, size = number.astype(np.uint32), sum(int.from_bytes(data[:8], "little") for data in frame["numbers"])
-    columns, counts, at = [np.empty(size, np.uint32) for _ in range(order)], np.empty(size, np.uint64), 0
-    for own, end, data, widths in zip(tokens, ends, frame["numbers"], frame["widths"]):
-        step, *others, n = widened(data, widths[1:])
-        own = number[end - len(own):end]
-        for out, c in zip(columns, (np.cumsum(step, dtype=np.uint64), *others)):
-            out[at:at + len(n)] = own[c.astype(np.int64)]
+    """The numbers of all tokens once each, the runs as places of these, and the counts."""
+    size, at = sum(int.from_bytes(data[:8], "little") for data in frame["numbers"]), 0
+    columns, counts = np.empty((order, size), _U), np.empty(size, _U)
+    for known, data, widths in zip(frame["tokens"], frame["numbers"], frame["widths"]):
+        tokens = np.cumsum(*widened(known, widths[:1]), dtype=_U) if len(known) else None
+        step, *others, n = widened(data, widths if tokens is None else widths[1:])
+        for out, c in zip(columns, (np.cumsum(step, dtype=_U), *others)):
+            out[at:at + len(n)] = c if tokens is None else tokens[c.astype(np.int64)]
         counts[at:at + len(n)] = n
         at += len(n)
-    return known, columns, counts
+    if columns.max(initial=0) < 1 << 32:
+        columns = columns.astype(np.uint32)
+    known, columns = np.unique(columns, return_inverse=True)
+    return known.astype(_U), list(columns.reshape(order, size).astype(np.uint32)), counts
 
 
 def _back(tokens: np.ndarray, sizes: np.ndarray, end, order: int) -> list[np.ndarray]:
@@ -167,26 +187,8 @@ def _back(tokens: np.ndarray, sizes: np.ndarray, end, order: int) -> list[np.nda
     return [*columns, tokens]
 
 
-def _count_runs(texts: DataFrame, side: int, order: int) -> DataFrame:
-    names = ["place", "tokens", "numbers", "widths"]
-    types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
-
-    def flush(held: list[tuple]) -> pa.RecordBatch:
-        """Runs of all texts held, which are let go; their tokens are numbered once, and numbers are shorter than hashes."""
-        tokens, sizes = (np.concatenate(x) for x in zip(*held))
-        held.clear()
-        known, tokens = np.unique(tokens, return_inverse=True)
-        tokens = tokens.astype(np.uint32)
-        back = _back(tokens, sizes, np.searchsorted(known, END), order)
-        del tokens
-        columns, counts = _distinct_runs(back, None, len(known))
-        del back
-        columns = [known[c] for c in columns]
-        rows = list(_packed(_cell_of(columns, side), columns, counts))
-        del columns, counts
-        give_back()
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-
+def _batches_of(texts: DataFrame, flush, schema: str) -> DataFrame:
+    """What `flush` makes of the token hashes and sizes of some `TASK_TOKENS` at a time, which it lets go."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -201,7 +203,81 @@ def _count_runs(texts: DataFrame, side: int, order: int) -> DataFrame:
         del held
         give_back()
 
-    return texts.mapInArrow(run, "place long, tokens binary, numbers binary, widths array<int>")
+    return texts.mapInArrow(run, schema)
+
+
+def _count_tokens(texts: DataFrame, ranges: int) -> DataFrame:
+    names = ["place", "tokens", "ids", "numbers", "widths"]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
+
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        tokens, counts = np.unique(np.concatenate([t for t, _ in held]), return_counts=True)
+        held.clear()
+        facts = np.zeros(len(tokens), WORD)
+        facts["count"] = counts
+        rows = [row[1:] for row in _facts(TO_TOKENS, tokens, facts, ranges)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    return _batches_of(texts, flush, "place long, tokens binary, ids binary, numbers binary, widths array<int>")
+
+
+def _merge_words(folder: str):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        """Write one range of the tokens with their places in their levels; a level is a power of two of counts, the highest first."""
+        place = int(frame["place"].iloc[0])
+        tokens, facts = _read_facts(frame, WORD)
+        numbers = np.zeros(len(tokens), NUMBER)
+        numbers["level"] = 64 - np.floor(np.log2(facts["count"])).astype(np.int64)
+        order = np.argsort(numbers["level"], kind="stable")
+        sizes = np.bincount(numbers["level"], minlength=LEVELS)
+        numbers["at"][order] = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        write_array(folder, f"words-{place}", tokens)
+        write_array(folder, f"numbers-{place}", numbers)
+        give_back()
+        return pd.DataFrame({"place": [place], "sizes": [sizes.tolist()]})
+
+    return run
+
+
+def _number_tokens(folder: str, texts: DataFrame, ranges: int) -> None:
+    """Tokens are numbered by falling frequency, so their numbers are short where they stand often; 66 sums per file pass the driver."""
+    words = settle(_count_tokens(texts, ranges).groupBy("place").applyInPandas(
+        _merge_words(folder), "place long, sizes array<long>"), "word-ranges")
+    sizes = np.zeros((ranges, LEVELS), np.int64)
+    for place, of_levels in words.collect():
+        sizes[place] = of_levels
+    ends = np.cumsum(sizes.T).reshape(LEVELS, ranges).T
+    write_array(folder, "starts", (ends - sizes + 1).astype("<u8"))
+    _note(folder, "words", words.select("place"))
+
+
+def _count_runs(texts: DataFrame, folder: str, side: int, ranges: int, order: int) -> DataFrame:
+    names = ["place", "tokens", "numbers", "widths"]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
+
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        """Runs of all texts held, sorted as places among their tokens and passed on as the tokens' numbers."""
+        tokens, sizes = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        known, tokens = np.unique(tokens, return_inverse=True)
+        numbers = _numbers(folder, ranges, known)
+        rising = np.argsort(numbers)
+        place = np.empty(len(known), np.uint32)
+        place[rising] = np.arange(len(known))
+        tokens, end, numbers = place[tokens], place[np.searchsorted(known, END)], numbers[rising]
+        back = _back(tokens, sizes, end, order)
+        del tokens, known
+        columns, counts = _distinct_runs(back, None, len(numbers))
+        del back
+        ids = _ids(numbers)
+        cell = _cell_of([ids[c] for c in columns], side)
+        columns = [numbers[c] for c in columns]
+        rows = list(_packed(cell, columns, counts))
+        del columns, counts
+        give_back()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    return _batches_of(texts, flush, "place long, tokens binary, numbers binary, widths array<int>")
 
 
 def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
@@ -211,18 +287,19 @@ def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
         known, numbers, counts = _unpacked(frame, k)
         numbers, counts = _distinct_runs(numbers, counts, len(known))
         numbers = [c.astype(np.uint32) for c in numbers]
-        hashes = run_hash([known[c] for c in numbers])
+        ids = _ids(known)
+        hashes = run_hash([ids[c] for c in numbers])
         by = np.argsort(hashes)
         write_array(folder, f"runs{k}-{cell}", hashes[by])
         write_thin(folder, f"counts{k}-{cell}", counts[by])
         del hashes, by
-        contexts, at = np.unique(run_hash([known[c] for c in numbers[:-1]]), return_inverse=True)
+        contexts, at = np.unique(run_hash([ids[c] for c in numbers[:-1]]), return_inverse=True)
         after = np.zeros(len(contexts), TOKEN if k == 2 else CONTEXT)
         after["total"] = np.bincount(at, counts.astype(np.float64), len(contexts))
         for n, these in (("n1", counts == 1), ("n2", counts == 2), ("n3", counts >= 3)):
             after[n] = np.bincount(at[these], minlength=len(contexts))
         ends, at = np.unique(numbers[-1], return_inverse=True)
-        ends = known[ends]
+        ends = ids[ends]
         ending = np.zeros(len(ends), TOKEN)
         if k == order:
             ending["count"] = np.bincount(at, counts.astype(np.float64), len(ends))
@@ -232,12 +309,12 @@ def _merge_cell(folder: str, side: int, ranges: int, k: int, order: int):
         else:
             rows = _facts(TO_CONTEXTS, contexts, after, ranges)
             if k == order:
-                rows += _facts(TO_TOKENS, ends, ending, ranges)
+                rows += _facts(TO_TOKENS, *_sum_facts(ends, ending), ranges)
             del at, after
             shorter, before = _distinct_runs(numbers[1:], None, len(known))
-            shorter = [known[c] for c in shorter]
+            to = _cell_of([ids[c] for c in shorter], side)
             rows += [(TO_RUNS, place, tokens, None, data, widths)
-                     for place, tokens, data, widths in _packed(_cell_of(shorter, side), shorter, before)]
+                     for place, tokens, data, widths in _packed(to, [known[c] for c in shorter], before)]
         out = pd.DataFrame(rows, columns=["kind", "place", "tokens", "ids", "numbers", "widths"])
         out["cell"] = pd.array([cell] + [None] * (len(rows) - 1), "Int64")
         for n in (1, 2, 3, 4):
@@ -253,11 +330,10 @@ def _facts(kind: int, keys: np.ndarray, facts: np.ndarray, ranges: int) -> list[
     """Rows per range of sorted keys: the first key, the gaps between keys, the facts."""
     place = range_of(keys, ranges)
     edges = np.flatnonzero(np.diff(place, prepend=-1, append=ranges))
-    names = TOKEN.names if kind == TO_TOKENS else CONTEXT.names
     rows = []
     for a, b in zip(edges[:-1], edges[1:]):
         gaps, width = thinned([np.diff(keys[a:b])])
-        data, widths = thinned([facts[n][a:b] for n in names])
+        data, widths = thinned([facts[n][a:b] for n in facts.dtype.names])
         rows.append((kind, int(place[a]), keys[a:a + 1].tobytes(), gaps, data, [*width, *widths]))
     return rows
 
@@ -283,13 +359,12 @@ def _read_facts(frame: pd.DataFrame, kind: np.dtype) -> tuple[np.ndarray, np.nda
     return _sum_facts(np.concatenate(keys), np.concatenate(facts))
 
 
-def _merge_contexts(folder: str, k: int):
-    every_end = run_hash([np.array([END])] * (k - 1))[0]
-
+def _merge_contexts(folder: str, ranges: int, k: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         """Write one range of the contexts of k - 1 tokens that were seen more than once, or that only ends make."""
         place = int(frame["place"].iloc[0])
         contexts, facts = _read_facts(frame, CONTEXT)
+        every_end = run_hash([_ids(_numbers(folder, ranges, np.array([END])))] * (k - 1))[0]
         stored = (facts["total"] > 1) | (contexts == every_end)
         write_array(folder, f"contexts{k}-{place}", contexts[stored])
         write_thin(folder, f"after{k}-{place}", facts[stored].view("<u8"))
@@ -305,7 +380,7 @@ def _merge_tokens(folder: str):
         place = int(frame["place"].iloc[0])
         tokens, facts = _read_facts(frame, TOKEN)
         write_array(folder, f"tokens-{place}", tokens)
-        write_array(folder, f"facts-{place}", facts)
+        write_thin(folder, f"facts-{place}", facts.view("<u8"))
         before = facts["before"]
         return pd.DataFrame([{"place": place, "n": int(facts["count"].sum()), "v": len(tokens),
                               **{f"b{k}": int((before == k).sum()) for k in (1, 2, 3, 4)},
@@ -323,6 +398,13 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
 
 
+def _settle_facts(facts: DataFrame, k: int) -> tuple[DataFrame, str]:
+    """Facts by kind, so that each kind can be deleted when it is merged; also the folder."""
+    path = work_folder(facts.sparkSession, f"run-facts-{k}")
+    facts.write.partitionBy("kind").parquet(path)
+    return facts.sparkSession.read.schema(facts.schema).parquet(path), path
+
+
 def _note(folder: str, name: str, places: DataFrame) -> None:
     """One number per file, of some 16 MB of text each, passes the driver."""
     write_places(folder, name, [row[0] for row in places.collect()])
@@ -339,23 +421,29 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> KneserNey
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text") + 1), F.lit(0))).first()[0]
     side = max(2, int(np.ceil(np.sqrt(size * (order - 1) / CELL_BYTES))))
     ranges = max(2, side * side // 4)
-    packed, token_facts, discounts = _count_runs(rows, side, order), [], []
-    for k in range(order, 1, -1):
-        facts = settle(packed.groupBy("place").applyInPandas(_merge_cell(folder, side, ranges, k, order), _FACTS),
-                       f"run-facts-{k}")
-        of_runs = facts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c1", "c2", "c3", "c4", "runs")]).first()
-        discounts.insert(0, _discounts(of_runs.c1, of_runs.c2, of_runs.c3, of_runs.c4))
-        _note(folder, f"runs{k}", facts.filter("cell is not null").select("cell"))
-        if k > 2:
-            contexts = facts.filter(F.col("kind") == TO_CONTEXTS).select("place", "tokens", "ids", "numbers", "widths")
-            _note(folder, f"contexts{k}", settle(
-                contexts.groupBy("place").applyInPandas(_merge_contexts(folder, k), "place long"), f"context-ranges-{k}"))
-        token_facts.append(facts.filter(F.col("kind") == TO_TOKENS).select("place", "tokens", "ids", "numbers", "widths"))
-        packed = facts.filter(F.col("kind") == TO_RUNS).select("place", "tokens", "numbers", "widths")
-    every = token_facts[0] if order == 2 else token_facts[0].unionByName(token_facts[-1])
-    merged = settle(every.groupBy("place").applyInPandas(
-        _merge_tokens(folder), "place long, n long, v long, b1 long, b2 long, b3 long, b4 long, more long"),
-        "token-ranges")
+    with spent_shuffles_deleted(spark):
+        _number_tokens(folder, rows, ranges)
+        packed, token_facts, discounts, spent = _count_runs(rows, folder, side, ranges, order), [], [], None
+        for k in range(order, 1, -1):
+            facts, kept = _settle_facts(packed.groupBy("place").applyInPandas(_merge_cell(folder, side, ranges, k, order), _FACTS), k)
+            if spent:  # the runs that this order was merged from
+                drop_folder(spark, spent)
+            spent = f"{kept}/kind={TO_RUNS}"
+            of_runs = facts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c1", "c2", "c3", "c4", "runs")]).first()
+            discounts.insert(0, _discounts(of_runs.c1, of_runs.c2, of_runs.c3, of_runs.c4))
+            _note(folder, f"runs{k}", facts.filter("cell is not null").select("cell"))
+            if k > 2:
+                contexts = facts.filter(F.col("kind") == TO_CONTEXTS).select("place", "tokens", "ids", "numbers", "widths")
+                _note(folder, f"contexts{k}", settle(
+                    contexts.groupBy("place").applyInPandas(_merge_contexts(folder, ranges, k), "place long"), f"context-ranges-{k}"))
+                drop_folder(spark, f"{kept}/kind={TO_CONTEXTS}")
+            token_facts.append(spark.read.schema(facts.schema).parquet(kept).filter(F.col("kind") == TO_TOKENS)
+                               .select("place", "tokens", "ids", "numbers", "widths"))
+            packed = spark.read.schema(facts.schema).parquet(kept).filter(F.col("kind") == TO_RUNS).select("place", "tokens", "numbers", "widths")
+        every = token_facts[0] if order == 2 else token_facts[0].unionByName(token_facts[-1])
+        merged = settle(every.groupBy("place").applyInPandas(
+            _merge_tokens(folder), "place long, n long, v long, b1 long, b2 long, b3 long, b4 long, more long"),
+            "token-ranges")
     _note(folder, "tokens", merged.select("place"))
     t = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in merged.columns if c != "place"]).first()
     token_discounts = _discounts(t.b1, t.b2, t.b3, t.b4)
@@ -377,22 +465,26 @@ def _counts_of(model: KneserNey, columns: list[np.ndarray]) -> np.ndarray:
     return found
 
 
-def _after(model: KneserNey, columns: list[np.ndarray]) -> np.ndarray:
-    """What is known about contexts of two tokens or more."""
+def _after(model: KneserNey, columns: list[np.ndarray], stored: np.ndarray) -> np.ndarray:
+    """What is known about contexts of two tokens or more; `stored`: which are runs of the lower order."""
     k, hashes = len(columns) + 1, run_hash(columns)
-    hashes, one, at = np.unique(hashes, return_index=True, return_inverse=True)
+    hashes, at = np.unique(hashes, return_inverse=True)
     facts = look_up(model.folder, hashes, range_of(hashes, model.ranges), (f"contexts{k}", "<u8"),
-                    (f"after{k}", THIN, len(CONTEXT.names))).view(CONTEXT)[:, 0]
-    once = (facts["total"] == 0) & (_counts_of(model, [c[one] for c in columns]) > 0)
+                    (f"after{k}", THIN, len(CONTEXT.names))).view(CONTEXT)[:, 0][at]
+    once = (facts["total"] == 0) & stored
     facts["total"][once] = facts["n1"][once] = 1
-    return facts[at]
+    return facts
 
 
 def score_texts(model: KneserNey, texts: list[str]) -> list[list]:
     """Per text: tokens, known tokens, base score and score (log10)."""
     tokens, sizes = token_hashes(texts)
     known, at = np.unique(tokens, return_inverse=True)
-    facts = look_up(model.folder, known, range_of(known, model.ranges), ("tokens", "<u8"), ("facts", TOKEN))
+    ids = _ids(_numbers(model.folder, model.ranges, known))
+    rising = np.argsort(ids)
+    facts = np.zeros(len(known), TOKEN)
+    facts[rising] = look_up(model.folder, ids[rising], range_of(ids[rising], model.ranges), ("tokens", "<u8"),
+                            ("facts", THIN, len(TOKEN.names))).view(TOKEN)[:, 0]
     count = facts["count"].astype(np.float64)
     base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.vocabulary + 1)))
     probability = np.full(len(known), model.left_over / (model.vocabulary + 1))
@@ -403,8 +495,9 @@ def score_texts(model: KneserNey, texts: list[str]) -> list[list]:
     for k, discounts in enumerate(model.run_discounts, 2):
         _, one, longer = np.unique(run * len(known) + back[-k], return_index=True, return_inverse=True)
         places = [c[one] for c in back[-k:]]
-        columns = [known[c] for c in places]
-        after = facts[places[0]] if k == 2 else _after(model, columns[:-1])
+        columns = [ids[c] for c in places]
+        # the context is the run that ended a token before; a text's first is ends alone, which is always known
+        after = facts[places[0]] if k == 2 else _after(model, columns[:-1], found[run[one - 1]] > 0)
         found = _counts_of(model, columns)
         seen = after["total"] > 0
         total = np.where(seen, after["total"], 1.0)

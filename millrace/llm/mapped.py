@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyarrow import fs
 
 _U = np.uint64
-THIN = "thin"  # unsigned numbers, a row of them per key, in as many bytes as the file's largest needs
+THIN = "thin"  # unsigned numbers, a row of them per key: a byte each, 255 for those of 255 or more, then these by place
 
 
 def range_of(key: np.ndarray, ranges: int) -> np.ndarray:
@@ -90,7 +90,10 @@ def map_array(folder: str, name: str, kind: np.dtype) -> np.ndarray:
 
 def write_thin(folder: str, name: str, rows: np.ndarray) -> None:
     """Unsigned numbers, one or a row of them per key."""
-    write_array(folder, name, np.frombuffer(thin(rows.reshape(-1))[1], np.uint8))
+    flat = rows.reshape(-1)
+    large = np.flatnonzero(flat >= 255)
+    parts = [np.minimum(flat, 255).astype(np.uint8), large.astype("<u8").view(np.uint8), flat[large].astype("<u8").view(np.uint8)]
+    write_array(folder, name, np.concatenate(parts))
 
 
 def write_places(folder: str, name: str, places: list[int]) -> None:
@@ -122,6 +125,22 @@ def _maps(folder: str) -> _Maps:
     return _Maps(folder)
 
 
+def mapped_array(folder: str, name: str, kind) -> np.ndarray:
+    """A worker's map of one array that is not cut into files."""
+    return _maps(folder).get(name, kind)
+
+
+def _read_thin(raw: np.ndarray, keys: int, columns: int, at: np.ndarray) -> np.ndarray:
+    """The rows of THIN numbers that stand at some places."""
+    places = at[:, None] * columns + np.arange(columns)
+    found, size = raw[places].astype("<u8"), keys * columns
+    large = np.flatnonzero(found.ravel() == 255)
+    if len(large):
+        where, values = raw[size:].reshape(2, -1)
+        found.ravel()[large] = values.view("<u8")[np.searchsorted(where.view("<u8"), places.ravel()[large])]
+    return found
+
+
 def look_up(folder: str, keys: np.ndarray, file: np.ndarray, stored_keys: tuple, values: tuple) -> np.ndarray:
     """The values of sorted keys, each looked for in its numbered file; zero where that lacks it.
 
@@ -130,7 +149,7 @@ def look_up(folder: str, keys: np.ndarray, file: np.ndarray, stored_keys: tuple,
     """
     maps, (keys_name, keys_kind), (values_name, values_kind, *columns) = _maps(folder), stored_keys, values
     out = np.zeros((len(keys), *columns), "<u8" if values_kind == THIN else values_kind)
-    order = np.argsort(file, kind="stable")
+    order = np.argsort(file.astype(np.uint16) if file.max(initial=0) < 1 << 16 else file, kind="stable")
     edges = np.flatnonzero(np.diff(file[order], prepend=-1, append=-1))
     for a, b in zip(edges[:-1], edges[1:]):
         rows = order[a:b]
@@ -142,9 +161,7 @@ def look_up(folder: str, keys: np.ndarray, file: np.ndarray, stored_keys: tuple,
             at = np.minimum(np.searchsorted(stored, keys[rows]), len(stored) - 1)
             hit = stored[at] == keys[rows]
             if values_kind == THIN:
-                raw = maps.get(f"{values_name}-{n}", "u1").reshape(len(stored), -1)
-                found = wide(raw.shape[1] // columns[0], raw[at[hit]].tobytes())
-                out[rows[hit]] = found.reshape(-1, columns[0])
+                out[rows[hit]] = _read_thin(maps.get(f"{values_name}-{n}", "u1"), len(stored), columns[0], at[hit])
             else:
                 out[rows[hit]] = maps.get(f"{values_name}-{n}", values_kind)[at[hit]]
     return out

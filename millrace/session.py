@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
-from contextlib import suppress
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -97,6 +98,24 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+@contextmanager
+def spent_shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within, each job's shuffle files go when it has ended, not when the driver next collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a work folder, or a part of one, that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_work(spark: SparkSession) -> int:
     """Delete the folders handed out so far; frames that read them are gone with them."""
     done = 0

@@ -1,9 +1,13 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
+from millrace import session
 from millrace.llm import lm, queries
+from millrace.llm.words import word_hashes
 
 from test_lm import END, TEST, TRAIN, close, tokens
 
@@ -74,3 +78,37 @@ def test_query_looks_two_words_back(spark):
     brute = Brute([texts[r.doc_id] for r in rows if not r.held_out], 3)
     for r in rows[:60]:
         assert math.isclose(r.score, brute.score(texts[r.doc_id]), rel_tol=1e-9)
+
+
+def test_tokens_are_numbered_by_falling_frequency(spark, tmp_path):
+    """Numbers are dense and all different, so runs move without a dictionary; a token that was not counted has none."""
+    texts = [*(t or "" for t in TRAIN), "a a a a a a a a rare"]
+    lm._number_tokens(str(tmp_path), spark.createDataFrame([(t,) for t in texts], "_text string").repartition(3), 3)
+    counts = Counter(w for t in texts for w in tokens(t) if w != END)
+    words, _ = word_hashes(list(counts))
+    rising = np.argsort(words)
+    numbers = dict(zip(np.array(list(counts))[rising].tolist(), lm._numbers(str(tmp_path), 3, words[rising]).tolist()))
+    assert len(set(numbers.values())) == len(counts) and max(numbers.values()) <= len(counts) + 1 and min(numbers.values()) >= 1
+    levels = [counts[w].bit_length() for w in sorted(counts, key=numbers.get)]
+    assert levels == sorted(levels, reverse=True)
+    assert lm._numbers(str(tmp_path), 3, word_hashes(["never-seen"])[0]).tolist() == [0]
+
+
+def test_runs_move_and_stay_in_few_bytes(tmp_path):
+    """Rare tokens in many cells: bytes of a run when moved, and no row of facts for each token."""
+    rng = np.random.default_rng(5)
+    columns, counts = lm._distinct_runs(list((3_000_000 * rng.random((3, 400_000)) ** 4).astype(np.uint64)), None)
+    rows = list(lm._packed(lm._cell_of([lm._ids(c) for c in columns], 8), columns, counts))
+    assert sum(len(known) + len(data) for _, known, data, _ in rows) < 8 * len(counts)
+    frame = pd.DataFrame(rows, columns=["place", "tokens", "numbers", "widths"])
+    frame = frame[frame["place"] == frame["place"].iloc[0]]
+    assert len(lm._merge_cell(str(tmp_path), 8, 4, 3, 3)(frame)) <= 4 + 4 + 8
+
+
+def test_spent_facts_are_deleted(spark, tmp_path, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    cleaned = spark.conf.get(name)
+    monkeypatch.setattr(session, "work_root", lambda spark: str(tmp_path))
+    lm.train(spark.createDataFrame([(t,) for t in TRAIN], "text string"), order=3)
+    assert spark.conf.get(name) == cleaned
+    assert {p.name for p in tmp_path.glob("run-facts-3-*/kind=*")} == {f"kind={lm.TO_TOKENS}"}
