@@ -111,7 +111,7 @@ def _distinct_runs(columns: list[np.ndarray], counts: np.ndarray | None,
     if counts is None:
         code.sort()
     else:
-        order = np.argsort(code, kind="stable")
+        order = np.argsort(code)
         code, counts = code[order], counts[order]
         del order
     first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.empty(0, int)
@@ -339,7 +339,7 @@ def _facts(kind: int, keys: np.ndarray, facts: np.ndarray, ranges: int) -> list[
 
 
 def _sum_facts(keys: np.ndarray, facts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, facts = keys[order], facts[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, int)
     out = np.zeros(len(first), facts.dtype)
@@ -493,7 +493,9 @@ def score_texts(model: KneserNey, texts: list[str]) -> list[list]:
     back = _back(at, sizes, np.searchsorted(known, END), model.order)
     run = at  # number of the run of k tokens that ends at each token
     for k, discounts in enumerate(model.run_discounts, 2):
-        _, one, longer = np.unique(run * len(known) + back[-k], return_index=True, return_inverse=True)
+        distinct, longer = np.unique(run * len(known) + back[-k], return_inverse=True)
+        one = np.empty(len(distinct), np.int64)  # a place of each; any will do, and asking for the first sorts slower
+        one[longer] = np.arange(len(longer))
         places = [c[one] for c in back[-k:]]
         columns = [ids[c] for c in places]
         # the context is the run that ended a token before; a text's first is ends alone, which is always known
